@@ -50,14 +50,6 @@ IMP = ("imp AS (\n  SELECT patient_id, iculos,\n    "
 _OPS_SQL = {">": ">", "<": "<", ">=": ">=", "==": "=", "<=": "<="}
 
 
-def _flag_sql(src: str, op: str, t: float) -> str:
-    return f"CASE WHEN {src} {_OPS_SQL[op]} {t!r}e0 THEN 1 ELSE 0 END"
-
-
-def _fnum(t: float) -> str:
-    return f"{t!r}e0" if "e" not in repr(t) else repr(t)
-
-
 FEAT0_COLS = (
     [f"avg({src}) OVER {w_trail(n)} AS {name}" for name, src, n in K.ROLLING_MEANS]
     + [f"{src} - lag({src}) OVER {W_ORD} AS {name}" for name, src in K.TRENDS]
@@ -103,3 +95,33 @@ def feature_select(prefix: str = "") -> str:
     return ", ".join([f"{p}patient_id AS patient_id"]
                      + [f"CAST({p}{c} AS BIGINT) AS {c}" for c in INT_COLS]
                      + [f"round({p}{c}, 6) AS {c}" for c in DOUBLE_COLS])
+
+
+# next-hour table (D4 + B5) and the ordered 80/20 split over it
+NH = (f"nh AS (SELECT * FROM (SELECT *, lead(hr) OVER {W_ORD} AS hr_next_hour FROM feat) t "
+      "WHERE hr_next_hour IS NOT NULL)")
+SPLIT = ("sp AS (SELECT *, row_number() OVER (ORDER BY patient_id, iculos) AS rn, "
+         "count(*) OVER () AS n_all FROM nh)")
+TRAIN = "train AS (SELECT * FROM sp WHERE rn <= n_all - CAST(ceil(n_all * 0.2) AS BIGINT))"
+TEST = "test AS (SELECT * FROM sp WHERE rn > n_all - CAST(ceil(n_all * 0.2) AS BIGINT))"
+SPLIT_CTES = FEATURE_CTES + [NH, SPLIT, TRAIN, TEST]
+
+# sliding windows over hr (D5) and their time-ordered 80/20 split (floor for train)
+WIN = ("win AS (SELECT * FROM (SELECT patient_id, iculos, "
+       + ", ".join(f"lag(hr, {i}) OVER {W_ORD} AS lag{i}" for i in range(6, 0, -1))
+       + f", hr AS y, row_number() OVER {W_ORD} AS rn_e FROM feat) t WHERE rn_e > 6)")
+WSPLIT = ("wsp AS (SELECT *, row_number() OVER (ORDER BY patient_id, iculos) AS rn, "
+          "count(*) OVER () AS n_all FROM win)")
+WTEST = "wtest AS (SELECT * FROM wsp WHERE rn > CAST(floor(n_all * 0.8) AS BIGINT))"
+WIN_CTES = FEATURE_CTES + [WIN, WSPLIT, WTEST]
+
+RISK_SQL = "((flag_tachy + flag_hypoxia + flag_fever + flag_hypotemp + flag_low_bp + flag_tachypnea + qsofa) / 8e0)"
+
+
+def bround_sql(expr: str, digits: int = 1) -> str:
+    """Half-even rounding of the shortest decimal form of a double (Spark's
+    ``bround``), done in exact DECIMAL arithmetic."""
+    t = f"(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38, 20)) * {10 ** digits})"
+    f = f"floor({t})"
+    return (f"CAST((CASE WHEN {t} - {f} > 0.5 THEN {f} + 1 WHEN {t} - {f} < 0.5 THEN {f} "
+            f"WHEN {f} % 2 = 0 THEN {f} ELSE {f} + 1 END) / {10 ** digits}e0 AS DOUBLE)")
