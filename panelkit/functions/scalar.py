@@ -123,8 +123,8 @@ def zone(pc1: str | Column, pc2: str | Column) -> Column:
 
 
 def similarity_pct(distance: str | Column) -> Column:
-    """100 / (1 + distance), one decimal (half-even like the source)."""
-    return F.bround(F.lit(100.0) / (F.lit(1.0) + col_(distance)), 1)
+    """1 / (1 + distance) * 100, one decimal (half-even like the source)."""
+    return F.bround(F.lit(1.0) / (F.lit(1.0) + col_(distance)) * F.lit(100.0), 1)
 
 
 def outcome_label(label: str | Column) -> Column:

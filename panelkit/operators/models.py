@@ -214,7 +214,7 @@ def pca_fit(df: DataFrame, columns: list[str], k: int | None = None,
     """
     k = k or len(columns)
     model = PCA(k=k, inputCol=features, outputCol="pca").fit(assemble(df, columns, features))
-    pc = model.pc.toArray().T  # k x d
+    pc = np.array(model.pc.toArray().T, copy=True)  # k x d
     for i in range(pc.shape[0]):
         j = int(np.argmax(np.abs(pc[i])))
         if pc[i, j] < 0:
@@ -258,7 +258,7 @@ def assess(rows: DataFrame, moments: dict, classifier, regressor, kmeans_centres
     scaled = apply_scaler(rows, moments, suffix="_s")
     scaled_cols = [c + "_s" for c in features]
     vec = assemble(scaled, scaled_cols, "features")
-    scored = positive_probability(classifier.transform(vec).drop("rawPrediction", "probability", "prediction"))
+    scored = positive_probability(classifier.transform(vec)).drop("rawPrediction", "probability", "prediction")
     scored = regressor.transform(scored).withColumnRenamed("prediction", "next_hr")
     scored = assign_nearest(scored, kmeans_centres, scaled_cols, "segment")
     names = X.lookup("segment", {int(k): v for k, v in segment_names.items()}, "Unknown")

@@ -224,3 +224,34 @@ def q_ordinal_orders(spark, sf_dir):
                "FROM feat GROUP BY patient_id"))
 def q_entity_profile(spark, sf_dir):
     return finish(agg.entity_profile(features(spark, sf_dir), S))
+
+
+@query("risk_tier_summary", "P2 F1 E4 E13",
+       O.with_(O.FEATURE_CTES + [
+           "pe AS (SELECT patient_id, max((flag_tachy + flag_hypoxia + flag_fever + flag_hypotemp + flag_low_bp "
+           "+ flag_tachypnea + qsofa) / 8e0) AS peak_score, avg(hr) AS avg_hr, avg(temp) AS avg_temp, "
+           "avg(o2sat) AS avg_o2sat, max(sepsislabel) AS had_sepsis FROM feat GROUP BY patient_id)",
+           "pt AS (SELECT *, CASE WHEN peak_score >= 0.7e0 THEN 'HIGH RISK' WHEN peak_score >= 0.4e0 "
+           "THEN 'MODERATE RISK' ELSE 'LOW RISK' END AS tier FROM pe)"],
+           "SELECT tier, CAST(count(*) AS BIGINT) AS entities, CAST(sum(had_sepsis) AS BIGINT) AS with_sepsis, "
+           "round(avg(avg_hr), 6) AS avg_hr, round(avg(avg_temp), 6) AS avg_temp, round(avg(avg_o2sat), 6) AS avg_o2sat "
+           "FROM pt GROUP BY tier"))
+def q_risk_tier_summary(spark, sf_dir):
+    return finish(risk_tier_summary(features(spark, sf_dir)))
+
+
+def risk_tier_summary(feats: DataFrame) -> DataFrame:
+    """Flagship: entities per peak-risk tier, with their mean vitals.
+
+    Two hash aggregates (per entity, then per tier), both with partial
+    aggregation; the tier table has at most three rows."""
+    from panelkit.functions import scalar as X
+    per = feats.groupBy(S.entity).agg(
+        F.max(agg.risk_score()).alias("peak_score"), F.avg("hr").alias("avg_hr"),
+        F.avg("temp").alias("avg_temp"), F.avg("o2sat").alias("avg_o2sat"),
+        F.max("sepsislabel").alias("had_sepsis"))
+    per = per.withColumn("tier", X.probability_tier("peak_score"))
+    return per.groupBy("tier").agg(
+        F.count(F.lit(1)).alias("entities"), F.sum("had_sepsis").alias("with_sepsis"),
+        F.avg("avg_hr").alias("avg_hr"), F.avg("avg_temp").alias("avg_temp"),
+        F.avg("avg_o2sat").alias("avg_o2sat"))
