@@ -25,18 +25,29 @@ def _key(cols: list[str]) -> Column:
     return F.struct(*[F.col(c) for c in cols])
 
 
-def kth_key(df: DataFrame, order: list[str], k: int, ranges: int | None = None) -> tuple:
+def _final_pick(cur: DataFrame, order: list[str], target: int) -> tuple:
+    """The target-th row of a small candidate set: a bounded top-k, then its last row."""
+    top = cur.orderBy(*order).limit(target)
+    row = top.orderBy(*[F.col(c).desc() for c in order]).limit(1).collect()[0]
+    return tuple(row[c] for c in order)
+
+
+def kth_key(df: DataFrame, order: list[str], k: int, ranges: int | None = None,
+            known_count: int | None = None) -> tuple:
     """Values of ``order`` on the k-th row (1-based) of ``df`` sorted by ``order``.
 
     ``order`` must be unique per row. Each round costs one range-partitioned
     aggregate whose result has ``ranges`` rows; rounds shrink the candidate
-    set by about ``ranges``x.
+    set by about ``ranges``x. A known small row count skips straight to the
+    bounded final pick.
     """
     if k < 1:
         raise ValueError("k must be >= 1")
+    cur = df.select(*order)
+    if known_count is not None and known_count <= FINAL_PICK_ROWS:
+        return _final_pick(cur, order, k)
     spark = df.sparkSession
     ranges = ranges or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8)
-    cur = df.select(*order)
     target = k
     while True:
         parts = cur.repartitionByRange(ranges, *order)
@@ -60,9 +71,57 @@ def kth_key(df: DataFrame, order: list[str], k: int, ranges: int | None = None)
         cur = cur.filter((key >= F.struct(*[F.lit(v) for v in lo])) &
                          (key <= F.struct(*[F.lit(v) for v in hi])))
         if chosen["n"] <= FINAL_PICK_ROWS or chosen["n"] == total:
-            top = cur.orderBy(*order).limit(target)
-            row = top.orderBy(*[F.col(c).desc() for c in order]).limit(1).collect()[0]
-            return tuple(row[c] for c in order)
+            return _final_pick(cur, order, target)
+
+
+def weighted_select(weights: DataFrame, order: list[str], weight: str, k_of_total,
+                    ranges: int | None = None) -> tuple[tuple, int, int, int]:
+    """Find the row of a (key, weight) table where the running weight, in key
+    order, first reaches k = ``k_of_total(total)``.
+
+    Returns (key, weight before that row, its weight, k). The table is one
+    row per key (e.g. rows per entity); while it has more than
+    ``FINAL_PICK_ROWS`` rows it is narrowed by range partitioning with
+    per-range weight sums, so nothing unbounded reaches the driver.
+    """
+    spark = weights.sparkSession
+    ranges = ranges or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8)
+    cur = weights.select(*order, weight)
+    small = cur.limit(FINAL_PICK_ROWS + 1).collect()
+    offset = 0
+    k = None
+    while len(small) > FINAL_PICK_ROWS:
+        stats = (cur.repartitionByRange(ranges, *order)
+                 .groupBy(F.spark_partition_id().alias("pid"))
+                 .agg(F.sum(weight).alias("w"), F.count(F.lit(1)).alias("n"),
+                      F.min(_key(order)).alias("lo"), F.max(_key(order)).alias("hi"))
+                 .collect())
+        stats.sort(key=lambda r: tuple(r["lo"]))
+        if k is None:
+            k = k_of_total(sum(r["w"] for r in stats))
+        before = offset
+        for r in stats:
+            if before + r["w"] >= k:
+                chosen = r
+                break
+            before += r["w"]
+        offset = before
+        key = _key(order)
+        cur = cur.filter((key >= F.struct(*[F.lit(v) for v in chosen["lo"]])) &
+                         (key <= F.struct(*[F.lit(v) for v in chosen["hi"]])))
+        small = cur.limit(FINAL_PICK_ROWS + 1).collect() if chosen["n"] <= FINAL_PICK_ROWS else [None] * (FINAL_PICK_ROWS + 1)
+        if chosen["n"] == sum(r["n"] for r in stats):
+            small = cur.collect()
+            break
+    small.sort(key=lambda r: tuple(r[c] for c in order))
+    if k is None:
+        k = k_of_total(sum(r[weight] for r in small))
+    run = offset
+    for r in small:
+        if run + r[weight] >= k:
+            return tuple(r[c] for c in order), run, r[weight], k
+        run += r[weight]
+    raise ValueError("k exceeds the total weight")
 
 
 def key_at_most(order: list[str], key: tuple) -> Column:
@@ -89,18 +148,49 @@ def train_size_floor(n: int, train_fraction: float = 0.8) -> int:
     return math.floor(Fraction(str(train_fraction)) * n)
 
 
+def split_key(df: DataFrame, spec: PanelSpec, test_fraction: float = 0.2,
+              n_train: int | None = None, train_fraction: float | None = None) -> tuple | None:
+    """Key (entity, order...) of the last training row, or None if train is empty.
+
+    One partially aggregated pass counts rows per entity; the entity holding
+    row k is found on that (one row per entity) table, then the k-th row
+    inside it -- never a global sort of the rows.
+    """
+    counts = df.groupBy(spec.entity).agg(F.count(F.lit(1)).alias("_n"))
+
+    def k_of(total: int) -> int:
+        if n_train is not None:
+            return n_train
+        if train_fraction is not None:
+            return train_size_floor(total, train_fraction)
+        return train_size(total, test_fraction)
+
+    if n_train is not None and n_train <= 0:
+        return None
+    try:
+        ent, before, n_ent, k = weighted_select(counts, [spec.entity], "_n", k_of)
+    except ValueError:
+        return None
+    if k <= 0:
+        return None
+    inner = kth_key(df.filter(F.col(spec.entity) == F.lit(ent[0])), list(spec.order), k - before,
+                    known_count=n_ent)
+    return (ent[0], *inner)
+
+
 def ordered_split(df: DataFrame, spec: PanelSpec, test_fraction: float = 0.2,
-                  by_entity: bool = False, n_train: int | None = None) -> tuple[DataFrame, DataFrame]:
+                  by_entity: bool = False, n_train: int | None = None,
+                  train_fraction: float | None = None) -> tuple[DataFrame, DataFrame]:
     """First rows in (entity, order) order are train, the rest test.
 
-    ``by_entity`` keeps the entity holding the cut wholly in train.
+    Train size is n - ceil(test_fraction * n) (or ``n_train``, or
+    floor(train_fraction * n)). ``by_entity`` keeps the entity holding the
+    cut wholly in train. Both sides are plain filters on the input.
     """
     order = [spec.entity, *spec.order]
-    if n_train is None:
-        n_train = train_size(df.count(), test_fraction)
-    if n_train <= 0:
+    key = split_key(df, spec, test_fraction, n_train, train_fraction)
+    if key is None:
         return df.limit(0), df
-    key = kth_key(df, order, n_train)
     cond = (F.col(spec.entity) <= F.lit(key[0])) if by_entity else key_at_most(order, key)
     return df.filter(cond), df.filter(~cond)
 
@@ -108,11 +198,9 @@ def ordered_split(df: DataFrame, spec: PanelSpec, test_fraction: float = 0.2,
 def split_flag(df: DataFrame, spec: PanelSpec, test_fraction: float = 0.2,
                n_train: int | None = None, name: str = "is_train") -> DataFrame:
     order = [spec.entity, *spec.order]
-    if n_train is None:
-        n_train = train_size(df.count(), test_fraction)
-    if n_train <= 0:
+    key = split_key(df, spec, test_fraction, n_train)
+    if key is None:
         return df.withColumn(name, F.lit(False))
-    key = kth_key(df, order, n_train)
     return df.withColumn(name, key_at_most(order, key))
 
 
@@ -121,23 +209,79 @@ def hash_key(cols: list[str], name: str = "_hk") -> Column:
     return F.md5(F.concat_ws("-", *[F.col(c).cast("string") for c in cols])).alias(name)
 
 
+HEX_STEP = 3  # hex digits per histogram level: 4096 buckets
+
+
+def _hex_select(df: DataFrame, key: str, k: int, group: str | None = None) -> str:
+    """The k-th smallest value of a uniformly distributed hex key column.
+
+    Histogram refinement: count rows per leading-hex bucket (at most 4096
+    rows reach the driver), keep the bucket holding row k, extend the
+    prefix, repeat; the last bucket is small and picked exactly.
+    """
+    prefix = ""
+    target = k
+    cur = df.select(key)
+    while True:
+        b = F.substring(F.col(key), 1, len(prefix) + HEX_STEP)
+        hist = sorted(cur.groupBy(b.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect(),
+                      key=lambda r: r["b"])
+        before = 0
+        for r in hist:
+            if before + r["n"] >= target:
+                chosen = r
+                break
+            before += r["n"]
+        else:
+            raise ValueError("k exceeds the row count")
+        target -= before
+        prefix = chosen["b"]
+        cur = cur.filter(F.col(key).startswith(prefix))
+        if chosen["n"] <= FINAL_PICK_ROWS or len(prefix) >= 32:
+            return _final_pick(cur, [key], target)[0]
+
+
 def hash_first(df: DataFrame, key_cols: list[str], n: int) -> DataFrame:
     """H2: deterministic 'first n rows' = the n smallest md5 keys (any n)."""
     keyed = df.withColumn("_hk", hash_key(key_cols))
+    if n <= 0:
+        return df.limit(0)
     total = keyed.count()
     if n >= total:
         return keyed.drop("_hk")
-    cut = kth_key(keyed, ["_hk"], n)[0]
+    cut = _hex_select(keyed, "_hk", n)
     return keyed.filter(F.col("_hk") <= F.lit(cut)).drop("_hk")
 
 
 def balanced_sample(df: DataFrame, key_cols: list[str], label: str = "sepsislabel",
                     ratio: int = 3) -> DataFrame:
     """All positives plus the ``ratio * n_pos`` negatives with the smallest
-    md5 key (all negatives if fewer exist)."""
-    pos = df.filter(F.col(label) == 1)
-    neg = df.filter(F.col(label) == 0)
-    n_pos = pos.count()
+    md5 key (all negatives if fewer exist).
+
+    One aggregate gives the positive count and the negatives' first-level
+    key histogram; a second, filtered pass picks the exact cut. The sample is
+    then a plain filter -- no global window, no row order dependence.
+    """
+    keyed = df.withColumn("_hk", hash_key(key_cols))
+    b = F.substring(F.col("_hk"), 1, HEX_STEP)
+    hist = keyed.groupBy(F.col(label).alias("_l"), b.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
+    n_pos = sum(r["n"] for r in hist if r["_l"] == 1)
+    neg_hist = sorted((r for r in hist if r["_l"] == 0), key=lambda r: r["b"])
+    n_neg = sum(r["n"] for r in neg_hist)
     take = ratio * n_pos
-    sampled_neg = hash_first(neg, key_cols, take) if take > 0 else neg.limit(0)
-    return pos.unionByName(sampled_neg)
+    is_pos = F.col(label) == 1
+    if take >= n_neg:
+        return df.filter(is_pos | (F.col(label) == 0))
+    if take <= 0:
+        return df.filter(is_pos)
+    before = 0
+    for r in neg_hist:
+        if before + r["n"] >= take:
+            chosen = r
+            break
+        before += r["n"]
+    negs = keyed.filter((F.col(label) == 0) & F.col("_hk").startswith(chosen["b"]))
+    cut = (_final_pick(negs.select("_hk"), ["_hk"], take - before)[0] if chosen["n"] <= FINAL_PICK_ROWS
+           else _hex_select(negs, "_hk", take - before))
+    keep = is_pos | ((F.col(label) == 0) & (F.col("_hk") <= F.lit(cut)))
+    return keyed.filter(keep).drop("_hk")

@@ -173,8 +173,7 @@ def q_fitted_forecasters(spark, sf_dir):
     w = windows.sliding_windows(features(spark, sf_dir), S, "hr", K.WINDOW_SIZE)
     lags = forecast.lag_names()
     w = w.select("*", *windows.window_summary(lags))
-    n_train = split.train_size_floor(w.count(), 0.8)
-    train, test = split.ordered_split(w, S, n_train=n_train)
+    train, test = split.ordered_split(w, S, train_fraction=0.8)
     feat_a, feat_c = lags, lags + ["w_mean", "w_std", "w_trend"]
     tr_a, te_a = models.assemble(train, feat_a, "fa"), models.assemble(test, feat_a, "fa")
     ols = LinearRegression(featuresCol="fa", labelCol="y", regParam=0.0, solver="normal").fit(tr_a)

@@ -348,8 +348,7 @@ def _ts_sql() -> str:
 def _ts_scored(spark, sf_dir) -> DataFrame:
     from panelkit.operators import forecast
     w = windows.sliding_windows(features(spark, sf_dir), S, "hr", K.WINDOW_SIZE)
-    n_train = split.train_size_floor(w.count(), 0.8)
-    _, test = split.ordered_split(w, S, n_train=n_train)
+    _, test = split.ordered_split(w, S, train_fraction=0.8)
     exprs = {"Exp Smoothing": forecast.smoothing_forecast(forecast.lag_names()),
              "Last Value": F.col("lag1"),
              "Linear Trend Extrapolation": F.col("lag1") + (F.col("lag1") - F.col("lag6")) / 5.0}
