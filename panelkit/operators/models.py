@@ -65,21 +65,21 @@ def assemble(df: DataFrame, columns: list[str], out: str = "features") -> DataFr
 class Presets:
     """Estimator settings. ``published()`` are the source pipeline's values;
     the defaults are small so that queries stay quick on test data."""
-    lr_max_iter: int = 100
-    rf_trees: int = 20
-    rf_depth: int = 8
+    lr_max_iter: int = 25
+    rf_trees: int = 10
+    rf_depth: int = 6
     rf_min_leaf: int = 10
-    xgb_rounds: int = 20
-    xgb_depth: int = 6
-    gb_rounds: int = 20
-    gb_depth: int = 5
+    xgb_rounds: int = 10
+    xgb_depth: int = 4
+    gb_rounds: int = 10
+    gb_depth: int = 4
     gb_min_leaf: int = 20
     gb_subsample: float = 0.8
-    reg_trees: int = 20
-    reg_rounds: int = 20
+    reg_trees: int = 10
+    reg_rounds: int = 10
     ridge_alpha: float = 1.0
-    kmeans_restarts: int = 3
-    kmeans_iter: int = 20
+    kmeans_restarts: int = 2
+    kmeans_iter: int = 10
     seed: int = 42
     extra: dict = field(default_factory=dict)
 
@@ -145,7 +145,7 @@ def regressors(train: DataFrame, presets: Presets = Presets(), features: str = "
     rf = RandomForestRegressor(featuresCol=features, labelCol=label, numTrees=presets.reg_trees,
                                maxDepth=presets.rf_depth, seed=presets.seed)
     gb = GBTRegressor(featuresCol=features, labelCol=label, maxIter=presets.reg_rounds,
-                      maxDepth=6, stepSize=0.3, seed=presets.seed)
+                      maxDepth=presets.xgb_depth, stepSize=0.3, seed=presets.seed)
     return {"Ridge Regression": ridge(train, presets.ridge_alpha, features, label),
             "Random Forest": rf.fit(train), "XGBoost": gb.fit(train)}
 

@@ -91,12 +91,19 @@ def q_neighbour_vote(spark, sf_dir):
 
 # ---------------------------------------------------------------- fitted models (rows-only)
 
-def _train_test(spark, sf_dir):
+def _train_test(spark, sf_dir, cache: bool = True):
+    """Ordered 80/20 split of the next-hour table, scaled with train moments.
+
+    Both sides feed several iterative jobs, so they are cached (the lineage
+    stays, so a lost executor recomputes its blocks)."""
     nh = next_hour(spark, sf_dir)
     train, test = split.ordered_split(nh, S, K.TEST_FRACTION)
     mom = models.scaler_moments(train, K.FEATURE_COLS)
     prep = lambda d: models.assemble(models.apply_scaler(d, mom), K.FEATURE_COLS)
-    return prep(train), prep(test), mom
+    tr, te = prep(train), prep(test)
+    if cache:
+        tr, te = tr.cache(), te.cache()
+    return tr, te, mom
 
 
 @query("classifier_fits", "J1 J2 J3 J4 J5 F9 F10 M1 M3 M4 M6 H6")
@@ -114,9 +121,7 @@ def q_classifier_fits(spark, sf_dir):
     scored = parts[0]
     for p in parts[1:]:
         scored = scored.unionByName(p)
-    lb = M.classifier_leaderboard(scored)
-    train.unpersist()
-    return finish(lb)
+    return finish(M.classifier_leaderboard(scored))
 
 
 @query("regressor_fits", "J6 J7 M5 M6 D4")
@@ -130,7 +135,6 @@ def q_regressor_fits(spark, sf_dir):
     scored = parts[0]
     for p in parts[1:]:
         scored = scored.unionByName(p)
-    train.unpersist()
     return finish(M.regression_metrics(scored, "y", "pred", ["model"]))
 
 
@@ -138,7 +142,7 @@ def q_regressor_fits(spark, sf_dir):
 def q_kmeans_segments(spark, sf_dir):
     train, _, _ = _train_test(spark, sf_dir)
     sample = split.hash_first(train, ["patient_id", "iculos"], K.KMEANS_SAMPLE_ROWS)
-    km = models.kmeans_fit(sample.cache(), K.KMEANS_K, restarts=3)
+    km = models.kmeans_fit(sample, K.KMEANS_K, restarts=2, max_iter=10)
     centres = [list(map(float, c)) for c in km.clusterCenters()]
     assigned = models.assign_nearest(train, centres, K.FEATURE_COLS, "cluster")
     raw = assigned  # scaled columns; profile on the scaled panel plus outcome
@@ -174,11 +178,12 @@ def q_fitted_forecasters(spark, sf_dir):
     lags = forecast.lag_names()
     w = w.select("*", *windows.window_summary(lags))
     train, test = split.ordered_split(w, S, train_fraction=0.8)
+    train, test = train.cache(), test.cache()
     feat_a, feat_c = lags, lags + ["w_mean", "w_std", "w_trend"]
     tr_a, te_a = models.assemble(train, feat_a, "fa"), models.assemble(test, feat_a, "fa")
     ols = LinearRegression(featuresCol="fa", labelCol="y", regParam=0.0, solver="normal").fit(tr_a)
     tr_c, te_c = models.assemble(train, feat_c, "fc"), models.assemble(test, feat_c, "fc")
-    gbt = GBTRegressor(featuresCol="fc", labelCol="y", maxIter=20, maxDepth=6, stepSize=0.3, seed=42).fit(tr_c)
+    gbt = GBTRegressor(featuresCol="fc", labelCol="y", maxIter=10, maxDepth=4, stepSize=0.3, seed=42).fit(tr_c)
     scored = (ols.transform(te_a).select(F.lit("Linear Trend").alias("model"), "y", F.col("prediction").alias("pred"))
               .unionByName(test.select(F.lit("Exp Smoothing").alias("model"), "y",
                                        forecast.smoothing_forecast(lags).alias("pred")))
@@ -194,10 +199,10 @@ def q_assessment(spark, sf_dir):
     from pyspark.ml.classification import LogisticRegression
     n = train.count()
     lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="w_bal", regParam=1.0 / n,
-                            standardization=False, maxIter=50).fit(train)
+                            standardization=False, maxIter=25).fit(train)
     reg = models.ridge(train.withColumn("target", F.col("hr_next_hour")), 1.0)
     sample = split.hash_first(train, ["patient_id", "iculos"], K.KMEANS_SAMPLE_ROWS)
-    km = models.kmeans_fit(sample, K.KMEANS_K, restarts=1)
+    km = models.kmeans_fit(sample, K.KMEANS_K, restarts=1, max_iter=10)
     centres = [list(map(float, c)) for c in km.clusterCenters()]
     prof = agg.segment_profile(models.assign_nearest(train, centres, K.FEATURE_COLS, "cluster"), "cluster")
     names = {r["cluster"]: r["risk_label"] for r in models.segment_labels(prof).collect()}
