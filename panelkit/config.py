@@ -28,6 +28,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="panelkit-wh-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
