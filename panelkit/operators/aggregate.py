@@ -138,11 +138,17 @@ def positive_weight(df: DataFrame, label: str = "sepsislabel", name: str = "weig
     return df.withColumn(name, F.when(F.col(label) == 1, F.lit(float(ratio))).otherwise(F.lit(1.0)))
 
 
+def exact_mean(c: str, scale: int = 6) -> Column:
+    """Mean of the values at ``scale`` decimals, summed exactly in DECIMAL and
+    rounded half-up: independent of partitioning and summation order."""
+    return F.round(F.avg(F.col(c).cast(f"decimal(18,{scale})")), scale).cast("double")
+
+
 def scaler_stats(df: DataFrame, columns: list[str]) -> DataFrame:
-    """mean and population std per column (zero std -> 1), long output."""
+    """F11 report: exact mean and population std per column (zero std -> 1), long."""
     aggs = []
     for c in columns:
-        aggs += [F.avg(c).alias(f"{c}__m"), F.stddev_pop(c).alias(f"{c}__s")]
+        aggs += [exact_mean(c).alias(f"{c}__m"), F.stddev_pop(c).alias(f"{c}__s")]
     wide = df.agg(*aggs)
     pairs = ", ".join(
         f"'{c}', `{c}__m`, CASE WHEN `{c}__s` = 0 OR `{c}__s` IS NULL THEN 1D ELSE `{c}__s` END"

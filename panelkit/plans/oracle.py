@@ -125,3 +125,11 @@ def bround_sql(expr: str, digits: int = 1) -> str:
     f = f"floor({t})"
     return (f"CAST((CASE WHEN {t} - {f} > 0.5 THEN {f} + 1 WHEN {t} - {f} < 0.5 THEN {f} "
             f"WHEN {f} % 2 = 0 THEN {f} ELSE {f} + 1 END) / {10 ** digits}e0 AS DOUBLE)")
+
+
+def exact_mean_sql(c: str) -> str:
+    """Half-up mean of ``c`` at 6 decimals from an exact DECIMAL sum (integer
+    arithmetic; DuckDB divides decimals in floating point)."""
+    s = f"CAST(sum(CAST({c} AS DECIMAL(18,6))) * 1000000 AS HUGEINT)"
+    n = f"CAST(count({c}) AS HUGEINT)"
+    return f"CAST(sign({s}) * ((abs({s}) * 2 + {n}) // (2 * {n})) AS DOUBLE) / 1e6"

@@ -17,12 +17,18 @@ S = VITAL_PANEL
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return windows.feature_table(panel_from_events(spark, sf_dir), S)
+    """P2 feature table; hot entities (if any) go through the chunked plan."""
+    from panelkit.operators import skew
+    from panelkit.sources.tables import panel_rows_from_events
+    return skew.feature_table(panel_rows_from_events(spark, sf_dir), "patient_id", ["ts", "event_id"], "iculos")
 
 
 def imputed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = panel_from_events(spark, sf_dir)
-    return clean.impute(p, S, K.VITALS_LC, ["lactate"])
+    from panelkit.operators import skew
+    from panelkit.sources.tables import PANEL_COLUMNS, panel_rows_from_events
+    out, _ = skew.ordinal_and_impute(panel_rows_from_events(spark, sf_dir), "patient_id", ["ts", "event_id"],
+                                     K.VITALS_LC, ["lactate"], "iculos")
+    return out.select(*PANEL_COLUMNS)
 
 
 PANEL_COLS_SQL = ("patient_id, CAST(iculos AS BIGINT) AS iculos, "
@@ -125,6 +131,17 @@ def q_feature_table(spark, sf_dir):
     return finish(features(spark, sf_dir))
 
 
+@query("feature_table_chunked", "P2 C1 C2 D1 D2 D3 D7 E1 E2 skew",
+       O.with_(O.FEATURE_CTES, f"SELECT {O.feature_select()} FROM feat"))
+def q_feature_table_chunked(spark, sf_dir):
+    """The feature table through the skew-safe plan, with chunks of 16 rows so
+    every entity of the test data is cut into several chunks."""
+    from panelkit.operators import skew
+    from panelkit.sources.tables import panel_rows_from_events
+    raw = panel_rows_from_events(spark, sf_dir)
+    return finish(skew.feature_table(raw, "patient_id", ["ts", "event_id"], "iculos", chunk_rows=16))
+
+
 @query("rolling_hr", "D1 D2 D3",
        O.with_([O.PANEL, O.IMP],
                "SELECT patient_id, CAST(iculos AS BIGINT) AS iculos, "

@@ -168,7 +168,7 @@ def q_positive_weight(spark, sf_dir):
 
 @query("scaler_stats", "F11 J1",
        O.with_(O.FEATURE_CTES, " UNION ALL ".join(
-           f"SELECT '{c}' AS feature, round(avg({c}), 6) AS mean, "
+           f"SELECT '{c}' AS feature, round({O.exact_mean_sql(c)}, 6) AS mean, "
            f"round(CASE WHEN stddev_pop({c}) = 0 THEN 1e0 ELSE stddev_pop({c}) END, 6) AS std FROM feat"
            for c in K.FEATURE_COLS)))
 def q_scaler_stats(spark, sf_dir):

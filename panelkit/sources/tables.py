@@ -29,23 +29,15 @@ def _mod(c: Column, m: int) -> Column:
     return c % F.lit(m)
 
 
-def panel_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly vital-sign panel, grain (patient_id, iculos), from ``events``.
-
-    Five vitals are null on one event type each, ``lactate`` is a sparse lab,
-    and the label shares its inputs with hr/temp.
-    """
-    ev = read_table(spark, sf_dir, "events",
-                    ["event_id", "ts", "user_id", "event_type", "value", "props"])
+def event_vitals(ev: DataFrame) -> DataFrame:
+    """Row-level part of the panel definition: one vitals row per event, keyed
+    by (patient_id, ts, event_id); everything except the ordinal."""
     k = F.regexp_extract("props", r"([0-9]+)", 1).cast("int")
-    ev = ev.withColumn("k", k).withColumn(
-        "patient_id", F.concat(F.lit("p"), F.lpad(F.col("user_id").cast("string"), 6, "0")))
+    ev = ev.withColumn("k", k)
     et, v, eid = F.col("event_type"), F.col("value"), F.col("event_id")
-    ordinal = F.row_number().over(
-        Window.partitionBy("patient_id").orderBy("ts", "event_id")).cast("int")
     return ev.select(
-        "patient_id",
-        ordinal.alias("iculos"),
+        F.concat(F.lit("p"), F.lpad(F.col("user_id").cast("string"), 6, "0")).alias("patient_id"),
+        "ts", "event_id",
         F.when(et != "error", 50 + v / 2).alias("hr"),
         F.when(et != "view", F.greatest(F.lit(60.0), 100 - v / 12)).alias("o2sat"),
         F.when(et != "signup", 35.5 + F.col("k") / 25.0).alias("temp"),
@@ -61,6 +53,28 @@ def panel_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def panel_rows_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The panel before its ordinal: vitals rows with (ts, event_id) order keys."""
+    ev = read_table(spark, sf_dir, "events",
+                    ["event_id", "ts", "user_id", "event_type", "value", "props"])
+    return event_vitals(ev)
+
+
+def panel_from_events(spark: SparkSession, sf_dir: str, chunk_rows: int | None = None) -> DataFrame:
+    """Hourly vital-sign panel, grain (patient_id, iculos), from ``events``.
+
+    Five vitals are null on one event type each, ``lactate`` is a sparse lab,
+    and the label shares its inputs with hr/temp. ``iculos`` is the row's
+    position in its entity by (ts, event_id); an entity too large for one
+    task is numbered in time chunks with carried offsets (``skew``).
+    """
+    from panelkit.operators import skew
+    rows = panel_rows_from_events(spark, sf_dir)
+    numbered, _ = skew.ordinal_and_impute(rows, "patient_id", ["ts", "event_id"], [], [], "iculos",
+                                          chunk_rows or skew.DEFAULT_CHUNK_ROWS)
+    return numbered.select(*PANEL_COLUMNS)
+
+
 def panel_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Second, long-tailed panel: customers' orders in date order, value = price.
 

@@ -49,26 +49,9 @@ _CMP = {">": np.greater, "<": np.less}
 
 
 def event_rows(events: DataFrame) -> DataFrame:
-    """Row-level part of the panel definition (everything but the ordinal)."""
-    from panelkit.sources.tables import _mod
-    k = F.regexp_extract("props", r"([0-9]+)", 1).cast("int")
-    ev = events.withColumn("k", k)
-    et, v, eid = F.col("event_type"), F.col("value"), F.col("event_id")
-    return ev.select(
-        F.concat(F.lit("p"), F.lpad(F.col("user_id").cast("string"), 6, "0")).alias("patient_id"),
-        "ts", F.col("ts").cast("timestamp").alias("event_time"), "event_id",
-        F.when(et != "error", 50 + v / 2).alias("hr"),
-        F.when(et != "view", F.greatest(F.lit(60.0), 100 - v / 12)).alias("o2sat"),
-        F.when(et != "signup", 35.5 + F.col("k") / 25.0).alias("temp"),
-        (85 + _mod(eid * 53, 100) * 7 / 10.0).alias("sbp"),
-        F.when(et != "click", 55 + _mod(eid * 37, 100) / 2.0).alias("map"),
-        (40 + _mod(eid * 71, 100) / 2.0).alias("dbp"),
-        F.when(et != "purchase", (10 + _mod(eid * 89 + F.col("k"), 20)).cast("double")).alias("resp"),
-        F.when(et == "purchase", 0.5 + v / 40).alias("lactate"),
-        (20 + _mod(F.col("user_id"), 70)).cast("double").alias("age"),
-        _mod(F.col("user_id"), 2).cast("double").alias("gender"),
-        F.when((v > 90) & (F.col("k") > 60), 1).otherwise(0).alias("sepsislabel"),
-    )
+    """Row-level part of the panel definition plus an event-time column."""
+    from panelkit.sources.tables import event_vitals
+    return event_vitals(events).withColumn("event_time", F.col("ts").cast("timestamp"))
 
 
 def _bround1(x: float) -> float:
