@@ -46,15 +46,17 @@ def lead_target(df: DataFrame, spec: PanelSpec, column: str = "hr",
     return df.withColumn(name, lead(column, spec, k)).na.drop(subset=[name])
 
 
-def add_features(df: DataFrame, spec: PanelSpec) -> DataFrame:
-    """The 19 engineered columns in one projection."""
+def add_features(df: DataFrame, spec: PanelSpec, hours_col: str | None = None) -> DataFrame:
+    """The 19 engineered columns in one projection.
+
+    ``hours_in_icu`` copies ``hours_col`` (default: the spec's order column)."""
     cols = [F.col(c) for c in df.columns]
     cols += [rolling_mean(src, n, spec).alias(name) for name, src, n in K.ROLLING_MEANS]
     cols += [diff(src, spec).alias(name) for name, src in K.TRENDS]
     cols += [rolling_std(src, n, spec).alias(name) for name, src, n in K.ROLLING_STDS]
     cols += scalar.alarm_flags()
     cols.append(scalar.qsofa().alias("qsofa"))
-    cols.append(F.col(spec.order[0]).alias("hours_in_icu"))
+    cols.append(F.col(hours_col or spec.order[0]).alias("hours_in_icu"))
     return df.select(*cols)
 
 
