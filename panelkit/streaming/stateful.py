@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState
 
+import panelkit
 from panelkit import constants as K
 from panelkit.config import scratch_path
 from panelkit.functions import scalar as X
@@ -47,6 +48,15 @@ OUTPUT_SCHEMA = ", ".join(
 
 _CMP = {">": np.greater, "<": np.less}
 
+# The state function runs in Python workers, which may not have this package
+# on their path (cluster executors, another working directory): ship the
+# package's code inside the pickled function instead of by module reference.
+try:
+    from pyspark import cloudpickle as _cp
+    _cp.register_pickle_by_value(panelkit)
+except (ImportError, ValueError):  # pragma: no cover - older cloudpickle
+    pass
+
 
 def event_rows(events: DataFrame) -> DataFrame:
     """Row-level part of the panel definition plus an event-time column."""
