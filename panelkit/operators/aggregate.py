@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit import constants as K
+from panelkit.functions import scalar as X
 from panelkit.functions.scalar import safe_div
 from panelkit.operators.panel import PanelSpec
 
@@ -113,18 +114,23 @@ def group_separation(df: DataFrame, columns: list[str], label: str = "sepsislabe
     return wide.selectExpr(f"stack({len(columns)}, {pairs}) AS (`component`, `separation`)")
 
 
-def class_weights(df: DataFrame, label: str = "sepsislabel", name: str = "weight") -> DataFrame:
+def class_weights(df: DataFrame, label: str = "sepsislabel", name: str = "weight",
+                  max_classes: int = 1000) -> DataFrame:
     """balanced weights n / (k * count(class)) attached to each row.
 
-    The class table has one row per class (bounded by the label domain), so
-    it is broadcast; the big side is never shuffled.
+    The per-class counts are one partially aggregated pass whose result is
+    bounded by the label domain (checked); the weights are then a literal
+    lookup, so the rows are neither joined nor shuffled.
     """
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_c"))
-    counts = counts.select(
-        label,
-        (F.sum("_c").over(Window.partitionBy()) /
-         (F.count(F.lit(1)).over(Window.partitionBy()) * F.col("_c"))).alias(name))
-    return df.join(F.broadcast(counts), on=label, how="left")
+    counts = (df.groupBy(label).agg(F.count(F.lit(1)).alias("_c"))
+              .limit(max_classes + 1).collect())
+    if len(counts) > max_classes:
+        raise ValueError(f"more than {max_classes} classes in {label}")
+    n, k = sum(r["_c"] for r in counts), len(counts)
+    weights = {r[label]: n / (k * r["_c"]) for r in counts if r[label] is not None}
+    if not weights:
+        return df.withColumn(name, F.lit(None).cast("double"))
+    return df.withColumn(name, X.lookup(F.col(label), weights))
 
 
 def positive_weight(df: DataFrame, label: str = "sepsislabel", name: str = "weight",

@@ -140,19 +140,24 @@ def impute(df: DataFrame, spec: PanelSpec, both_ways: list[str],
     return df.select(*[repl.get(c, F.col(c)) for c in df.columns])
 
 
-def fill_median(df: DataFrame, columns: list[str], spec: PanelSpec | None = None) -> DataFrame:
+def fill_median(df: DataFrame, columns: list[str], spec: PanelSpec | None = None,
+                approx: bool = False, accuracy: int = 100000) -> DataFrame:
     """Remaining nulls take the column median (interpolated, like pandas).
 
     With ``spec`` the median is per entity (a window sharing the panel
-    exchange); without, one global median per column, computed by a single
-    partially-aggregated ``percentile`` job and inlined as literals.
+    exchange); without, one global median per column from a single partially
+    aggregated job, inlined as literals. The exact ``percentile`` keeps a
+    count per distinct value; for continuous columns at scale pass
+    ``approx=True`` (``percentile_approx``, bounded sketch per task).
     """
+    def med(c):
+        return (F.percentile_approx(F.col(c), 0.5, accuracy) if approx
+                else F.percentile(F.col(c), 0.5))
     if spec is not None:
         w = spec.group()
-        repl = {c: F.coalesce(F.col(c), F.percentile(F.col(c), 0.5).over(w)).alias(c)
-                for c in columns}
+        repl = {c: F.coalesce(F.col(c), med(c).over(w)).alias(c) for c in columns}
     else:
-        row = df.agg(*[F.percentile(F.col(c), 0.5).alias(c) for c in columns]).first()
+        row = df.agg(*[med(c).alias(c) for c in columns]).first()
         repl = {c: (F.coalesce(F.col(c), F.lit(row[c])) if row[c] is not None else F.col(c)).alias(c)
                 for c in columns}
     return df.select(*[repl.get(c, F.col(c)) for c in df.columns])

@@ -82,9 +82,10 @@ def ordinal_and_impute(df: DataFrame, entity: str, order: list[str], both_ways:
     if len(hot_rows) > BROADCAST_ROW_LIMIT:
         raise ValueError("too many hot entities to broadcast; raise chunk_rows")
     if not hot_rows:
+        # ordinal and fills share one Window spec (entity, order): one sort
         spec = PanelSpec(entity, tuple(order))
         out = df.withColumn(ordinal, windows.ordinal(spec).cast("int"))
-        out = clean.impute(out, PanelSpec(entity, (ordinal,)), both_ways, forward_only)
+        out = clean.impute(out, spec, both_ways, forward_only)
         return out, False
     spark = df.sparkSession
     hot_df = spark.createDataFrame(hot_rows, hot.schema)
@@ -163,10 +164,13 @@ def feature_table(raw: DataFrame, entity: str, order: list[str], ordinal: str =
     labs = [c for c in K.LABS_LC if c in raw.columns]
     imputed, chunked = ordinal_and_impute(clean.nan_to_null(raw), entity, order, vitals, labs,
                                           ordinal, chunk_rows)
-    imputed = imputed.drop(*order)
     if not chunked:
-        feats = windows.add_features(imputed, PanelSpec(entity, (ordinal,)))
+        # frames ordered by the original keys (same row order as the ordinal),
+        # so the whole chain reuses the first sort
+        feats = windows.add_features(imputed, PanelSpec(entity, tuple(order)), hours_col=ordinal)
+        feats = feats.drop(*order)
     else:
+        imputed = imputed.drop(*order)
         reach = max(n for _, _, n in K.ROLLING_MEANS + K.ROLLING_STDS) - 1
         halo, spec = with_halo(imputed, entity, ordinal, chunk_rows, back=max(reach, 1))
         feats = drop_halo(windows.add_features(halo, spec)).drop("_pk2")

@@ -212,20 +212,22 @@ def hash_key(cols: list[str], name: str = "_hk") -> Column:
 HEX_STEP = 3  # hex digits per histogram level: 4096 buckets
 
 
-def _hex_select(df: DataFrame, key: str, k: int, group: str | None = None) -> str:
+def _hex_select(df: DataFrame, key: str, k: int, hist: list | None = None) -> str:
     """The k-th smallest value of a uniformly distributed hex key column.
 
     Histogram refinement: count rows per leading-hex bucket (at most 4096
     rows reach the driver), keep the bucket holding row k, extend the
-    prefix, repeat; the last bucket is small and picked exactly.
+    prefix, repeat; the last bucket is small and picked exactly. A first
+    level histogram may be passed in.
     """
     prefix = ""
     target = k
     cur = df.select(key)
     while True:
-        b = F.substring(F.col(key), 1, len(prefix) + HEX_STEP)
-        hist = sorted(cur.groupBy(b.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect(),
-                      key=lambda r: r["b"])
+        if hist is None:
+            b = F.substring(F.col(key), 1, len(prefix) + HEX_STEP)
+            hist = cur.groupBy(b.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
+        hist = sorted(hist, key=lambda r: r["b"])
         before = 0
         for r in hist:
             if before + r["n"] >= target:
@@ -237,19 +239,23 @@ def _hex_select(df: DataFrame, key: str, k: int, group: str | None = None) -> st
         target -= before
         prefix = chosen["b"]
         cur = cur.filter(F.col(key).startswith(prefix))
+        hist = None
         if chosen["n"] <= FINAL_PICK_ROWS or len(prefix) >= 32:
             return _final_pick(cur, [key], target)[0]
 
 
 def hash_first(df: DataFrame, key_cols: list[str], n: int) -> DataFrame:
-    """H2: deterministic 'first n rows' = the n smallest md5 keys (any n)."""
-    keyed = df.withColumn("_hk", hash_key(key_cols))
+    """H2: deterministic 'first n rows' = the n smallest md5 keys (any n).
+
+    The first-level key histogram also gives the row count (one job)."""
     if n <= 0:
         return df.limit(0)
-    total = keyed.count()
-    if n >= total:
+    keyed = df.withColumn("_hk", hash_key(key_cols))
+    hist = keyed.groupBy(F.substring("_hk", 1, HEX_STEP).alias("b")).agg(
+        F.count(F.lit(1)).alias("n")).collect()
+    if n >= sum(r["n"] for r in hist):
         return keyed.drop("_hk")
-    cut = _hex_select(keyed, "_hk", n)
+    cut = _hex_select(keyed, "_hk", n, hist)
     return keyed.filter(F.col("_hk") <= F.lit(cut)).drop("_hk")
 
 
@@ -282,6 +288,6 @@ def balanced_sample(df: DataFrame, key_cols: list[str], label: str = "sepsislabe
         before += r["n"]
     negs = keyed.filter((F.col(label) == 0) & F.col("_hk").startswith(chosen["b"]))
     cut = (_final_pick(negs.select("_hk"), ["_hk"], take - before)[0] if chosen["n"] <= FINAL_PICK_ROWS
-           else _hex_select(negs, "_hk", take - before))
+           else _hex_select(negs, "_hk", take - before, None))
     keep = is_pos | ((F.col(label) == 0) & (F.col("_hk") <= F.lit(cut)))
     return keyed.filter(keep).drop("_hk")
