@@ -65,9 +65,15 @@ def split_quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return clean, quarantine
 
 
-def entity_inventory(df: DataFrame) -> DataFrame:
-    """Number of entity files that contributed rows."""
-    return df.select(F.col("_metadata.file_path").alias("file")).distinct().agg(
+def files_found(df: DataFrame) -> int:
+    """Entity files the scan found (from the file index; no job). Zero
+    means the source directory or glob is wrong."""
+    return len(df.inputFiles())
+
+
+def entity_inventory(raw: DataFrame) -> DataFrame:
+    """Files that contributed at least one line, on the raw scan."""
+    return raw.select(F.col("_metadata.file_path").alias("file")).distinct().agg(
         F.count(F.lit(1)).alias("files"))
 
 

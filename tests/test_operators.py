@@ -304,3 +304,23 @@ def test_split_filters_reach_the_scan(spark):
     train, _ = split.ordered_split(df, ORDER_PANEL, 0.2)
     plan = train._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(o_custkey)" in plan or "PushedFilters: [Or(" in plan, plan
+
+
+def test_high_risk_row_scores_above_normal(spark):
+    """Q6: a fitted classifier orders the literal high-risk row above the normal one."""
+    from panelkit.operators import aggregate as agg
+    from panelkit.plans.q_panel import features
+    from pyspark.ml.classification import LogisticRegression
+    f = features(spark, "/root/testdata/sf0.01")
+    mom = models.scaler_moments(f, K.FEATURE_COLS)
+    train = models.assemble(models.apply_scaler(f, mom), K.FEATURE_COLS)
+    train = agg.class_weights(train.withColumn("label", F.col("sepsislabel").cast("double")), "label", "w")
+    lr = LogisticRegression(weightCol="w", regParam=1e-4, maxIter=50, standardization=False).fit(train)
+    normal = [75, 97, 37.0, 120, 80, 70, 16, 50, 1, 75, 74, 120, 80, 16, 0, 0, 0, 0, 2, 2, 0, 0, 0, 0, 0, 0, 0, 4]
+    high = [115, 88, 39.2, 85, 58, 45, 28, 72, 1, 110, 105, 90, 62, 26, 5, -8, 0.5, 3, 8, 10, 1, 1, 1, 0, 1, 1, 3, 12]
+    rows = spark.createDataFrame([("normal", *map(float, normal)), ("high", *map(float, high))],
+                                 "name string, " + ", ".join(f"{c} double" for c in K.FEATURE_COLS))
+    scored = models.positive_probability(lr.transform(models.assemble(models.apply_scaler(rows, mom), K.FEATURE_COLS)))
+    p = {r["name"]: r["prob"] for r in scored.select("name", "prob").collect()}
+    assert 0.0 <= p["normal"] <= 1.0 and 0.0 <= p["high"] <= 1.0
+    assert p["high"] > p["normal"]

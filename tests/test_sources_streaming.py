@@ -116,3 +116,26 @@ def test_alert_log_exactly_once(spark, tmp_path):
     _split_events(f"{SF_SMALL}/events.parquet", str(d), 2, only={1})
     n2 = ST.append_alert_log(spark, str(d / "events_*.parquet"), log, ckpt)
     assert n2.count() > n1 and n2.select("id").distinct().count() == n2.count()
+
+
+def test_inventory_required_columns_tables_and_log(spark, entity_dir, tmp_path):
+    from panelkit.operators import quality
+    raw = files.with_entity_from_filename(files.read_entity_files(spark, entity_dir))
+    clean, _ = files.split_quarantine(raw)
+    # Four .psv files found, three contributed lines (one is empty)
+    assert files.files_found(raw) == 4
+    assert files.entity_inventory(raw).first()["files"] == 3
+    # Q2: required columns / minimum column count / tables, without a job
+    checks = dict((c[0], c[3]) for c in quality.required_columns(clean, ["HR", "ICULOS", "nope"], 60))
+    assert checks["has_HR"] and checks["has_ICULOS"] and not checks["has_nope"] and not checks["min_columns"]
+    sinks.replace_table(clean.select("patient_id", "ICULOS", "HR"), "patient_vitals_test")      # A7
+    sinks.replace_table(clean.select("patient_id", "ICULOS", "HR"), "patient_vitals_test")
+    assert spark.table("patient_vitals_test").count() == 4
+    assert dict((c[0], c[3]) for c in quality.tables_exist(spark, ["patient_vitals_test"]))["table_patient_vitals_test"]
+    spark.sql("DROP TABLE patient_vitals_test")
+    # Append scored rows to the prediction log twice
+    rows = spark.createDataFrame([(1, "p1", 101.0, 38.0, "HIGH RISK")], sinks.LOG_SCHEMA)
+    log = str(tmp_path / "log")
+    sinks.append_log(rows, log)
+    sinks.append_log(rows, log)
+    assert spark.read.parquet(log).count() == 2
