@@ -69,3 +69,35 @@ def forecast_alerts(step_cols: list[str], threshold: float = K.FORECAST_ALERT_HR
     flags = F.concat_ws(",", F.transform(arr, lambda v: F.when(v > F.lit(threshold), F.lit("1")).otherwise(F.lit("0"))))
     return [flags.alias("step_alerts"), danger.alias("danger_hours"), (danger > 0).alias("alert"),
             msg.alias("alert_message")]
+
+
+def recursive_model_forecast(model, df: DataFrame, lags: list[str], steps: int = K.WINDOW_SIZE,
+                             with_summary: bool = True, features: str = "features",
+                             prefix: str = "f") -> DataFrame:
+    """J14 for a fitted model: ``steps`` scoring passes, each appending its
+    prediction to the window that feeds the next pass.
+
+    Every pass is a projection + ``model.transform`` over the same rows (no
+    shuffle); the input should be cached by the caller when it is expensive.
+    ``with_summary`` adds mean / population std / last-first of the window
+    as the model's extra inputs, in that order after the lags.
+    """
+    from pyspark.ml.feature import VectorAssembler
+
+    from panelkit.operators.windows import window_summary
+    cur = df
+    window = list(lags)
+    for i in range(steps):
+        inputs = [F.col(c) for c in window[-len(lags):]]
+        named = [c.alias(f"_w{j}") for j, c in enumerate(inputs)]
+        staged = cur.select("*", *named)
+        wcols = [f"_w{j}" for j in range(len(lags))]
+        if with_summary:
+            staged = staged.select("*", *window_summary(wcols))
+            wcols = wcols + ["w_mean", "w_std", "w_trend"]
+        vec = VectorAssembler(inputCols=wcols, outputCol=features).transform(staged)
+        out = model.transform(vec).withColumnRenamed("prediction", f"{prefix}{i + 1}")
+        drop = [c for c in out.columns if c.startswith("_w") or c in ("w_mean", "w_std", "w_trend", features)]
+        cur = out.drop(*drop)
+        window.append(f"{prefix}{i + 1}")
+    return cur

@@ -265,13 +265,20 @@ def assess(rows: DataFrame, moments: dict, classifier, regressor, kmeans_centres
     scored = project(scored, loadings[:2], scaled_cols)
     return scored.select(
         *[c for c in rows.columns],
+        # classify (J17)
         F.round("prob", 4).alias("probability"),
         X.probability_tier("prob").alias("risk_level"),
         X.api_action(X.probability_tier("prob")).alias("action"),
         F.concat_ws(", ", X.alert_list()).alias("alerts"),
+        # regress (J17): next-hour HR, change, trend, status
         F.bround("next_hr", 1).alias("next_hour"),
+        F.bround(F.col("next_hr") - F.col("hr"), 1).alias("change"),
         X.trend_label("next_hr", "hr").alias("trend"),
+        X.hr_status("next_hr").alias("status"),
+        # cluster (J17): id, label, distance to every centre
         F.col("segment"), names.alias("segment_name"),
+        *[F.round(f"dist_{i}", 3).alias(f"dist_{i}") for i in range(len(kmeans_centres))],
+        # project (J17): coordinates and zone
         F.round("pc1", 4).alias("pc1"), F.round("pc2", 4).alias("pc2"),
         X.zone("pc1", "pc2").alias("zone"),
     )

@@ -210,4 +210,21 @@ def q_assessment(spark, sf_dir):
     rows = features(spark, sf_dir)
     out = models.assess(rows, mom, lr, reg, centres, names, pca.loadings)
     return finish(out.select("patient_id", "iculos", "probability", "risk_level", "action", "alerts",
-                             "next_hour", "trend", "segment", "segment_name", "pc1", "pc2", "zone"))
+                             "next_hour", "change", "trend", "status", "segment", "segment_name",
+                             *[f"dist_{i}" for i in range(K.KMEANS_K)], "pc1", "pc2", "zone"))
+
+
+@query("recursive_tree_forecast", "J14 J11 D6 E12")
+def q_recursive_tree_forecast(spark, sf_dir):
+    """Six-step recursive forecast with the boosted window model (lags + summary)."""
+    from pyspark.ml.regression import GBTRegressor
+    w = windows.sliding_windows(features(spark, sf_dir), S, "hr", K.WINDOW_SIZE)
+    lags = forecast.lag_names()
+    train, test = split.ordered_split(w, S, train_fraction=0.8)
+    train = models.assemble(train.select("*", *windows.window_summary(lags)),
+                            lags + ["w_mean", "w_std", "w_trend"]).cache()
+    gbt = GBTRegressor(labelCol="y", maxIter=10, maxDepth=4, stepSize=0.3, seed=42).fit(train)
+    out = forecast.recursive_model_forecast(gbt, test.select("patient_id", "iculos", *lags).cache(), lags)
+    steps = [f"f{i}" for i in range(1, 7)]
+    out = out.select("patient_id", "iculos", *[F.bround(c, 1).alias(c) for c in steps])
+    return finish(out.select("*", *forecast.forecast_alerts(steps)))

@@ -324,3 +324,16 @@ def test_high_risk_row_scores_above_normal(spark):
     p = {r["name"]: r["prob"] for r in scored.select("name", "prob").collect()}
     assert 0.0 <= p["normal"] <= 1.0 and 0.0 <= p["high"] <= 1.0
     assert p["high"] > p["normal"]
+
+
+def test_recursive_model_forecast_feeds_predictions(spark):
+    """With a model that predicts the window's last value + 1, step i is last + i."""
+    from pyspark.ml.regression import LinearRegression
+    rows = [(float(a), float(a + 1), float(a + 2), float(a + 3), float(a + 4), float(a + 5), float(a + 6))
+            for a in range(40)]
+    cols = [f"lag{i}" for i in range(6, 0, -1)] + ["y"]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in cols))
+    lr = LinearRegression(labelCol="y", regParam=0.0, solver="normal").fit(
+        models.assemble(df, cols[:-1]))
+    out = forecast.recursive_model_forecast(lr, df.limit(1), cols[:-1], steps=3, with_summary=False).first()
+    assert [round(out[f"f{i}"], 6) for i in (1, 2, 3)] == [6.0, 7.0, 8.0]
