@@ -337,3 +337,18 @@ def test_recursive_model_forecast_feeds_predictions(spark):
         models.assemble(df, cols[:-1]))
     out = forecast.recursive_model_forecast(lr, df.limit(1), cols[:-1], steps=3, with_summary=False).first()
     assert [round(out[f"f{i}"], 6) for i in (1, 2, 3)] == [6.0, 7.0, 8.0]
+
+
+def test_knn_batch_kernel_equals_inline_kernel(spark, monkeypatch):
+    """Many queries use the Arrow-batch kernel; it must equal the JVM kernel."""
+    rng = np.random.default_rng(9)
+    pts = np.round(rng.normal(size=(300, 4)), 2)
+    prof = spark.createDataFrame([(f"p{i:03d}", *map(float, p)) for i, p in enumerate(pts)],
+                                 "patient_id string, a double, b double, c double, d double").repartition(5)
+    queries = prof.limit(40).select(F.col("patient_id").alias("query_id"), "a", "b", "c", "d")
+    cols = ["a", "b", "c", "d"]
+    batch = neighbors.knn(prof, queries, cols, k=5).select("query_id", "rank", "patient_id", "distance")
+    monkeypatch.setattr(neighbors, "INLINE_QUERIES", 1000)
+    inline = neighbors.knn(prof, queries, cols, k=5).select("query_id", "rank", "patient_id", "distance")
+    assert batch.count() == 200
+    assert sorted(batch.collect()) == sorted(inline.collect())
