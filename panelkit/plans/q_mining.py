@@ -139,4 +139,5 @@ def q_top_rules_by_lift(spark, sf_dir):
                "UNION ALL SELECT 'min_confidence', round(max(min_confidence), 6) FROM rf"))
 def q_rule_summary(spark, sf_dir):
     t = balanced_events(spark, sf_dir)
-    return finish(mining.rule_summary(t, itemsets(spark, sf_dir), chosen_rules(spark, sf_dir)))
+    its = mining.frequent_itemsets(mining.transactions(t))
+    return finish(mining.rule_summary(t, its, mining.rules_with_fallback(its)))
