@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -71,7 +70,3 @@ def ensure_bounded(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT,
     if n > limit:
         raise ValueError(f"{what} has more than {limit} rows; refusing to broadcast it")
     return df
-
-
-def env_path(name: str, default: str) -> str:
-    return os.environ.get(name, default)

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from panelkit import constants as K
 from panelkit.functions import scalar as X
-from panelkit.functions.scalar import safe_div
 from panelkit.operators.panel import PanelSpec
 
 
@@ -187,7 +186,3 @@ def risk_score(flag_cols: list[str] | None = None) -> Column:
         total = total + F.col(f)
     total = total + F.col("qsofa")
     return total / float(len(flags) + 2)
-
-
-def ratio(num: str | Column, den: str | Column) -> Column:
-    return safe_div(num, den)

@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 
 from panelkit import constants as K
 from panelkit.functions import scalar as X
-from panelkit.operators import aggregate as agg
 
 
 # ------------------------------------------------------------------ J1 scaler
@@ -282,7 +281,3 @@ def assess(rows: DataFrame, moments: dict, classifier, regressor, kmeans_centres
         F.round("pc1", 4).alias("pc1"), F.round("pc2", 4).alias("pc2"),
         X.zone("pc1", "pc2").alias("zone"),
     )
-
-
-def risk_score_col() -> Column:
-    return agg.risk_score()

@@ -24,8 +24,6 @@ entities the plain one-exchange plan is used.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
@@ -175,7 +173,3 @@ def feature_table(raw: DataFrame, entity: str, order: list[str], ordinal: str =
         halo, spec = with_halo(imputed, entity, ordinal, chunk_rows, back=max(reach, 1))
         feats = drop_halo(windows.add_features(halo, spec)).drop("_pk2")
     return clean.fill_constant(feats, fill_value) if fill_value is not None else feats
-
-
-def needed_chunks(n_rows: int, chunk_rows: int) -> int:
-    return max(1, math.ceil(n_rows / chunk_rows))

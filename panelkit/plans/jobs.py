@@ -161,6 +161,7 @@ def main(argv: list[str]) -> int:
     ap.add_argument("--output", required=True)
     ap.add_argument("--published-presets", action="store_true")
     ap.add_argument("--min-rows", type=int, default=K.MIN_PANEL_ROWS)
+    ap.add_argument("--probes", help="parquet of look-alike probes: query_id + profile features")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"panelkit-{a.job}").getOrCreate()
     shared_dir(spark)
@@ -180,6 +181,8 @@ def main(argv: list[str]) -> int:
             forecast_job(spark, feats, a.output)
         if a.job in ("rules", "all"):
             rules(spark, feats, a.output)
+        if a.job in ("lookalikes", "all") and a.probes:
+            lookalikes(spark, feats, spark.read.parquet(a.probes), a.output)
     return 0
 
 

@@ -293,7 +293,7 @@ def q_confusion_metrics(spark, sf_dir):
 def q_class_report(spark, sf_dir):
     _, test = split_next_hour(spark, sf_dir)
     sc = _clf_scores_spark(test).filter(F.col("model") == "flag_score")
-    return finish(M.class_report_df(sc, "label", "pred"))
+    return finish(M.class_report(sc, "label", "pred"))
 
 
 @query("auroc", "M3",

@@ -34,3 +34,13 @@ def test_gate_forecast_rules_jobs(spark, tmp_path):
     r = jobs.rules(spark, feats, str(tmp_path))
     assert r.count() > 0
     assert spark.read.json(str(tmp_path / "metrics" / "rules")).count() == 5
+
+
+def test_lookalike_job(spark, tmp_path):
+    from panelkit.plans.q_models import probes
+    feats = events_features(spark, SF_SMALL)
+    vote = jobs.lookalikes(spark, feats, probes(spark), str(tmp_path))
+    rows = {r["query_id"]: r for r in vote.collect()}
+    assert set(rows) == {"probe_high_risk", "probe_defaults"}
+    assert all(r["neighbours"] == 10 for r in rows.values())
+    assert spark.read.json(str(tmp_path / "metrics" / "recommendation")).count() == 2
