@@ -173,3 +173,26 @@ def feature_table(raw: DataFrame, entity: str, order: list[str], ordinal: str =
         halo, spec = with_halo(imputed, entity, ordinal, chunk_rows, back=max(reach, 1))
         feats = drop_halo(windows.add_features(halo, spec)).drop("_pk2")
     return clean.fill_constant(feats, fill_value) if fill_value is not None else feats
+
+
+def has_hot_entities(df: DataFrame, entity: str, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> bool:
+    """Whether any entity has more than ``chunk_rows`` rows (one partial aggregate;
+    run it on the cheapest frame that has the entity, e.g. the raw scan)."""
+    return bool(df.groupBy(entity).agg(F.count(F.lit(1)).alias("_n"))
+                .filter(F.col("_n") > chunk_rows).limit(1).collect())
+
+
+def per_entity(df: DataFrame, entity: str, ordinal: str, fn, back: int, forward: int,
+               hot: bool, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """Apply ``fn(frame, spec)`` -- window operators whose frames reach at most
+    ``back`` rows behind and ``forward`` ahead -- per entity.
+
+    Without hot entities this is ``fn(df, PanelSpec(entity, (ordinal,)))``;
+    with them, ``fn`` runs over (entity, ordinal chunk) partitions with halo
+    rows, which are dropped from its result. ``ordinal`` must be the dense
+    1-based position within the entity.
+    """
+    if not hot:
+        return fn(df, PanelSpec(entity, (ordinal,)))
+    halo, spec = with_halo(df, entity, ordinal, chunk_rows, back, forward)
+    return drop_halo(fn(halo, spec))

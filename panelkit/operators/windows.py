@@ -77,21 +77,29 @@ def feature_table(panel: DataFrame, spec: PanelSpec,
 
 
 def sliding_windows(df: DataFrame, spec: PanelSpec, column: str = "hr",
-                    size: int = K.WINDOW_SIZE, as_array: bool = False) -> DataFrame:
+                    size: int = K.WINDOW_SIZE, as_array: bool = False,
+                    ordinal: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Every run of ``size`` consecutive rows with the next row as target.
 
     An entity with n rows yields n - size windows; shorter entities yield none
     (so the min-history filter B4 is implied). Output: entity, order columns
     of the target row, ``lag{size}..lag1`` and ``y`` (or ``window`` array).
+    ``ordinal`` names an existing 1-based position column to use instead of
+    a row_number (needed when ``spec`` partitions an entity into chunks);
+    ``keep`` lists further key columns to carry (e.g. the entity when the
+    spec partitions by an entity-chunk key).
     """
     w = spec.ordered()
     lags = [F.lag(F.col(column), i).over(w).alias(f"lag{i}") for i in range(size, 0, -1)]
-    out = df.select(spec.entity, *spec.order, *lags, F.col(column).alias("y"),
-                    F.row_number().over(w).alias("_rn"))
+    pos = F.col(ordinal) if ordinal else F.row_number().over(w)
+    extra = [c for c in df.columns if c.startswith("_") and c in ("_halo", "_c2", "_pk2")]
+    keys = list(dict.fromkeys([*keep, spec.entity, *spec.order]))
+    out = df.select(*keys, *lags, F.col(column).alias("y"), pos.alias("_rn"),
+                    *[c for c in extra if c not in keys])
     out = out.filter(F.col("_rn") > size).drop("_rn")
     if as_array:
         lag_names = [f"lag{i}" for i in range(size, 0, -1)]
-        out = out.select(spec.entity, *spec.order,
+        out = out.select(*keys, *[c for c in extra if c not in keys],
                          F.array(*lag_names).alias("window"), "y")
     return out
 

@@ -13,7 +13,7 @@ from panelkit import constants as K
 from panelkit.operators import aggregate as agg
 from panelkit.operators import forecast, metrics as M, models, neighbors, split, windows
 from panelkit.plans import oracle as O
-from panelkit.plans.q_panel import S, features
+from panelkit.plans.q_panel import S, features, hr_windows
 from panelkit.plans.q_stats import next_hour
 from panelkit.plans.registry import finish, query
 
@@ -174,7 +174,7 @@ def q_pca_summary(spark, sf_dir):
 @query("fitted_forecasters", "J11 D5 D6 M5 I1")
 def q_fitted_forecasters(spark, sf_dir):
     from pyspark.ml.regression import GBTRegressor, LinearRegression
-    w = windows.sliding_windows(features(spark, sf_dir), S, "hr", K.WINDOW_SIZE)
+    w = hr_windows(spark, sf_dir)
     lags = forecast.lag_names()
     w = w.select("*", *windows.window_summary(lags))
     train, test = split.ordered_split(w, S, train_fraction=0.8)
@@ -218,7 +218,7 @@ def q_assessment(spark, sf_dir):
 def q_recursive_tree_forecast(spark, sf_dir):
     """Six-step recursive forecast with the boosted window model (lags + summary)."""
     from pyspark.ml.regression import GBTRegressor
-    w = windows.sliding_windows(features(spark, sf_dir), S, "hr", K.WINDOW_SIZE)
+    w = hr_windows(spark, sf_dir)
     lags = forecast.lag_names()
     train, test = split.ordered_split(w, S, train_fraction=0.8)
     train = models.assemble(train.select("*", *windows.window_summary(lags)),

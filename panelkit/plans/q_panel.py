@@ -23,6 +23,35 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return skew.feature_table(panel_rows_from_events(spark, sf_dir), "patient_id", ["ts", "event_id"], "iculos")
 
 
+def panel_has_hot(spark: SparkSession, sf_dir: str) -> bool:
+    """Hot-entity check on the raw scan (two columns, one partial aggregate)."""
+    from panelkit.operators import skew
+    from panelkit.sources.tables import read_table
+    ev = read_table(spark, sf_dir, "events", ["user_id"]).withColumn(
+        "patient_id", F.concat(F.lit("p"), F.lpad(F.col("user_id").cast("string"), 6, "0")))
+    return skew.has_hot_entities(ev, "patient_id")
+
+
+def hr_windows(spark: SparkSession, sf_dir: str, feats: DataFrame | None = None,
+               column: str = "hr") -> DataFrame:
+    """D5 over the feature table, chunked with halo rows if an entity is hot."""
+    from panelkit.operators import skew
+    f = feats if feats is not None else features(spark, sf_dir)
+    return skew.per_entity(
+        f, "patient_id", "iculos",
+        lambda d, spec: windows.sliding_windows(d, spec, column, K.WINDOW_SIZE, ordinal="iculos",
+                                                keep=("patient_id",)),
+        back=K.WINDOW_SIZE, forward=0, hot=panel_has_hot(spark, sf_dir))
+
+
+def next_hour_rows(spark: SparkSession, sf_dir: str, feats: DataFrame | None = None) -> DataFrame:
+    """D4 + B5 over the feature table, chunked with a forward halo if an entity is hot."""
+    from panelkit.operators import skew
+    f = feats if feats is not None else features(spark, sf_dir)
+    return skew.per_entity(f, "patient_id", "iculos", lambda d, spec: windows.lead_target(d, spec),
+                           back=0, forward=1, hot=panel_has_hot(spark, sf_dir))
+
+
 def imputed(spark: SparkSession, sf_dir: str) -> DataFrame:
     from panelkit.operators import skew
     from panelkit.sources.tables import PANEL_COLUMNS, panel_rows_from_events
@@ -178,8 +207,7 @@ def q_rolling_raw_gaps(spark, sf_dir):
                f"round(lead(hr) OVER {O.W_ORD}, 6) AS hr_next_hour FROM feat) t "
                "WHERE hr_next_hour IS NOT NULL"))
 def q_next_hour_target(spark, sf_dir):
-    f = features(spark, sf_dir)
-    return finish(windows.lead_target(f, S).select("patient_id", "iculos", "hr", "hr_next_hour"))
+    return finish(next_hour_rows(spark, sf_dir).select("patient_id", "iculos", "hr", "hr_next_hour"))
 
 
 LAG_SQL = ", ".join(f"lag(hr, {i}) OVER {O.W_ORD} AS lag{i}" for i in range(6, 0, -1))
@@ -193,7 +221,7 @@ LAG_SQL = ", ".join(f"lag(hr, {i}) OVER {O.W_ORD} AS lag{i}" for i in range(6, 0
            + ", ".join(f"round(lag{i}, 6) AS lag{i}" for i in range(6, 0, -1))
            + ", round(y, 6) AS y FROM win WHERE rn > 6"))
 def q_sliding_windows(spark, sf_dir):
-    return finish(windows.sliding_windows(features(spark, sf_dir), S, "hr", K.WINDOW_SIZE))
+    return finish(hr_windows(spark, sf_dir))
 
 
 @query("sliding_windows_orders", "D5 B4 D8",
@@ -216,7 +244,7 @@ def q_sliding_windows_orders(spark, sf_dir):
            "round(sqrt(((lag6-m)*(lag6-m)+(lag5-m)*(lag5-m)+(lag4-m)*(lag4-m)+(lag3-m)*(lag3-m)"
            "+(lag2-m)*(lag2-m)+(lag1-m)*(lag1-m))/6e0), 6) AS w_std, round(lag1 - lag6, 6) AS w_trend FROM s"))
 def q_window_summary(spark, sf_dir):
-    win = windows.sliding_windows(features(spark, sf_dir), S, "hr", K.WINDOW_SIZE)
+    win = hr_windows(spark, sf_dir)
     lags = [f"lag{i}" for i in range(6, 0, -1)]
     return finish(win.select("patient_id", "iculos", *windows.window_summary(lags)))
 

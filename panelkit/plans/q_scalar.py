@@ -90,7 +90,8 @@ WIN_CTE = ("win AS (SELECT * FROM (SELECT patient_id, iculos, "
 
 
 def _windows(spark, sf_dir):
-    return windows.sliding_windows(features(spark, sf_dir), S, "hr", K.WINDOW_SIZE)
+    from panelkit.plans.q_panel import hr_windows
+    return hr_windows(spark, sf_dir)
 
 
 @query("exp_smoothing_forecast", "J11 D5",

@@ -25,7 +25,8 @@ CENTRE_COLS = ["hr", "o2sat", "map"]
 
 
 def next_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return windows.lead_target(features(spark, sf_dir), S)
+    from panelkit.plans.q_panel import next_hour_rows
+    return next_hour_rows(spark, sf_dir)
 
 
 def split_next_hour(spark: SparkSession, sf_dir: str):
@@ -347,7 +348,8 @@ def _ts_sql() -> str:
 
 def _ts_scored(spark, sf_dir) -> DataFrame:
     from panelkit.operators import forecast
-    w = windows.sliding_windows(features(spark, sf_dir), S, "hr", K.WINDOW_SIZE)
+    from panelkit.plans.q_panel import hr_windows
+    w = hr_windows(spark, sf_dir)
     _, test = split.ordered_split(w, S, train_fraction=0.8)
     exprs = {"Exp Smoothing": forecast.smoothing_forecast(forecast.lag_names()),
              "Last Value": F.col("lag1"),
@@ -405,8 +407,9 @@ QUALITY_SQL = O.with_(
 @query("quality_gates", "Q1 Q3 Q4 Q5 Q8 Q9 P7", QUALITY_SQL)
 def q_quality_gates(spark, sf_dir):
     f = features(spark, sf_dir)
-    nh = windows.lead_target(f, S)
-    win = windows.sliding_windows(f, S, "hr", K.WINDOW_SIZE)
+    from panelkit.plans.q_panel import hr_windows, next_hour_rows
+    nh = next_hour_rows(spark, sf_dir, f)
+    win = hr_windows(spark, sf_dir, f)
     checks = [
         quality.row_count_gate(f, K.MIN_PANEL_ROWS, "panel_rows_above_floor"),
         quality.no_nulls(f, ["hr", "temp", "o2sat"], "no_null_vitals"),

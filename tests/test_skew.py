@@ -52,3 +52,25 @@ def test_no_hot_entities_uses_one_exchange(spark):
     out = skew.feature_table(rows, "patient_id", ["ts", "event_id"], "iculos", chunk_rows=10_000)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
+
+
+def test_lead_and_lags_on_chunked_panel_equal_plain(spark):
+    rows = hot_rows(spark)
+    spec = PanelSpec("patient_id", ("ts", "event_id"))
+    plain_panel = rows.withColumn("iculos", windows.ordinal(spec).cast("int")).drop("ts", "event_id")
+    plain = windows.feature_table(plain_panel, PanelSpec("patient_id", ("iculos",)))
+    safe = skew.feature_table(rows, "patient_id", ["ts", "event_id"], "iculos", chunk_rows=300)
+    pspec = PanelSpec("patient_id", ("iculos",))
+    lead_plain = windows.lead_target(plain, pspec).select("patient_id", "iculos", "hr_next_hour")
+    lead_safe = skew.per_entity(safe, "patient_id", "iculos", lambda d, s: windows.lead_target(d, s),
+                                back=0, forward=1, hot=True, chunk_rows=300)
+    ok, msg = compare(lead_safe.select("patient_id", "iculos", "hr_next_hour").toPandas(), lead_plain.toPandas())
+    assert ok, msg
+    win_plain = windows.sliding_windows(plain, pspec, "hr", 6)
+    win_safe = skew.per_entity(safe, "patient_id", "iculos",
+                               lambda d, s: windows.sliding_windows(d, s, "hr", 6, ordinal="iculos",
+                                                                    keep=("patient_id",)),
+                               back=6, forward=0, hot=True, chunk_rows=300)
+    ok, msg = compare(win_safe.toPandas(), win_plain.toPandas())
+    assert ok, msg
+    assert skew.has_hot_entities(rows, "patient_id", 300)
