@@ -10,7 +10,7 @@ from panelkit import constants as K
 from panelkit.functions import scalar as X
 from panelkit.operators import aggregate as agg
 from panelkit.operators import metrics as M
-from panelkit.operators import models, quality, split, windows
+from panelkit.operators import forecast, models, quality, split, windows
 from panelkit.plans import oracle as O
 from panelkit.plans.q_panel import S, features
 from panelkit.plans.registry import finish, query
@@ -383,9 +383,14 @@ def q_best_forecaster(spark, sf_dir):
 
 # ---------------------------------------------------------------- quality gates
 
+def _smooth_sql() -> str:
+    from panelkit.plans.q_scalar import SMOOTH_SQL
+    return SMOOTH_SQL
+
+
 QUALITY_SQL = O.with_(
     O.FEATURE_CTES + [
-        O.NH, O.WIN,
+        O.NH, O.WIN, ASSIGN_SQL,
         "ent AS (SELECT patient_id, count(*) AS n FROM feat GROUP BY patient_id)",
         "chk AS ("
         "SELECT 'panel_rows_above_floor' AS check_name, CAST((SELECT count(*) FROM feat) AS DOUBLE) AS observed, 700000e0 AS threshold, "
@@ -399,11 +404,23 @@ QUALITY_SQL = O.with_(
         "UNION ALL SELECT 'window_identity', CAST((SELECT count(*) FROM win) - (SELECT coalesce(sum(n - 6), 0) FROM ent WHERE n >= 7) AS DOUBLE), 0e0, "
         "(SELECT count(*) FROM win) = (SELECT coalesce(sum(n - 6), 0) FROM ent WHERE n >= 7) "
         "UNION ALL SELECT 'next_hour_identity', CAST((SELECT count(*) FROM nh) - ((SELECT count(*) FROM feat) - (SELECT count(*) FROM ent)) AS DOUBLE), 0e0, "
-        "(SELECT count(*) FROM nh) = (SELECT count(*) FROM feat) - (SELECT count(*) FROM ent))"],
+        "(SELECT count(*) FROM nh) = (SELECT count(*) FROM feat) - (SELECT count(*) FROM ent) "
+        f"UNION ALL SELECT 'forecast_hr_in_range', CAST(sum(CASE WHEN p < 30e0 OR p > 250e0 THEN 1 ELSE 0 END) AS DOUBLE), 0e0, "
+        f"coalesce(sum(CASE WHEN p < 30e0 OR p > 250e0 THEN 1 ELSE 0 END), 0) = 0 FROM (SELECT {_smooth_sql()} AS p FROM win) fp "
+        "UNION ALL SELECT 'segment_in_range', CAST(sum(CASE WHEN cluster < 0 OR cluster > 3 THEN 1 ELSE 0 END) AS DOUBLE), 0e0, "
+        "sum(CASE WHEN cluster < 0 OR cluster > 3 THEN 1 ELSE 0 END) = 0 FROM seg)"],
     "SELECT check_name, round(observed, 6) AS observed, round(threshold, 6) AS threshold, passed FROM chk "
     "UNION ALL SELECT 'all_passed', CAST(sum(CASE WHEN passed THEN 1 ELSE 0 END) AS DOUBLE), CAST(count(*) AS DOUBLE), bool_and(passed) FROM chk")
 
 
+@query("covariance_matrix", "F12",
+       O.with_(O.FEATURE_CTES, " UNION ALL ".join(
+           f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(covar_pop({a}, {b}), 6) AS cov FROM feat"
+           for i, a in enumerate(VITAL7) for b in VITAL7[i:])))
+def q_covariance_matrix(spark, sf_dir):
+    return finish(agg.covariance_pairs(features(spark, sf_dir), VITAL7))
+
+
 @query("quality_gates", "Q1 Q3 Q4 Q5 Q8 Q9 P7", QUALITY_SQL)
 def q_quality_gates(spark, sf_dir):
     f = features(spark, sf_dir)
@@ -418,6 +435,10 @@ def q_quality_gates(spark, sf_dir):
         quality.grain_unique(f, ["patient_id", "iculos"], "grain_unique"),
         quality.window_identity(win, f, S, K.WINDOW_SIZE, "window_identity"),
         quality.next_row_identity(nh, f, S, "next_hour_identity"),
+        quality.in_range(win.select(forecast.smoothing_forecast(forecast.lag_names()).alias("p")), "p",
+                         K.HR_RANGE[0], K.HR_RANGE[1], "forecast_hr_in_range"),
+        quality.in_range(models.assign_nearest(f, FIXED_CENTRES, CENTRE_COLS, "cluster"), "cluster",
+                         0, K.KMEANS_K - 1, "segment_in_range"),
     ]
     return finish(quality.summary(checks))
 
