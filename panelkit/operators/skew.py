@@ -68,15 +68,17 @@ def _chunk_expr(tnum: Column) -> Column:
 
 def ordinal_and_impute(df: DataFrame, entity: str, order: list[str], both_ways: list[str],
                        forward_only: list[str], ordinal: str = "iculos",
-                       chunk_rows: int = DEFAULT_CHUNK_ROWS) -> tuple[DataFrame, bool]:
+                       chunk_rows: int = DEFAULT_CHUNK_ROWS,
+                       known_no_hot: bool = False) -> tuple[DataFrame, bool]:
     """Ordinal (row_number by ``order``) plus C1/C2 imputation per entity.
 
     Returns (frame, chunked). ``order[0]`` is the time column used to cut
-    hot entities; ``order`` must be unique within an entity.
+    hot entities; ``order`` must be unique within an entity. A caller that
+    already knows no entity exceeds ``chunk_rows`` skips the detection job.
     """
     cols = both_ways + forward_only
     hot = hot_entities(df, entity, order[0], chunk_rows)
-    hot_rows = hot.limit(BROADCAST_ROW_LIMIT + 1).collect()
+    hot_rows = [] if known_no_hot else hot.limit(BROADCAST_ROW_LIMIT + 1).collect()
     if len(hot_rows) > BROADCAST_ROW_LIMIT:
         raise ValueError("too many hot entities to broadcast; raise chunk_rows")
     if not hot_rows:
@@ -152,7 +154,8 @@ def drop_halo(df: DataFrame) -> DataFrame:
 
 
 def feature_table(raw: DataFrame, entity: str, order: list[str], ordinal: str = "iculos",
-                  chunk_rows: int = DEFAULT_CHUNK_ROWS, fill_value: float | None = 0.0) -> DataFrame:
+                  chunk_rows: int = DEFAULT_CHUNK_ROWS, fill_value: float | None = 0.0,
+                  known_no_hot: bool = False) -> DataFrame:
     """Skew-safe P2: ordinal + imputation + engineered features + fill.
 
     ``raw`` is the panel before the ordinal (e.g. event rows with ts and id).
@@ -161,7 +164,7 @@ def feature_table(raw: DataFrame, entity: str, order: list[str], ordinal: str =
     vitals = [c for c in K.VITALS_LC if c in raw.columns]
     labs = [c for c in K.LABS_LC if c in raw.columns]
     imputed, chunked = ordinal_and_impute(clean.nan_to_null(raw), entity, order, vitals, labs,
-                                          ordinal, chunk_rows)
+                                          ordinal, chunk_rows, known_no_hot)
     if not chunked:
         # frames ordered by the original keys (same row order as the ordinal),
         # so the whole chain reuses the first sort

@@ -20,16 +20,27 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P2 feature table; hot entities (if any) go through the chunked plan."""
     from panelkit.operators import skew
     from panelkit.sources.tables import panel_rows_from_events
-    return skew.feature_table(panel_rows_from_events(spark, sf_dir), "patient_id", ["ts", "event_id"], "iculos")
+    return skew.feature_table(panel_rows_from_events(spark, sf_dir), "patient_id", ["ts", "event_id"], "iculos",
+                              known_no_hot=not panel_has_hot(spark, sf_dir))
+
+
+_HOT_MEMO: dict = {}
 
 
 def panel_has_hot(spark: SparkSession, sf_dir: str) -> bool:
-    """Hot-entity check on the raw scan (two columns, one partial aggregate)."""
+    """Hot-entity check on the raw scan (one column, one partial aggregate).
+
+    The answer is remembered per application, path and file version
+    (modification time and length), so a changed input is checked again."""
     from panelkit.operators import skew
-    from panelkit.sources.tables import read_table
-    ev = read_table(spark, sf_dir, "events", ["user_id"]).withColumn(
-        "patient_id", F.concat(F.lit("p"), F.lpad(F.col("user_id").cast("string"), 6, "0")))
-    return skew.has_hot_entities(ev, "patient_id")
+    from panelkit.sources.tables import read_table, table_version
+    key = (spark.sparkContext.applicationId, sf_dir, table_version(spark, sf_dir, "events"),
+           skew.DEFAULT_CHUNK_ROWS)
+    if key not in _HOT_MEMO:
+        ev = read_table(spark, sf_dir, "events", ["user_id"]).withColumn(
+            "patient_id", F.concat(F.lit("p"), F.lpad(F.col("user_id").cast("string"), 6, "0")))
+        _HOT_MEMO[key] = skew.has_hot_entities(ev, "patient_id")
+    return _HOT_MEMO[key]
 
 
 def hr_windows(spark: SparkSession, sf_dir: str, feats: DataFrame | None = None,
@@ -56,7 +67,8 @@ def imputed(spark: SparkSession, sf_dir: str) -> DataFrame:
     from panelkit.operators import skew
     from panelkit.sources.tables import PANEL_COLUMNS, panel_rows_from_events
     out, _ = skew.ordinal_and_impute(panel_rows_from_events(spark, sf_dir), "patient_id", ["ts", "event_id"],
-                                     K.VITALS_LC, ["lactate"], "iculos")
+                                     K.VITALS_LC, ["lactate"], "iculos",
+                                     known_no_hot=not panel_has_hot(spark, sf_dir))
     return out.select(*PANEL_COLUMNS)
 
 

@@ -25,6 +25,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     return df.select(*columns) if columns else df
 
 
+def table_version(spark: SparkSession, sf_dir: str, name: str) -> tuple:
+    """(modification time, length) of a table's files, via the Hadoop FS."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    st = fs.getFileStatus(path)
+    return (st.getModificationTime(), st.getLen())
+
+
 def _mod(c: Column, m: int) -> Column:
     return c % F.lit(m)
 
@@ -70,8 +79,12 @@ def panel_from_events(spark: SparkSession, sf_dir: str, chunk_rows: int | None =
     """
     from panelkit.operators import skew
     rows = panel_rows_from_events(spark, sf_dir)
+    known = False
+    if chunk_rows is None:
+        from panelkit.plans.q_panel import panel_has_hot
+        known = not panel_has_hot(spark, sf_dir)
     numbered, _ = skew.ordinal_and_impute(rows, "patient_id", ["ts", "event_id"], [], [], "iculos",
-                                          chunk_rows or skew.DEFAULT_CHUNK_ROWS)
+                                          chunk_rows or skew.DEFAULT_CHUNK_ROWS, known_no_hot=known)
     return numbered.select(*PANEL_COLUMNS)
 
 
