@@ -141,3 +141,21 @@ def q_rule_summary(spark, sf_dir):
     t = balanced_events(spark, sf_dir)
     its = mining.frequent_itemsets(mining.transactions(t))
     return finish(mining.rule_summary(t, its, mining.rules_with_fallback(its)))
+
+
+@query("rule_floors", "Q7 N7 H3",
+       O.with_(RULE_CTES + ["tr AS (SELECT * FROM rf ORDER BY lift DESC, ante_key, cons_key LIMIT 10)",
+                            "m AS (SELECT 'total_rules' AS metric, CAST(count(*) AS DOUBLE) AS value FROM rf "
+                            "UNION ALL SELECT 'top_rules', CAST(count(*) AS DOUBLE) FROM tr)",
+                            "t AS (SELECT 'total_rules' AS metric, 50e0 AS bound UNION ALL SELECT 'top_rules', 0e0)"],
+               "SELECT m.metric, round(m.value, 6) AS value, round(t.bound, 6) AS bound, m.value > t.bound AS passed "
+               "FROM m JOIN t ON m.metric = t.metric"))
+def q_rule_floors(spark, sf_dir):
+    """Q7 for the mining run: more than 50 rules and a non-empty top list."""
+    from panelkit.operators import quality
+    r = chosen_rules(spark, sf_dir)
+    top = mining.top_by_lift(r, 10)
+    m = (r.agg(F.count(F.lit(1)).cast("double").alias("value")).select(F.lit("total_rules").alias("metric"), "value")
+         .unionByName(top.agg(F.count(F.lit(1)).cast("double").alias("value"))
+                      .select(F.lit("top_rules").alias("metric"), "value")))
+    return finish(quality.metric_floors(m, [("total_rules", float(K.FLOOR_RULES), "min"), ("top_rules", 0.0, "min")]))
