@@ -15,12 +15,13 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
-    "risk_tier_summary", "panel_scan", "feature_table", "impute_ffill_bfill", "entity_profile",
+    "risk_tier_summary", "panel_scan", "feature_table", "feature_table_chunked", "impute_ffill_bfill",
+    "entity_profile",
     "sliding_windows", "window_summary", "exp_smoothing_forecast", "linear_extrapolation_alerts",
     "kmeans_assign_fixed", "segment_ranking_lookup", "value_distribution", "scaler_stats",
     "correlation_matrix", "ordered_split", "balanced_sample", "auroc_whole_panel",
     "classifier_leaderboard", "forecast_leaderboard", "frequent_itemsets", "rules_with_fallback",
-    "knn_lookalikes", "neighbour_vote", "quality_gates", "regressor_fits",
+    "knn_lookalikes", "neighbour_vote", "quality_gates", "stream_rolling_features", "regressor_fits",
 ]
 
 
