@@ -29,12 +29,14 @@ def where_equals(df: DataFrame, column: str, value) -> DataFrame:
 
 
 def min_history(df: DataFrame, spec: PanelSpec, min_rows: int,
-                how: str = "window") -> DataFrame:
+                how: str = "semi") -> DataFrame:
     """Keep entities with at least ``min_rows`` rows.
 
-    ``window``: an entity count over the panel window (no join; shares the
-    exchange with later per-entity windows). ``semi``: a partially aggregated
-    count per entity, semi-joined back (G1).
+    ``semi`` (default): a partially aggregated count per entity, semi-joined
+    back (G1); adaptive execution can split a hot entity in the join.
+    ``window``: an entity count over the panel window -- no join, and it
+    shares the exchange with later per-entity windows, but one entity's rows
+    meet in one task.
     """
     if how == "window":
         n = F.count(F.lit(1)).over(spec.group())
@@ -144,18 +146,22 @@ def fill_median(df: DataFrame, columns: list[str], spec: PanelSpec | None = None
                 approx: bool = False, accuracy: int = 100000) -> DataFrame:
     """Remaining nulls take the column median (interpolated, like pandas).
 
-    With ``spec`` the median is per entity (a window sharing the panel
-    exchange); without, one global median per column from a single partially
-    aggregated job, inlined as literals. The exact ``percentile`` keeps a
-    count per distinct value; for continuous columns at scale pass
+    With ``spec`` the median is per entity: one aggregate per entity
+    (partial aggregation) joined back on the entity -- a join, unlike a
+    window, lets adaptive execution split a hot entity's rows across tasks
+    (skew join). Without ``spec``, one global median per column from a single
+    partially aggregated job, inlined as literals. The exact ``percentile``
+    keeps a count per distinct value; for continuous columns at scale pass
     ``approx=True`` (``percentile_approx``, bounded sketch per task).
     """
     def med(c):
         return (F.percentile_approx(F.col(c), 0.5, accuracy) if approx
                 else F.percentile(F.col(c), 0.5))
     if spec is not None:
-        w = spec.group()
-        repl = {c: F.coalesce(F.col(c), med(c).over(w)).alias(c) for c in columns}
+        meds = df.groupBy(spec.entity).agg(*[med(c).alias(f"_med_{c}") for c in columns])
+        joined = df.join(meds, on=spec.entity, how="left")
+        repl = {c: F.coalesce(F.col(c), F.col(f"_med_{c}")).alias(c) for c in columns}
+        return joined.select(*[repl.get(c, F.col(c)) for c in df.columns])
     else:
         row = df.agg(*[med(c).alias(c) for c in columns]).first()
         repl = {c: (F.coalesce(F.col(c), F.lit(row[c])) if row[c] is not None else F.col(c)).alias(c)
