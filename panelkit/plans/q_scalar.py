@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from panelkit import constants as K
 from panelkit.functions import scalar as X
 from panelkit.operators import aggregate as agg
-from panelkit.operators import clean, forecast, windows
+from panelkit.operators import clean, forecast
 from panelkit.plans import oracle as O
 from panelkit.plans.q_panel import S, features
 from panelkit.plans.registry import finish, query

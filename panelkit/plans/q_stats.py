@@ -10,7 +10,7 @@ from panelkit import constants as K
 from panelkit.functions import scalar as X
 from panelkit.operators import aggregate as agg
 from panelkit.operators import metrics as M
-from panelkit.operators import forecast, models, quality, split, windows
+from panelkit.operators import forecast, models, quality, split
 from panelkit.plans import oracle as O
 from panelkit.plans.q_panel import S, features
 from panelkit.plans.registry import finish, query

@@ -92,7 +92,7 @@ def _split_events(src, dest, parts, only=None):
 
 
 def test_stream_over_many_batches_equals_batch(spark, tmp_path):
-    from panelkit.plans.q_stream import q_stream_rolling_features  # noqa: F401
+
     from panelkit.plans.catalog import all_queries
     d = tmp_path / "ev"
     d.mkdir()
