@@ -139,9 +139,12 @@ def q_impute(spark, sf_dir):
                            for c in O.VITALS + ["lactate"])
                + " FROM panel"))
 def q_impute_forward_only(spark, sf_dir):
-    p = panel_from_events(spark, sf_dir)
+    from panelkit.operators import skew
+    from panelkit.sources.tables import panel_rows_from_events
     cols = K.VITALS_LC + ["lactate"]
-    return finish(clean.fill_forward(p, S, cols).select("patient_id", "iculos", *cols))
+    out, _ = skew.ordinal_and_impute(panel_rows_from_events(spark, sf_dir), "patient_id", ["ts", "event_id"],
+                                     [], cols, "iculos", known_no_hot=not panel_has_hot(spark, sf_dir))
+    return finish(out.select("patient_id", "iculos", *cols))
 
 
 @query("impute_median_entity", "C3",
@@ -191,12 +194,16 @@ def q_feature_table_chunked(spark, sf_dir):
                f"round(coalesce(stddev_samp(hr) OVER {O.w_trail(3)}, 0e0), 6) AS hr_std_3h, "
                f"round(hr - lag(hr) OVER {O.W_ORD}, 6) AS hr_trend FROM imp"))
 def q_rolling_hr(spark, sf_dir):
-    df = imputed(spark, sf_dir)
-    return finish(df.select("patient_id", "iculos",
-                            windows.rolling_mean("hr", 3, S).alias("hr_mean_3h"),
-                            windows.rolling_mean("hr", 6, S).alias("hr_mean_6h"),
-                            windows.rolling_std("hr", 3, S).alias("hr_std_3h"),
-                            windows.diff("hr", S).alias("hr_trend")))
+    from panelkit.operators import skew
+
+    def frames(d, spec):
+        return d.select("*", windows.rolling_mean("hr", 3, spec).alias("hr_mean_3h"),
+                        windows.rolling_mean("hr", 6, spec).alias("hr_mean_6h"),
+                        windows.rolling_std("hr", 3, spec).alias("hr_std_3h"),
+                        windows.diff("hr", spec).alias("hr_trend"))
+    out = skew.per_entity(imputed(spark, sf_dir), "patient_id", "iculos", frames, back=5, forward=0,
+                          hot=panel_has_hot(spark, sf_dir))
+    return finish(out.select("patient_id", "iculos", "hr_mean_3h", "hr_mean_6h", "hr_std_3h", "hr_trend"))
 
 
 @query("rolling_raw_gaps", "D1 D2 D3 T7",
@@ -206,11 +213,15 @@ def q_rolling_hr(spark, sf_dir):
                f"round(coalesce(stddev_samp(map) OVER {O.w_trail(3)}, 0e0), 6) AS map_std_3h, "
                f"round(map - lag(map) OVER {O.W_ORD}, 6) AS map_trend FROM panel"))
 def q_rolling_raw_gaps(spark, sf_dir):
-    p = panel_from_events(spark, sf_dir)
-    return finish(p.select("patient_id", "iculos",
-                           windows.rolling_mean("map", 3, S).alias("map_mean_3h"),
-                           windows.rolling_std("map", 3, S).alias("map_std_3h"),
-                           windows.diff("map", S).alias("map_trend")))
+    from panelkit.operators import skew
+
+    def frames(d, spec):
+        return d.select("*", windows.rolling_mean("map", 3, spec).alias("map_mean_3h"),
+                        windows.rolling_std("map", 3, spec).alias("map_std_3h"),
+                        windows.diff("map", spec).alias("map_trend"))
+    out = skew.per_entity(panel_from_events(spark, sf_dir), "patient_id", "iculos", frames, back=2, forward=0,
+                          hot=panel_has_hot(spark, sf_dir))
+    return finish(out.select("patient_id", "iculos", "map_mean_3h", "map_std_3h", "map_trend"))
 
 
 @query("next_hour_target", "D4 B5",
@@ -236,6 +247,14 @@ def q_sliding_windows(spark, sf_dir):
     return finish(hr_windows(spark, sf_dir))
 
 
+def _numbered_orders(spark, sf_dir):
+    """Orders panel with a dense per-customer ordinal ``seq`` (hot customers chunked)."""
+    from panelkit.operators import skew
+    df = panel_from_orders(spark, sf_dir)
+    out, chunked = skew.ordinal_and_impute(df, "o_custkey", ["o_orderdate", "o_orderkey"], [], [], "seq")
+    return out, chunked
+
+
 @query("sliding_windows_orders", "D5 B4 D8",
        "SELECT o_custkey, o_orderkey, lag6, lag5, lag4, lag3, lag2, lag1, y FROM (SELECT CAST(o_custkey AS BIGINT) AS o_custkey, CAST(o_orderkey AS BIGINT) AS o_orderkey, "
        + ", ".join(f"round(lag(o_totalprice, {i}) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey), 6) AS lag{i}"
@@ -243,9 +262,14 @@ def q_sliding_windows(spark, sf_dir):
        + ", round(o_totalprice, 6) AS y, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn "
        "FROM orders) t WHERE rn > 6")
 def q_sliding_windows_orders(spark, sf_dir):
-    df = panel_from_orders(spark, sf_dir)
-    out = windows.sliding_windows(df, ORDER_PANEL, "o_totalprice", K.WINDOW_SIZE)
-    return finish(out.drop("o_orderdate"))
+    from panelkit.operators import skew
+    df, hot = _numbered_orders(spark, sf_dir)
+    out = skew.per_entity(
+        df, "o_custkey", "seq",
+        lambda d, spec: windows.sliding_windows(d, spec, "o_totalprice", K.WINDOW_SIZE, ordinal="seq",
+                                                keep=("o_custkey", "o_orderkey")),
+        back=K.WINDOW_SIZE, forward=0, hot=hot)
+    return finish(out.drop("seq", "o_orderdate"))
 
 
 @query("window_summary", "D5 D6",
@@ -266,8 +290,8 @@ def q_window_summary(spark, sf_dir):
        "CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS BIGINT) AS seq "
        "FROM orders")
 def q_ordinal_orders(spark, sf_dir):
-    df = panel_from_orders(spark, sf_dir)
-    return finish(df.select("o_custkey", "o_orderkey", windows.ordinal(ORDER_PANEL).alias("seq")))
+    df, _ = _numbered_orders(spark, sf_dir)
+    return finish(df.select("o_custkey", "o_orderkey", "seq"))
 
 
 @query("entity_profile", "F1 P5",

@@ -74,3 +74,21 @@ def test_lead_and_lags_on_chunked_panel_equal_plain(spark):
     ok, msg = compare(win_safe.toPandas(), win_plain.toPandas())
     assert ok, msg
     assert skew.has_hot_entities(rows, "patient_id", 300)
+
+
+def test_orders_panel_chunked_equals_plain(spark):
+    """Long-tailed panel with tied dates: ordinal in 3-row time chunks and lags
+    over 8-row ordinal chunks equal the plain windows."""
+    from panelkit.operators.panel import ORDER_PANEL
+    from panelkit.sources.tables import panel_from_orders
+    df = panel_from_orders(spark, SF)
+    plain = windows.sliding_windows(df, ORDER_PANEL, "o_totalprice", 6).drop("o_orderdate")
+    numbered, chunked = skew.ordinal_and_impute(df, "o_custkey", ["o_orderdate", "o_orderkey"], [], [], "seq",
+                                                chunk_rows=3)
+    assert chunked
+    safe = skew.per_entity(
+        numbered, "o_custkey", "seq",
+        lambda d, s: windows.sliding_windows(d, s, "o_totalprice", 6, ordinal="seq", keep=("o_custkey", "o_orderkey")),
+        back=6, forward=0, hot=True, chunk_rows=8).drop("seq", "o_orderdate")
+    ok, msg = compare(safe.toPandas(), plain.toPandas())
+    assert ok, msg
