@@ -114,19 +114,19 @@ def rolling_step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterat
     if m == 0:
         state.update((n, last_ts, last_id, late, carry, *[hist[c] for c in ROLLED]))
         return
-    out = pd.DataFrame({"patient_id": pdf["patient_id"], "iculos": np.arange(n + 1, n + m + 1, dtype="int32")})
+    out = {"patient_id": pdf["patient_id"].to_numpy(), "iculos": np.arange(n + 1, n + m + 1, dtype="int32")}
     for i, c in enumerate(FILL_FORWARD):
         filled = _ffill(pdf[c].to_numpy(dtype="float64"), carry[i])
         out[c] = filled
         last = filled[-1]
         carry[i] = None if np.isnan(last) else float(last)
     for c in ["age", "gender"]:
-        out[c] = pdf[c].astype("float64")
-    out["sepsislabel"] = pdf["sepsislabel"].astype("int32")
+        out[c] = pdf[c].to_numpy(dtype="float64")
+    out["sepsislabel"] = pdf["sepsislabel"].to_numpy(dtype="int32")
     ext = {}
     for c in ROLLED:
         past = np.array([np.nan if v is None else v for v in hist[c]], dtype="float64")
-        ext[c] = pd.Series(np.concatenate([past, out[c].to_numpy()]))
+        ext[c] = pd.Series(np.concatenate([past, out[c]]))
     h = {c: len(hist[c]) for c in ROLLED}
     for name, src, w in K.ROLLING_MEANS:
         out[name] = ext[src].rolling(w, min_periods=1).mean().to_numpy()[h[src]:]
@@ -135,7 +135,7 @@ def rolling_step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterat
     for name, src, w in K.ROLLING_STDS:
         out[name] = ext[src].rolling(w, min_periods=1).std().fillna(0.0).to_numpy()[h[src]:]
     for name, src, op, t in K.ALARM_FLAGS:
-        vals = out[src].to_numpy()
+        vals = out[src]
         with np.errstate(invalid="ignore"):
             out[name] = np.where(np.isnan(vals), False, _CMP[op](vals, t)).astype("int32")
     out["qsofa"] = (out["flag_tachypnea"] + out["flag_low_bp"]).astype("int32")
@@ -143,14 +143,15 @@ def rolling_step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterat
     # ST3: six-step linear extrapolation from the last six hr values (first and last used)
     hr_all = ext["hr"].to_numpy()
     first = pd.Series(hr_all).shift(K.WINDOW_SIZE - 1).to_numpy()[h["hr"]:]
-    lastv = out["hr"].to_numpy()
+    lastv = out["hr"]
     enough = (n + np.arange(1, m + 1)) >= K.WINDOW_SIZE
     slope = (lastv - first) / float(K.WINDOW_SIZE - 1)
     for i in range(1, 7):
         raw = np.where(enough, lastv + slope * float(i), np.nan)
         out[f"fc{i}"] = _bround1_vec(raw)
-    fill_cols = [c for c in OUT_COLS if c not in ("patient_id",) and not c.startswith("fc")]
-    out[fill_cols] = out[fill_cols].fillna(0)
+    for c in OUT_COLS:
+        if c != "patient_id" and not c.startswith("fc") and out[c].dtype.kind == "f":
+            out[c] = np.nan_to_num(out[c], nan=0.0)
     for c in ROLLED:
         hist[c] = [None if np.isnan(v) else float(v) for v in ext[c].to_numpy()[-HISTORY:]]
     n += m
@@ -158,7 +159,7 @@ def rolling_step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterat
     state.update((n, last_ts, last_id, late, carry, *[hist[c] for c in ROLLED]))
     if state.getCurrentWatermarkMs() > 0:
         state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + 6 * 3600 * 1000)
-    yield out[OUT_COLS]
+    yield pd.DataFrame({c: out[c] for c in OUT_COLS})
 
 
 def rolling_features_stream(rows: DataFrame, watermark: str = "6 hours") -> DataFrame:
