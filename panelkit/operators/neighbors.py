@@ -4,8 +4,9 @@ Exact k-NN of a bounded query set against every profile, without a join.
 The query set is size-checked (at most ``MAX_QUERIES`` rows) and travels
 with the plan; profiles are never collected. Two equivalent kernels:
 
-* up to ``INLINE_QUERIES`` queries: each query is a literal point and every
-  profile computes its squared distance to each in one JVM projection;
+* up to ``INLINE_TERMS`` query-coordinate terms (queries x features): each
+  query is a literal point and every profile computes its squared distance
+  to each in one JVM projection;
 * more queries: ``mapInPandas`` scores each Arrow batch of profiles against
   the query matrix in NumPy and emits only each query's batch top-k
   (ties at the k-th distance included).
@@ -27,7 +28,7 @@ from panelkit.functions import scalar as X
 from panelkit.operators.models import apply_scaler, scaler_moments
 
 MAX_QUERIES = 100_000
-INLINE_QUERIES = 16
+INLINE_TERMS = 256
 QUERY_BLOCK = 1024
 
 
@@ -98,7 +99,7 @@ def knn(profiles: DataFrame, queries: DataFrame, features: list[str], k: int = K
     mom = scaler_moments(prof, features) if standardize else {c: (0.0, 1.0) for c in features}
     z = apply_scaler(prof, mom, suffix="_z")
     qz = [[(float(r[c] or 0.0) - mom[c][0]) / mom[c][1] for c in features] for r in q_rows]
-    if len(q_rows) <= INLINE_QUERIES:
+    if len(q_rows) * len(features) <= INLINE_TERMS:
         cand = _inline_candidates(z, q_rows, qz, features, query_key)
         if exclude_self:
             cand = cand.filter(F.col(query_key).cast("string") != F.col(profile_key).cast("string"))

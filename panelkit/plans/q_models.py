@@ -228,3 +228,46 @@ def q_recursive_tree_forecast(spark, sf_dir):
     steps = [f"f{i}" for i in range(1, 7)]
     out = out.select("patient_id", "iculos", *[F.bround(c, 1).alias(c) for c in steps])
     return finish(out.select("*", *forecast.forecast_alerts(steps)))
+
+
+def _embedding_columns(spark, sf_dir):
+    from panelkit.sources.tables import read_table
+    emb = read_table(spark, sf_dir, "embeddings", ["vec_id", "label", "embedding"])
+    dims = emb.agg(F.max(F.size("embedding")).alias("d")).first()["d"] or 0
+    cols = [f"e_{i:02d}" for i in range(dims)]
+    flat = emb.select(F.col("vec_id").cast("string").alias("vec_key"), "vec_id", "label",
+                      *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(cols)])
+    return flat, cols
+
+
+EMB_SQL = [
+    "e AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS v, generate_subscripts(embedding, 1) AS i "
+    "FROM embeddings)",
+    "c AS (SELECT label, i, avg(v) AS cv FROM e GROUP BY label, i)",
+    "d AS (SELECT 'label_' || CAST(c.label AS VARCHAR) AS query_id, c.label AS probe_label, e.vec_id, "
+    "any_value(e.label) AS label, sum((e.v - c.cv) * (e.v - c.cv)) AS d2 "
+    "FROM e JOIN c ON e.i = c.i GROUP BY 1, 2, 3)",
+    "nb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY d2, CAST(vec_id AS VARCHAR)) "
+    "AS rank FROM d) t WHERE rank <= 10)",
+]
+
+
+@query("knn_embedding_centroids", "J12 J13 G5",
+       O.with_(EMB_SQL, "SELECT query_id, CAST(count(*) AS BIGINT) AS neighbours, "
+               "CAST(sum(CASE WHEN label = probe_label THEN 1 ELSE 0 END) AS BIGINT) AS same_label, "
+               "round(avg(sqrt(d2)), 6) AS mean_distance, round(max(sqrt(d2)), 6) AS max_distance FROM nb GROUP BY query_id"))
+def q_knn_embedding_centroids(spark, sf_dir):
+    """k-NN on vectors: the 10 embeddings nearest to each label's centroid
+    (probes derived from the data, bounded by the label domain), and how many
+    of them carry that label."""
+    flat, cols = _embedding_columns(spark, sf_dir)
+    centroids = flat.groupBy("label").agg(*[F.avg(c).alias(c) for c in cols]).select(
+        F.concat(F.lit("label_"), F.col("label").cast("string")).alias("query_id"),
+        F.col("label").alias("probe_label"), *cols)
+    nb = neighbors.knn(flat, centroids, cols, k=10, profile_key="vec_key", standardize=False,
+                       exclude_self=False)
+    nb = nb.withColumn("probe_label", F.regexp_extract("query_id", r"label_(-?\d+)", 1).cast("int"))
+    return finish(nb.groupBy("query_id").agg(
+        F.count(F.lit(1)).alias("neighbours"),
+        F.sum(F.when(F.col("label") == F.col("probe_label"), 1).otherwise(0)).alias("same_label"),
+        F.avg("distance").alias("mean_distance"), F.max("distance").alias("max_distance")))

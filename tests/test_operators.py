@@ -348,7 +348,7 @@ def test_knn_batch_kernel_equals_inline_kernel(spark, monkeypatch):
     queries = prof.limit(40).select(F.col("patient_id").alias("query_id"), "a", "b", "c", "d")
     cols = ["a", "b", "c", "d"]
     batch = neighbors.knn(prof, queries, cols, k=5).select("query_id", "rank", "patient_id", "distance")
-    monkeypatch.setattr(neighbors, "INLINE_QUERIES", 1000)
+    monkeypatch.setattr(neighbors, "INLINE_TERMS", 10**6)
     inline = neighbors.knn(prof, queries, cols, k=5).select("query_id", "rank", "patient_id", "distance")
     assert batch.count() == 200
     assert sorted(batch.collect()) == sorted(inline.collect())
