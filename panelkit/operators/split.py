@@ -15,6 +15,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelkit.config import cut_lineage
 from panelkit.operators.panel import PanelSpec
 
 # Below this many rows the final pick is a bounded top-k (TakeOrderedAndProject).
@@ -46,6 +47,9 @@ def kth_key(df: DataFrame, order: list[str], k: int, ranges: int | None = None,
     cur = df.select(*order)
     if known_count is not None and known_count <= FINAL_PICK_ROWS:
         return _final_pick(cur, order, k)
+    # several rounds read the candidate keys: materialise them once in the
+    # shared checkpoint folder instead of re-running their lineage per round
+    cur = cut_lineage(cur)
     spark = df.sparkSession
     ranges = ranges or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8)
     target = k
@@ -90,6 +94,8 @@ def weighted_select(weights: DataFrame, order: list[str], weight: str, k_of_tota
     small = cur.limit(FINAL_PICK_ROWS + 1).collect()
     offset = 0
     k = None
+    if len(small) > FINAL_PICK_ROWS:
+        cur = cut_lineage(cur)  # rounds below re-read it; do not recompute its lineage
     while len(small) > FINAL_PICK_ROWS:
         stats = (cur.repartitionByRange(ranges, *order)
                  .groupBy(F.spark_partition_id().alias("pid"))
