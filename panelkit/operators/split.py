@@ -248,6 +248,8 @@ def _hex_select(df: DataFrame, key: str, k: int, hist: list | None = None) -> st
         hist = None
         if chosen["n"] <= FINAL_PICK_ROWS or len(prefix) >= 32:
             return _final_pick(cur, [key], target)[0]
+        # another level follows: keep only this bucket's keys, materialised
+        cur = cut_lineage(cur)
 
 
 def hash_first(df: DataFrame, key_cols: list[str], n: int) -> DataFrame:
