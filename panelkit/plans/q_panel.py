@@ -34,12 +34,15 @@ def panel_has_hot(spark: SparkSession, sf_dir: str) -> bool:
     (modification time and length), so a changed input is checked again."""
     from panelkit.operators import skew
     from panelkit.sources.tables import read_table, table_version
-    key = (spark.sparkContext.applicationId, sf_dir, table_version(spark, sf_dir, "events"),
-           skew.DEFAULT_CHUNK_ROWS)
-    if key not in _HOT_MEMO:
+    version = table_version(spark, sf_dir, "events")
+    key = (id(spark), sf_dir, version, skew.DEFAULT_CHUNK_ROWS)
+    if version is None or key not in _HOT_MEMO:
         ev = read_table(spark, sf_dir, "events", ["user_id"]).withColumn(
             "patient_id", F.concat(F.lit("p"), F.lpad(F.col("user_id").cast("string"), 6, "0")))
-        _HOT_MEMO[key] = skew.has_hot_entities(ev, "patient_id")
+        hot = skew.has_hot_entities(ev, "patient_id")
+        if version is None:
+            return hot
+        _HOT_MEMO[key] = hot
     return _HOT_MEMO[key]
 
 

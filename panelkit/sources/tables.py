@@ -25,13 +25,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     return df.select(*columns) if columns else df
 
 
-def table_version(spark: SparkSession, sf_dir: str, name: str) -> tuple:
-    """(modification time, length) of a table's files, via the Hadoop FS."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    st = fs.getFileStatus(path)
-    return (st.getModificationTime(), st.getLen())
+def table_version(spark: SparkSession, sf_dir: str, name: str) -> tuple | None:
+    """(modification time, length) of a table's files via the Hadoop FS, or
+    None when it cannot be read (then callers do not cache by version)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        st = fs.getFileStatus(path)
+        return (st.getModificationTime(), st.getLen())
+    except Exception:  # noqa: BLE001 - no JVM access (e.g. remote session)
+        return None
 
 
 def _mod(c: Column, m: int) -> Column:
