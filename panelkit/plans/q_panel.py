@@ -35,7 +35,8 @@ def panel_has_hot(spark: SparkSession, sf_dir: str) -> bool:
     from panelkit.operators import skew
     from panelkit.sources.tables import read_table, table_version
     version = table_version(spark, sf_dir, "events")
-    key = (id(spark), sf_dir, version, skew.DEFAULT_CHUNK_ROWS)
+    key = (spark.sparkContext.applicationId if version is not None else None, sf_dir, version,
+           skew.DEFAULT_CHUNK_ROWS)
     if version is None or key not in _HOT_MEMO:
         ev = read_table(spark, sf_dir, "events", ["user_id"]).withColumn(
             "patient_id", F.concat(F.lit("p"), F.lpad(F.col("user_id").cast("string"), 6, "0")))
