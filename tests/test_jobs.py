@@ -44,3 +44,24 @@ def test_lookalike_job(spark, tmp_path):
     assert set(rows) == {"probe_high_risk", "probe_defaults"}
     assert all(r["neighbours"] == 10 for r in rows.values())
     assert spark.read.json(str(tmp_path / "metrics" / "recommendation")).count() == 2
+
+
+def test_train_job_writes_models_metrics_manifest(spark, tmp_path):
+    import json
+    import os
+    from panelkit.operators.models import Presets
+    feats = events_features(spark, SF_SMALL)
+    presets = Presets(lr_max_iter=10, rf_trees=3, rf_depth=3, xgb_rounds=3, gb_rounds=3,
+                      reg_trees=3, reg_rounds=3, kmeans_restarts=1, kmeans_iter=5)
+    manifest = jobs.train(spark, feats, str(tmp_path), presets)
+    n = feats.count() - feats.select("patient_id").distinct().count()   # rows with a next hour
+    assert manifest["train_rows"] + manifest["test_rows"] == n
+    assert manifest["test_rows"] == -(-2 * n // 10)          # ceil(0.2 n)
+    assert manifest["best_model"] in {"Logistic Regression", "Random Forest", "XGBoost", "Gradient Boosting"}
+    assert 1 <= manifest["components_for_80pct"] <= manifest["components_for_95pct"] <= 28
+    board = spark.read.json(str(tmp_path / "metrics" / "classification"))
+    assert board.count() == 4
+    assert sorted(os.listdir(tmp_path / "models")) == ["gradient_boosting", "logistic_regression",
+                                                       "random_forest", "xgboost"]
+    doc = json.loads(spark.read.text(str(tmp_path / "manifest")).first()[0])
+    assert doc["train_rows"] == manifest["train_rows"]
