@@ -31,11 +31,19 @@ def q_stream_rolling_features(spark, sf_dir):
     return finish(ST.stream_features(spark, events_glob(sf_dir)).select(*ST.OUT_COLS))
 
 
-@query("stream_scores", "ST1 E4 E7",
-       O.with_(FWD_CTES, "SELECT patient_id, CAST(iculos AS BIGINT) AS iculos, round(hr, 6) AS hr, round(temp, 6) AS temp, "
+DANGER_SQL = " + ".join(f"(CASE WHEN fc.fc{i} > 100 THEN 1 ELSE 0 END)" for i in range(1, 7))
+
+
+@query("stream_scores", "ST1 ST3 E4 E7 E12",
+       O.with_(FWD_CTES + [f"fc AS (SELECT i.patient_id, i.iculos, {FC_SQL} FROM imp i)"],
+               "SELECT f.patient_id, CAST(f.iculos AS BIGINT) AS iculos, round(f.hr, 6) AS hr, round(f.temp, 6) AS temp, "
                f"round({O.RISK_SQL}, 6) AS score, CASE WHEN {O.RISK_SQL} >= 0.7e0 THEN 'HIGH RISK' "
                f"WHEN {O.RISK_SQL} >= 0.4e0 THEN 'MODERATE RISK' ELSE 'LOW RISK' END AS risk_level, "
                "concat_ws(', ', " + ", ".join(f"CASE WHEN {f} > 0 THEN '{t}' END" for f, t in K.ALERTS)
-               + f", CASE WHEN qsofa >= 2 THEN '{K.QSOFA_ALERT}' END) AS alerts FROM feat"))
+               + f", CASE WHEN qsofa >= 2 THEN '{K.QSOFA_ALERT}' END) AS alerts, "
+               f"CAST({DANGER_SQL} AS BIGINT) AS danger_hours, "
+               f"CASE WHEN {DANGER_SQL} > 0 THEN 'HR predicted >100bpm in ' || ({DANGER_SQL}) || ' of next 6 hours' "
+               "ELSE 'No danger predicted' END AS forecast_message "
+               "FROM feat f JOIN fc ON f.patient_id = fc.patient_id AND f.iculos = fc.iculos"))
 def q_stream_scores(spark, sf_dir):
     return finish(ST.stream_scores(spark, events_glob(sf_dir)))

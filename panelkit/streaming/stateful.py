@@ -171,11 +171,16 @@ def rolling_features_stream(rows: DataFrame, watermark: str = "6 hours") -> Data
 
 
 def score_stream(features: DataFrame) -> DataFrame:
-    """ST1: stateless scoring with the batch expressions."""
+    """ST1 + ST3: stateless scoring with the batch expressions, plus the
+    forecast alert once an entity has six values (E12 on fc1..fc6)."""
+    from panelkit.operators.forecast import forecast_alerts
     score = agg.risk_score()
+    steps = [f"fc{i}" for i in range(1, 7)]
+    alerts = forecast_alerts(steps)
     return features.select("patient_id", "iculos", "hr", "temp", score.alias("score"),
                            X.probability_tier(score).alias("risk_level"),
-                           F.concat_ws(", ", X.alert_list()).alias("alerts"))
+                           F.concat_ws(", ", X.alert_list()).alias("alerts"),
+                           alerts[1], alerts[3].alias("forecast_message"))
 
 
 def alert_log_rows(scored: DataFrame) -> DataFrame:
