@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelkit import constants as K
@@ -72,8 +72,10 @@ def value_distribution(df: DataFrame, columns: list[str]) -> DataFrame:
     pairs = ", ".join(f"'{c}', `{c}`" for c in columns)
     long = df.selectExpr(f"stack({len(columns)}, {pairs}) AS (`column`, `value`)")
     counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt"))
-    total = F.sum("cnt").over(Window.partitionBy("column"))
-    return counts.withColumn("pct", F.col("cnt") * 100.0 / total)
+    # per-column totals: one row per column (bounded), broadcast back
+    totals = counts.groupBy("column").agg(F.sum("cnt").alias("_total"))
+    out = counts.join(F.broadcast(totals), on="column", how="inner")
+    return out.select("column", "value", "cnt", (F.col("cnt") * 100.0 / F.col("_total")).alias("pct"))
 
 
 def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -56,8 +56,9 @@ def frequent_itemsets(df: DataFrame, items: str = "items", min_support: float =
     Output: itemset, key (items joined by ', '), size, support.
     """
     b = baskets(df, items)
-    n_total = F.sum("w").over(Window.partitionBy())
-    b = b.withColumn("_n", n_total)
+    # one scalar (the transaction count) from the partially aggregated baskets
+    n_total = float(b.agg(F.sum("w")).first()[0] or 0.0)
+    b = b.withColumn("_n", F.lit(n_total))
     masks = b.select("basket", "w", "_n",
                      F.explode(F.sequence(F.lit(1), F.pow(F.lit(2), F.size("basket")).cast("int") - 1)).alias("_m"))
     subs = masks.select(_subsets("basket", "_m").alias("itemset"), "w", "_n")
