@@ -26,7 +26,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 from panelkit import constants as K
 from panelkit.config import BROADCAST_ROW_LIMIT
@@ -155,7 +155,7 @@ def drop_halo(df: DataFrame) -> DataFrame:
 
 def feature_table(raw: DataFrame, entity: str, order: list[str], ordinal: str = "iculos",
                   chunk_rows: int = DEFAULT_CHUNK_ROWS, fill_value: float | None = 0.0,
-                  known_no_hot: bool = False) -> DataFrame:
+                  known_no_hot: bool = False, keep_order: bool = False) -> DataFrame:
     """Skew-safe P2: ordinal + imputation + engineered features + fill.
 
     ``raw`` is the panel before the ordinal (e.g. event rows with ts and id).
@@ -169,13 +169,21 @@ def feature_table(raw: DataFrame, entity: str, order: list[str], ordinal: str =
         # frames ordered by the original keys (same row order as the ordinal),
         # so the whole chain reuses the first sort
         feats = windows.add_features(imputed, PanelSpec(entity, tuple(order)), hours_col=ordinal)
-        feats = feats.drop(*order)
     else:
-        imputed = imputed.drop(*order)
         reach = max(n for _, _, n in K.ROLLING_MEANS + K.ROLLING_STDS) - 1
         halo, spec = with_halo(imputed, entity, ordinal, chunk_rows, back=max(reach, 1))
         feats = drop_halo(windows.add_features(halo, spec)).drop("_pk2")
-    return clean.fill_constant(feats, fill_value) if fill_value is not None else feats
+    if not keep_order:
+        # keep_order leaves the order keys in, so later per-entity windows
+        # ordered by them reuse this plan's sort
+        feats = feats.drop(*order)
+    if fill_value is None:
+        return feats
+    # fill every numeric column except the order keys: rewriting a key column
+    # would hide the sort order from later windows
+    fill_cols = [f.name for f in feats.schema.fields
+                 if f.name not in order and isinstance(f.dataType, NumericType)]
+    return clean.fill_constant(feats, fill_value, fill_cols)
 
 
 def has_hot_entities(df: DataFrame, entity: str, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> bool:
@@ -186,16 +194,19 @@ def has_hot_entities(df: DataFrame, entity: str, chunk_rows: int = DEFAULT_CHUNK
 
 
 def per_entity(df: DataFrame, entity: str, ordinal: str, fn, back: int, forward: int,
-               hot: bool, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+               hot: bool, chunk_rows: int = DEFAULT_CHUNK_ROWS,
+               order: tuple[str, ...] | None = None) -> DataFrame:
     """Apply ``fn(frame, spec)`` -- window operators whose frames reach at most
     ``back`` rows behind and ``forward`` ahead -- per entity.
 
     Without hot entities this is ``fn(df, PanelSpec(entity, (ordinal,)))``;
     with them, ``fn`` runs over (entity, ordinal chunk) partitions with halo
     rows, which are dropped from its result. ``ordinal`` must be the dense
-    1-based position within the entity.
+    1-based position within the entity. Without hot entities, ``order``
+    (columns in the same row order as the ordinal, e.g. the keys the ordinal
+    was numbered by) lets the windows reuse the sort that produced ``df``.
     """
     if not hot:
-        return fn(df, PanelSpec(entity, (ordinal,)))
+        return fn(df, PanelSpec(entity, tuple(order) if order else (ordinal,)))
     halo, spec = with_halo(df, entity, ordinal, chunk_rows, back, forward)
     return drop_halo(fn(halo, spec))

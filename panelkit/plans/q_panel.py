@@ -16,12 +16,20 @@ from panelkit.sources.tables import panel_from_events, panel_from_orders
 S = VITAL_PANEL
 
 
-def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P2 feature table; hot entities (if any) go through the chunked plan."""
+ORDER_KEYS = ("ts", "event_id")
+
+
+def features_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P2 feature table that still carries its order keys (ts, event_id)."""
     from panelkit.operators import skew
     from panelkit.sources.tables import panel_rows_from_events
-    return skew.feature_table(panel_rows_from_events(spark, sf_dir), "patient_id", ["ts", "event_id"], "iculos",
-                              known_no_hot=not panel_has_hot(spark, sf_dir))
+    return skew.feature_table(panel_rows_from_events(spark, sf_dir), "patient_id", list(ORDER_KEYS), "iculos",
+                              known_no_hot=not panel_has_hot(spark, sf_dir), keep_order=True)
+
+
+def features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P2 feature table; hot entities (if any) go through the chunked plan."""
+    return features_keyed(spark, sf_dir).drop(*ORDER_KEYS)
 
 
 _HOT_MEMO: dict = {}
@@ -51,20 +59,26 @@ def hr_windows(spark: SparkSession, sf_dir: str, feats: DataFrame | None = None,
                column: str = "hr") -> DataFrame:
     """D5 over the feature table, chunked with halo rows if an entity is hot."""
     from panelkit.operators import skew
-    f = feats if feats is not None else features(spark, sf_dir)
-    return skew.per_entity(
+    f = feats if feats is not None else features_keyed(spark, sf_dir)
+    keyed = all(c in f.columns for c in ORDER_KEYS)
+    out = skew.per_entity(
         f, "patient_id", "iculos",
         lambda d, spec: windows.sliding_windows(d, spec, column, K.WINDOW_SIZE, ordinal="iculos",
-                                                keep=("patient_id",)),
-        back=K.WINDOW_SIZE, forward=0, hot=panel_has_hot(spark, sf_dir))
+                                                keep=("patient_id", "iculos")),
+        back=K.WINDOW_SIZE, forward=0, hot=panel_has_hot(spark, sf_dir),
+        order=ORDER_KEYS if keyed else None)
+    return out.drop(*ORDER_KEYS)
 
 
 def next_hour_rows(spark: SparkSession, sf_dir: str, feats: DataFrame | None = None) -> DataFrame:
     """D4 + B5 over the feature table, chunked with a forward halo if an entity is hot."""
     from panelkit.operators import skew
-    f = feats if feats is not None else features(spark, sf_dir)
-    return skew.per_entity(f, "patient_id", "iculos", lambda d, spec: windows.lead_target(d, spec),
-                           back=0, forward=1, hot=panel_has_hot(spark, sf_dir))
+    f = feats if feats is not None else features_keyed(spark, sf_dir)
+    keyed = all(c in f.columns for c in ORDER_KEYS)
+    out = skew.per_entity(f, "patient_id", "iculos", lambda d, spec: windows.lead_target(d, spec),
+                          back=0, forward=1, hot=panel_has_hot(spark, sf_dir),
+                          order=ORDER_KEYS if keyed else None)
+    return out.drop(*ORDER_KEYS)
 
 
 def imputed(spark: SparkSession, sf_dir: str) -> DataFrame:

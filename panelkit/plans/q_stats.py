@@ -423,7 +423,8 @@ def q_covariance_matrix(spark, sf_dir):
 
 @query("quality_gates", "Q1 Q3 Q4 Q5 Q8 Q9 P7", QUALITY_SQL)
 def q_quality_gates(spark, sf_dir):
-    f = features(spark, sf_dir)
+    from panelkit.plans.q_panel import features_keyed
+    f = features_keyed(spark, sf_dir)
     from panelkit.plans.q_panel import hr_windows, next_hour_rows
     nh = next_hour_rows(spark, sf_dir, f)
     win = hr_windows(spark, sf_dir, f)
