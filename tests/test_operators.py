@@ -352,3 +352,14 @@ def test_knn_batch_kernel_equals_inline_kernel(spark, monkeypatch):
     inline = neighbors.knn(prof, queries, cols, k=5).select("query_id", "rank", "patient_id", "distance")
     assert batch.count() == 200
     assert sorted(batch.collect()) == sorted(inline.collect())
+
+
+def test_panel_chain_plans_one_shuffle_one_sort(spark):
+    """Feature table, next-hour lead and sliding-window lags share one
+    exchange and one sort (the lead/lag windows reuse the features' order)."""
+    from panelkit.plans.catalog import all_queries
+    from panelkit.plans.explain import plan_summary
+    reg = all_queries()
+    for name in ["feature_table", "next_hour_target", "sliding_windows"]:
+        s = plan_summary(reg[name].fn(spark, "/root/testdata/sf0.001"))
+        assert (s["shuffles"], s["sorts"], s["cross_joins"]) == (1, 1, 0), (name, s)
