@@ -6,7 +6,9 @@ import base64
 import hashlib
 from collections.abc import Iterator
 from heapq import heappop, heappush
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -14,63 +16,37 @@ from pyspark.sql import functions as F
 
 from panelkit.llm.common import map_arrow, text_of
 
-# Pre-tokens whose encoding a worker remembers; the memory is emptied when full
-# and only saves time.
+# Encodings that a worker remembers (two generations of so many; this only saves
+# time), and the longest string it remembers one for.
 MEMORY_ENTRIES = 400_000
 MEMORY_LENGTH = 64
 
 
-class RankQueue:
-    """Merge candidates by rank: a bucket per rank holds positions (None, one
-    position, or a heap of them) and three levels of 64-bit words mark the
-    ranks in use; the lowest set bit of each level leads to the next rank in
-    three steps. It is empty between pre-tokens, so it is reused."""
-
-    def __init__(self, n_ranks: int):
-        words = (n_ranks >> 6) + 1
-        self.low, self.mid, self.top = [0] * words, [0] * ((words >> 6) + 1), 0
-        self.buckets: list[int | list[int] | None] = [None] * (n_ranks + 1)
-
-    def push(self, rank: int, pos: int) -> None:
-        bucket = self.buckets[rank]
-        if bucket is None:
-            self.buckets[rank] = pos
-            w = rank >> 6
-            word = self.low[w]
-            if not word:
-                self.mid[w >> 6] |= 1 << (w & 63)
-                self.top |= 1 << (w >> 6)
-            self.low[w] = word | 1 << (rank & 63)
-        elif type(bucket) is int:
-            self.buckets[rank] = [bucket, pos] if bucket < pos else [pos, bucket]
-        else:
-            heappush(bucket, pos)
-
-    def pop(self) -> tuple[int, int] | None:
-        """(rank, leftmost position) of the lowest rank, or None."""
-        top = self.top
-        if not top:
-            return None
-        m = (top & -top).bit_length() - 1
-        word = self.mid[m]
-        w = (m << 6) + (word & -word).bit_length() - 1
-        word = self.low[w]
-        bit = word & -word
-        rank = (w << 6) + bit.bit_length() - 1
-        bucket = self.buckets[rank]
-        if type(bucket) is not int:
-            pos = heappop(bucket)
-            if bucket:
-                return rank, pos
-            bucket = pos
-        self.buckets[rank] = None
-        word ^= bit
-        self.low[w] = word
-        if not word:
-            self.mid[m] ^= 1 << (w & 63)
-            if not self.mid[m]:
-                self.top ^= 1 << m
-        return rank, bucket
+# Fixed value: the split pattern whose pre-tokens take at most one space, in front.
+SPACE_PATTERN = (r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
+
+
+class Memory:
+    """Bounded string -> ids memory of two generations: the older one is dropped
+    when the younger is full, and what is used again moves to the younger."""
+
+    def __init__(self, entries: int = MEMORY_ENTRIES):
+        self.young: dict[str, tuple[int, ...]] = {}
+        self.old: dict[str, tuple[int, ...]] = {}
+        self.entries = entries
+
+    def older(self, key: str) -> tuple[int, ...] | None:
+        """For a key that the younger generation lacks."""
+        got = self.old.get(key)
+        if got is not None:
+            self.put(key, got)
+        return got
+
+    def put(self, key: str, ids: tuple[int, ...]) -> None:
+        if len(key) <= MEMORY_LENGTH:
+            if len(self.young) >= self.entries:
+                self.old, self.young = self.young, {}
+            self.young[key] = ids
 
 
 class BytePairCodec:
@@ -80,67 +56,174 @@ class BytePairCodec:
         self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, rank_file.splitlines()) if a}
         self.pieces = {r: b for b, r in self.ranks.items()}
         self.find = regex.compile(pattern).findall
-        self.queue = RankQueue(max(self.ranks.values(), default=0) + 1)
-        self.memory: dict[str, tuple[int, ...]] = {}
+        self.splits_at_space = pattern == SPACE_PATTERN
+        size = max(self.pieces, default=-1) + 1
+        self.buckets: list[int | list[int] | None] = [None] * size  # see merge
+        self.low = [0] * ((size >> 8) + 1)
+        # ids by chunk (the text after a space) and of pre-tokens without a space
+        self.chunks, self.plain = Memory(MEMORY_ENTRIES), Memory(MEMORY_ENTRIES // 8)
+        # decoding tables: all pieces end to end, where each starts, how long it is
+        self.lengths = np.array([len(self.pieces.get(i, b"")) for i in range(size)], dtype=np.int64)
+        self.known = np.array([i in self.pieces for i in range(size)], dtype=bool)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.flat = np.frombuffer(b"".join(self.pieces.get(i, b"") for i in range(size)), dtype=np.uint8)
 
     def merge(self, raw: bytes) -> list[int]:
-        """Token ids of one pre-token: always the lowest rank next, leftmost first."""
-        ranks = self.ranks
-        whole = ranks.get(raw)
+        """Token ids of one pre-token: always the lowest rank next, leftmost first.
+
+        The queue: ``buckets[rank]`` holds the positions whose pair has that rank
+        (None, one position, or a heap of them); a word of ``low`` marks 256
+        ranks in use and a bit of ``top`` each word in use, so two find-first-set
+        steps lead to the next rank. Positions are those of a linked list over
+        the bytes. An entry is stale, and skipped, if the pair at its position
+        has another rank by now. The queue is empty between pre-tokens and its
+        arrays are reused; so the cost of a merge does not depend on the length
+        of the pre-token (but for heaps of equal pairs)."""
+        get = self.ranks.get
+        whole = get(raw)
         if whole is not None:
             return [whole]
-        n, get, queue = len(raw), ranks.get, self.queue
-        push, pop = queue.push, queue.pop
+        n = len(raw)
+        low, buckets, top = self.low, self.buckets, 0
         part = [raw[i:i + 1] for i in range(n)]
         nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
         rank_at = [get(raw[i:i + 2]) for i in range(n)]  # rank of the pair that starts here
         rank_at[n - 1] = None
-        for i, r in enumerate(rank_at):
-            if r is not None:
-                push(r, i)
-        while (got := pop()) is not None:
-            rank, i = got
+        fresh = [(r, i) for i, r in enumerate(rank_at) if r is not None]
+        while True:
+            for rank, i in fresh:
+                held = buckets[rank]
+                if held is None:
+                    buckets[rank] = i
+                    w = rank >> 8
+                    low[w] |= 1 << (rank & 255)
+                    top |= 1 << w
+                elif type(held) is int:
+                    buckets[rank] = [held, i] if held < i else [i, held]
+                else:
+                    heappush(held, i)
+            if not top:
+                break
+            w = (top & -top).bit_length() - 1
+            word = low[w]
+            bit = word & -word
+            rank = (w << 8) + bit.bit_length() - 1
+            i = buckets[rank]
+            if type(i) is not int:
+                held = i
+                i = heappop(held)
+                if not held:
+                    held = None
+            else:
+                held = None
+            if held is None:
+                buckets[rank] = None
+                word ^= bit
+                low[w] = word
+                if not word:
+                    top ^= 1 << w
+            fresh = ()
             if rank_at[i] != rank:
-                continue  # stale: the pair at this position has changed since
+                continue  # stale
             j = nxt[i]
             joined = part[i] = part[i] + part[j]
             rank_at[j] = None
             k = nxt[i] = nxt[j]
+            h = prv[i]
+            r = None
             if k < n:
                 prv[k] = i
-                r = rank_at[i] = get(joined + part[k])
+                r = get(joined + part[k])
                 if r is not None:
-                    push(r, i)
-            else:
-                rank_at[i] = None
-            h = prv[i]
+                    fresh = ((r, i),)
+            rank_at[i] = r
             if h >= 0:
                 r = get(part[h] + joined)
                 if r != rank_at[h]:
                     rank_at[h] = r
                     if r is not None:
-                        push(r, h)
-        out, i = [], 0
+                        fresh += ((r, h),)
+        out, i, ranks = [], 0, self.ranks
         while i < n:
             out.append(ranks[part[i]])
             i = nxt[i]
         return out
 
-    def encode(self, text: str) -> list[int]:
-        memory, out = self.memory, []
+    def pretokens(self, text: str) -> tuple[int, ...]:
+        """Ids of a stretch of text, pre-token by pre-token."""
+        out: list[int] = []
         for piece in self.find(text):
-            ids = memory.get(piece)
+            if piece[0] == " " and len(piece) > 1:
+                memory, key = self.chunks, piece[1:]  # a chunk of one pre-token has the same ids
+            else:
+                memory, key = self.plain, piece
+            ids = memory.young.get(key) or memory.older(key)
             if ids is None:
                 ids = tuple(self.merge(piece.encode("utf-8", "surrogatepass")))
-                if len(piece) <= MEMORY_LENGTH:
-                    if len(memory) >= MEMORY_ENTRIES:
-                        memory.clear()
-                    memory[piece] = ids
+                if memory is self.plain or not (key[0].isspace() or key[-1].isspace()):
+                    memory.put(key, ids)
             out += ids
+        return tuple(out)
+
+    def parts(self, text: str) -> list[tuple[int, ...]]:
+        """The text's ids, in a tuple for each chunk between single spaces.
+
+        A pre-token never runs across a space that stands between two characters
+        other than white space: it starts at that space. So such chunks, each
+        with its space, are encoded (and remembered) apart; chunks that touch
+        other white space are joined with their neighbours first."""
+        if not self.splits_at_space:
+            return [self.pretokens(text)] if text else []
+        chunks = text.split(" ")
+        memory = self.chunks
+        out = list(map(memory.young.get, chunks))
+        first = chunks[0]
+        out[0] = self.pretokens(first) if first else ()
+        if not first and len(chunks) > 1 or first[-1:].isspace():
+            return self._joined(chunks)
+        if None in out:
+            missing = [i for i, x in enumerate(out) if x is None]
+            for i in missing:
+                c = chunks[i]
+                if not c or c[0].isspace() or c[-1].isspace():
+                    return self._joined(chunks)
+            for i in missing:
+                out[i] = self._chunk(chunks[i])
         return out
 
-    def decode(self, ids) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, ids))
+    def _chunk(self, c: str) -> tuple[int, ...]:
+        ids = self.chunks.young.get(c) or self.chunks.older(c)
+        if ids is None:
+            ids = self.pretokens(" " + c)
+            if c not in self.chunks.young:
+                self.chunks.put(c, ids)
+        return ids
+
+    def _joined(self, chunks: list[str]) -> list[tuple[int, ...]]:
+        out, i, n = [], 0, len(chunks)
+        while i < n:
+            j = i + 1  # the stretch i .. j - 1 ends where a single space separates two non-spaces
+            while j < n and (not chunks[j - 1] or chunks[j - 1][-1].isspace()
+                             or not chunks[j] or chunks[j][0].isspace()):
+                j += 1
+            if j == i + 1 and i:
+                out.append(self._chunk(chunks[i]))
+            else:
+                out.append(self.pretokens((" " if i else "") + " ".join(chunks[i:j])))
+            i = j
+        return out
+
+    def encode(self, text: str) -> list[int]:
+        return list(chain.from_iterable(self.parts(text)))
+
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes end to end, how many each id gave) of any number of ids."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.known) or not self.known[ids].all()):
+            raise ValueError("an id outside the vocabulary")
+        n = self.lengths[ids]
+        first = np.cumsum(n) - n
+        at = np.arange(int(n.sum())) + np.repeat(self.starts[ids] - first, n)
+        return self.flat[at], n
 
 
 _CODECS: dict[bytes, BytePairCodec] = {}
@@ -162,65 +245,104 @@ def read_ranks(path: str) -> bytes:
 
 
 # Ids handled in one record batch of the result.
-BATCH_IDS = 2_000_000
+BATCH_IDS = 1_000_000
+
+
+def _encode_batch(c: BytePairCodec, b: pa.RecordBatch) -> Iterator[tuple[pa.Array, pa.ListArray]]:
+    """(ids of rows, lists of token ids) for stretches of a batch of (id, text)."""
+    def stretch(start, parts, sizes):
+        flat = np.fromiter(chain.from_iterable(parts), dtype=np.int32)
+        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        return b.column(0).slice(start, len(sizes)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+
+    parts, sizes, size, start = [], [], 0, 0
+    for i, t in enumerate(b.column(1)):
+        got = c.parts(t.as_py())
+        parts += got
+        sizes.append(sum(map(len, got)))
+        size += sizes[-1]
+        if size >= BATCH_IDS:
+            yield stretch(start, parts, sizes)
+            parts, sizes, size, start = [], [], 0, i + 1
+    if sizes:
+        yield stretch(start, parts, sizes)
+
+
+def _decode_lists(c: BytePairCodec, lists: pa.ListArray) -> Iterator[tuple[int, int, pa.Array]]:
+    """(first row, row after the last, decoded bytes) for stretches of id lists."""
+    flat, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+    start = 0
+    while start < len(lists):
+        stop = max(start + 1, int(np.searchsorted(offsets, offsets[start] + BATCH_IDS, side="right")) - 1)
+        raw, n = c.decode(flat[offsets[start]:offsets[stop]])
+        ends = np.concatenate([[0], np.cumsum(n)])[offsets[start:stop + 1] - offsets[start]]
+        yield start, stop, pa.Array.from_buffers(pa.binary(), stop - start, [
+            None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(raw.tobytes())])
+        start = stop
+
+
+def _codes(df: DataFrame, task, rank_file: bytes, pattern: str, id_col: str, fields: str) -> DataFrame:
+    shared = df.sparkSession.sparkContext.broadcast((rank_file, pattern))  # one vocabulary file
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = codec(*shared.value)
+        for b in batches:
+            yield from task(c, b)
+
+    kind = df.schema["id"].dataType.simpleString()
+    return map_arrow(df, run, f"id {kind}, {fields}").withColumnRenamed("id", id_col)
 
 
 def encode(docs: DataFrame, rank_file: bytes, pattern: str, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """Rows (id_col, ids array<int>): the ids of each whole text without special
     tokens. A narrow, per-row operator: no shuffle, and nothing is kept across
-    rows but the worker's bounded memory of pre-tokens.
+    rows but the worker's bounded memory of encodings.
 
     Null and empty texts give an empty list; repeated rows and null ids are
     kept as they are; other columns of ``docs`` are not read; an empty table
     gives an empty one.
     """
-    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast((rank_file, pattern))  # one vocabulary file
-    kind = rows.schema["id"].dataType.simpleString()
+    def task(c, b):
+        for ids, lists in _encode_batch(c, b):
+            yield pa.RecordBatch.from_arrays([ids, lists], ["id", "ids"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(*shared.value)
-        for b in batches:
-            ids, out, size, start = b.column(0), [], 0, 0
-            for i, t in enumerate(b.column(1)):
-                got = c.encode(t.as_py())
-                out.append(got)
-                size += len(got)
-                if size >= BATCH_IDS:
-                    yield pa.RecordBatch.from_arrays(
-                        [ids.slice(start, len(out)), pa.array(out, pa.list_(pa.int32()))], ["id", "ids"])
-                    out, size, start = [], 0, i + 1
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(start, len(out)), pa.array(out, pa.list_(pa.int32()))], ["id", "ids"])
-
-    return map_arrow(rows, run, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
+    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+    return _codes(rows, task, rank_file, pattern, id_col, "ids array<int>")
 
 
 def decode(encoded: DataFrame, rank_file: bytes, pattern: str, id_col: str = "doc_id") -> DataFrame:
-    """``encode``'s rows with ``decoded`` (binary): the bytes its ids stand for.
-    Null ids lists decode to no bytes; an id outside the vocabulary raises."""
+    """Rows (id_col, ids, decoded binary): the bytes that ``ids`` stand for. Null
+    lists decode to no bytes; an id outside the vocabulary raises."""
+    def task(c, b):
+        for start, stop, raw in _decode_lists(c, b.column(1)):
+            n = stop - start
+            yield pa.RecordBatch.from_arrays([b.column(0).slice(start, n), b.column(1).slice(start, n), raw],
+                                             ["id", "ids", "decoded"])
+
     rows = encoded.select(F.col(id_col).alias("id"), F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
-    shared = encoded.sparkSession.sparkContext.broadcast((rank_file, pattern))
-    kind = rows.schema["id"].dataType.simpleString()
+    return _codes(rows, task, rank_file, pattern, id_col, "ids array<int>, decoded binary")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(*shared.value)
-        for b in batches:
-            out = [c.decode(x.values.to_pylist()) for x in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.binary())],
-                                             ["id", "ids", "decoded"])
 
-    return map_arrow(rows, run, f"id {kind}, ids array<int>, decoded binary").withColumnRenamed("id", id_col)
+def round_trip(docs: DataFrame, rank_file: bytes, pattern: str, id_col: str = "doc_id",
+               text_col: str = "text") -> DataFrame:
+    """``decode(encode(docs))`` in one pass over the rows."""
+    def task(c, b):
+        for ids, lists in _encode_batch(c, b):
+            for start, stop, raw in _decode_lists(c, lists):
+                n = stop - start
+                yield pa.RecordBatch.from_arrays([ids.slice(start, n), lists.slice(start, n), raw],
+                                                 ["id", "ids", "decoded"])
+
+    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+    return _codes(rows, task, rank_file, pattern, id_col, "ids array<int>, decoded binary")
 
 
 def encode_digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """Per document: id, n_tokens, ids_sha256 (decimal ids joined by commas) and
-    decoded_sha256, all derived from what ``encode`` and ``decode`` return."""
-    ranks = read_ranks(path)
-    out = decode(encode(docs, ranks, pattern, id_col, text_col), ranks, pattern, id_col)
+    decoded_sha256, all derived from the ids and the bytes decoded from them."""
+    out = round_trip(docs, read_ranks(path), pattern, id_col, text_col)
     return out.select(
         F.col(id_col), F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
