@@ -18,7 +18,7 @@ from panelkit.llm.common import map_arrow, text_of
 
 # Encodings that a worker remembers (two generations of so many; this only saves
 # time), and the longest string it remembers one for.
-MEMORY_ENTRIES = 400_000
+MEMORY_ENTRIES = 800_000
 MEMORY_LENGTH = 64
 
 
@@ -58,6 +58,15 @@ class BytePairCodec:
         self.find = regex.compile(pattern).findall
         self.splits_at_space = pattern == SPACE_PATTERN
         size = max(self.pieces, default=-1) + 1
+        # rank of every pair of ids whose bytes together are a piece; of two bytes
+        self.pairs: dict[int, int] = {}
+        for whole, rank in self.ranks.items():
+            for cut in range(1, len(whole)):
+                a, b = self.ranks.get(whole[:cut]), self.ranks.get(whole[cut:])
+                if a is not None and b is not None:
+                    self.pairs[a << 20 | b] = rank
+        self.singles = [self.ranks.get(bytes([i]), -1) for i in range(256)]
+        self.first = [[self.ranks.get(bytes([a, b])) for b in range(256)] for a in range(256)]
         self.buckets: list[int | list[int] | None] = [None] * size  # see merge
         self.low = [0] * ((size >> 8) + 1)
         # ids by chunk (the text after a space) and of pre-tokens without a space
@@ -79,16 +88,16 @@ class BytePairCodec:
         has another rank by now. The queue is empty between pre-tokens and its
         arrays are reused; so the cost of a merge does not depend on the length
         of the pre-token (but for heaps of equal pairs)."""
-        get = self.ranks.get
-        whole = get(raw)
+        whole = self.ranks.get(raw)
         if whole is not None:
             return [whole]
         n = len(raw)
-        low, buckets, top = self.low, self.buckets, 0
-        part = [raw[i:i + 1] for i in range(n)]
+        low, buckets, top, get, first = self.low, self.buckets, 0, self.pairs.get, self.first
+        ids = [self.singles[x] for x in raw]
         nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
-        rank_at = [get(raw[i:i + 2]) for i in range(n)]  # rank of the pair that starts here
-        rank_at[n - 1] = None
+        # rank of the pair that starts here
+        rank_at = [first[a][b] for a, b in zip(raw, raw[1:], strict=False)]
+        rank_at.append(None)
         fresh = [(r, i) for i, r in enumerate(rank_at) if r is not None]
         while True:
             for rank, i in fresh:
@@ -125,27 +134,27 @@ class BytePairCodec:
             fresh = ()
             if rank_at[i] != rank:
                 continue  # stale
+            ids[i] = rank
             j = nxt[i]
-            joined = part[i] = part[i] + part[j]
             rank_at[j] = None
             k = nxt[i] = nxt[j]
             h = prv[i]
             r = None
             if k < n:
                 prv[k] = i
-                r = get(joined + part[k])
+                r = get(rank << 20 | ids[k])
                 if r is not None:
                     fresh = ((r, i),)
             rank_at[i] = r
             if h >= 0:
-                r = get(part[h] + joined)
+                r = get(ids[h] << 20 | rank)
                 if r != rank_at[h]:
                     rank_at[h] = r
                     if r is not None:
                         fresh += ((r, h),)
-        out, i, ranks = [], 0, self.ranks
+        out, i = [], 0
         while i < n:
-            out.append(ranks[part[i]])
+            out.append(ids[i])
             i = nxt[i]
         return out
 
