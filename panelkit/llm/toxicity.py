@@ -161,17 +161,22 @@ def ratio_tables(counts: DataFrame, backoff: DataFrame) -> tuple[DataFrame, Data
 _TABLES: dict[str, tuple[HashTable, HashTable]] = {}
 
 
-def features(rows: DataFrame, tables: tuple[DataFrame, DataFrame]) -> DataFrame:
-    """``rows`` (``text`` goes) with ``mean``, the log-likelihood of the toxic less
-    that of the ordinary model per character, and ``peak`` and ``peak_long``, the
-    largest such means over WINDOWS characters of the text. The two tables are
-    bounded by the rows the classifier is fitted on."""
+def share_tables(tables: tuple[DataFrame, DataFrame]):
+    """The two ratio tables as a broadcast of arrays; they are bounded by the rows
+    the classifier is fitted on."""
     import uuid
     arrays = []
     for t in tables:
-        pdf = t.toPandas()
-        arrays += [pdf.iloc[:, 0].to_numpy(np.int64), pdf.iloc[:, 1].to_numpy(np.float32)]
-    shared = rows.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, arrays))
+        got = t.toArrow()
+        arrays += [got.column(0).to_numpy(), got.column(1).to_numpy()]
+    return tables[0].sparkSession.sparkContext.broadcast((uuid.uuid4().hex, arrays))
+
+
+def features(rows: DataFrame, shared) -> DataFrame:
+    """``rows`` (``text`` goes) with ``mean``, the log-likelihood of the toxic less
+    that of the ordinary model per character, and ``peak`` and ``peak_long``, the
+    largest such means over WINDOWS characters of the text. ``shared``: see
+    share_tables."""
     others = [c for c in rows.columns if c != "text"]
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,7 +255,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         chosen = rows.join(F.broadcast(sample.select("id", "cls", "part")), "id")
         counts = cut_lineage(class_grams(chosen.filter("part < 4").select((F.col("cls") == 1).alias("toxic"), "text")))
         tables = ratio_tables(counts, shared_backoff(corpus_grams(rows)))
-        tables = tuple(cut_lineage(t) for t in tables)
+        tables = share_tables(tuple(cut_lineage(t) for t in tables))
         seen = features(chosen.filter("part = 4").select("cls", "text"), tables).toPandas()
         y = seen["cls"].to_numpy(int)
         weight = np.array([1 / rates[c] for c in y])
