@@ -17,7 +17,7 @@ from panelkit.llm.common import map_arrow, table, text_of
 # A character that no piece covers costs the worst score less this.
 UNKNOWN_PENALTY = 10.0
 # Word counts a worker remembers (emptied when full; only saves time).
-MEMORY_ENTRIES = 500_000
+MEMORY_ENTRIES = 250_000
 MEMORY_LENGTH = 64
 SPACE = "▁"
 
