@@ -14,7 +14,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import map_arrow, text_of
+from panelkit.llm.common import kept, map_arrow, text_of
 
 # Encodings that a worker remembers (two generations of so many; this only saves
 # time), and the longest string it remembers one for.
@@ -235,16 +235,14 @@ class BytePairCodec:
         return self.flat[at], n
 
 
-_CODECS: dict[bytes, BytePairCodec] = {}
-
-
 def codec(rank_file: bytes, pattern: str) -> BytePairCodec:
     """The worker's codec for this vocabulary (one is kept at a time)."""
     key = hashlib.sha256(rank_file + pattern.encode()).digest()
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = BytePairCodec(rank_file, pattern)
-    return _CODECS[key]
+    mine = kept("bpe")
+    if key not in mine:
+        mine.clear()
+        mine[key] = BytePairCodec(rank_file, pattern)
+    return mine[key]
 
 
 def read_ranks(path: str) -> bytes:
@@ -254,7 +252,7 @@ def read_ranks(path: str) -> bytes:
 
 
 # Ids handled in one record batch of the result.
-BATCH_IDS = 1_000_000
+BATCH_IDS = 250_000
 
 
 def _encode_batch(c: BytePairCodec, b: pa.RecordBatch) -> Iterator[tuple[pa.Array, pa.ListArray]]:
@@ -299,7 +297,7 @@ def _codes(df: DataFrame, task, rank_file: bytes, pattern: str, id_col: str, fie
             yield from task(c, b)
 
     kind = df.schema["id"].dataType.simpleString()
-    return map_arrow(df, run, f"id {kind}, {fields}").withColumnRenamed("id", id_col)
+    return map_arrow(df, run, f"id {kind}, {fields}", "bpe").withColumnRenamed("id", id_col)
 
 
 def encode(docs: DataFrame, rank_file: bytes, pattern: str, id_col: str = "doc_id",

@@ -26,9 +26,38 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def map_arrow(df: DataFrame, task: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` whose tasks can import this package: its sources go to the
-    executors once per application through Spark's own file distribution."""
+# What a Python worker keeps between tasks (vocabularies, tables), by operator.
+_KEPT: dict[str, dict] = {}
+
+
+def kept(operator: str) -> dict:
+    """The worker's memory of an operator; it goes when a task of another one starts."""
+    return _KEPT.setdefault(operator, {})
+
+
+def _release() -> None:
+    """Freed memory goes back to the system: workers outlive tasks and stages."""
+    import ctypes
+
+    import pyarrow as pa
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # not glibc
+
+
+def _task(operator: str, run: Callable, batches: Iterator) -> Iterator:
+    for other in [k for k in _KEPT if k != operator]:
+        del _KEPT[other]
+    yield from run(batches)
+    _release()
+
+
+def map_arrow(df: DataFrame, task: Callable, schema: str, operator: str = "") -> DataFrame:
+    """``mapInArrow`` whose tasks can import this package (its sources go to the
+    executors once per application through Spark's own file distribution) and
+    leave no memory behind but what ``operator`` keeps."""
     sc = df.sparkSession.sparkContext
     if not getattr(sc, "_panelkit_shipped", False):
         root = Path(__file__).resolve().parent.parent
@@ -38,7 +67,7 @@ def map_arrow(df: DataFrame, task: Callable, schema: str) -> DataFrame:
                 z.write(f, f.relative_to(root.parent))
         sc.addPyFile(path)
         sc._panelkit_shipped = True
-    return df.mapInArrow(task, schema)
+    return df.mapInArrow(lambda batches: _task(operator, task, batches), schema)
 
 
 def text_of(name: str = "text") -> Column:

@@ -35,7 +35,8 @@ def posteriors(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     low_quality, else good; nulls are no label; of several rows for one
     identifier the worst counts. Class-conditional n-gram likelihoods are fitted
     on four fifths of a bounded labelled sample and turned into probabilities by
-    a softmax fitted on the rest (features: mean and peak ratios). Tokens are words between white space."""
+    a softmax fitted on the rest (features: mean and peak ratios). Tokens are
+    words between white space."""
     cls = F.when(F.col("toxic") == 1, F.lit(2)).when(F.col("quality") == 0, F.lit(1)) \
         .when((F.col("toxic") == 0) & (F.col("quality") == 1), F.lit(0))
     named = (labels.select(F.col(id_col).cast("bigint").alias("id"), cls.alias("cls"))
@@ -44,10 +45,10 @@ def posteriors(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     k = len(DOMAINS)
     fit, _ = draw(named.filter("part > 0"), dict.fromkeys(range(k), fit_rows))
     check, rates = draw(named.filter("part = 0"), dict.fromkeys(range(k), calibration_rows))
-    sample = cut_lineage(fit.unionByName(check))
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), text_of(text_col).alias("text"))
+    sample = cut_lineage(rows.select("id").join(F.broadcast(fit.unionByName(check)), "id").distinct())
     sizes = {(r["check"], r["cls"]): r["count"] for r in
              sample.groupBy((F.col("part") == 0).alias("check"), "cls").count().collect()}
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), text_of(text_col).alias("text"))
     slim = rows.select("id", F.xxhash64("text").alias("text_hash"), "text")
     known = [c for c in range(k) if sizes.get((False, c), 0) and sizes.get((True, c), 0)]
     if len(known) < 2:

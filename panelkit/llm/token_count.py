@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import map_arrow, table, text_of
+from panelkit.llm.common import kept, map_arrow, table, text_of
 
 # A character that no piece covers costs the worst score less this.
 UNKNOWN_PENALTY = 10.0
@@ -103,15 +103,13 @@ def read_vocabulary(path: str) -> tuple[list[tuple[str, float]], bool, float]:
     return pieces, any(sp.is_byte(i) for i in ids), min(sp.get_score(i) for i in ids)
 
 
-_COUNTERS: dict[bytes, UnigramCounter] = {}
-
-
 def _counter(blob: bytes) -> UnigramCounter:
     key = hashlib.sha256(blob).digest()
-    if key not in _COUNTERS:
-        _COUNTERS.clear()
-        _COUNTERS[key] = UnigramCounter(*pickle.loads(blob))
-    return _COUNTERS[key]
+    mine = kept("token_count")
+    if key not in mine:
+        mine.clear()
+        mine[key] = UnigramCounter(*pickle.loads(blob))
+    return mine[key]
 
 
 def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -134,7 +132,7 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
                                              ["id", "n_tokens", "n_words", "n_unknown"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return map_arrow(rows, run, f"id {kind}, n_tokens bigint, n_words bigint, n_unknown bigint") \
+    return map_arrow(rows, run, f"id {kind}, n_tokens bigint, n_words bigint, n_unknown bigint", "token_count") \
         .withColumnRenamed("id", id_col)
 
 

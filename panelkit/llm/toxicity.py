@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.config import cut_lineage
-from panelkit.llm.common import HashTable, blocks_of, codes_of, map_arrow, table, text_of
+from panelkit.llm.common import HashTable, blocks_of, codes_of, kept, map_arrow, table, text_of
 from panelkit.llm.ngram_bayes import fit_softmax
 
 ORDER = 5  # characters of an n-gram; 12 bits each in a key
@@ -158,9 +158,6 @@ def ratio_tables(counts: DataFrame, backoff: DataFrame) -> tuple[DataFrame, Data
             hist.select("hist", F.log(weight("t") / weight("o")).cast("float").alias("r")))
 
 
-_TABLES: dict[str, tuple[HashTable, HashTable]] = {}
-
-
 def share_tables(tables: tuple[DataFrame, DataFrame]):
     """The two ratio tables as a broadcast of arrays; they are bounded by the rows
     the classifier is fitted on."""
@@ -181,10 +178,11 @@ def features(rows: DataFrame, shared) -> DataFrame:
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, (k1, r1, k2, r2) = shared.value
-        if name not in _TABLES:
-            _TABLES.clear()
-            _TABLES[name] = HashTable(k1, r1), HashTable(k2, r2)
-        grams, histories = _TABLES[name]
+        mine = kept("toxicity")
+        if name not in mine:
+            mine.clear()
+            mine[name] = HashTable(k1, r1), HashTable(k2, r2)
+        grams, histories = mine[name]
         for b in it:
             means, peaks = [], [[] for _ in WINDOWS]
             for _, texts in blocks_of(b.column(b.num_columns - 1).to_pylist()):
@@ -211,7 +209,7 @@ def features(rows: DataFrame, shared) -> DataFrame:
                 [*others, *FEATURES])
 
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*others).schema.fields)
-    return map_arrow(rows.select(*others, "text"), run, f"{kinds}, " + ", ".join(f"{f} double" for f in FEATURES))
+    return map_arrow(rows.select(*others, "text"), run, f"{kinds}, " + ", ".join(f"{f} double" for f in FEATURES), "toxicity")
 
 
 def draw(labels: DataFrame, limits: dict[int, int]) -> tuple[DataFrame, dict[int, float]]:
@@ -247,7 +245,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     fit, _ = draw(named.filter("part in (1, 2, 3)"), {0: fit_rows, 1: fit_rows})
     check, rates = draw(named.filter("part = 4"), {0: calibration_rows, 1: calibration_rows})
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), text_of(text_col).alias("text"))
-    sample = cut_lineage(fit.unionByName(check))
+    sample = cut_lineage(rows.select("id").join(F.broadcast(fit.unionByName(check)), "id").distinct())
     sizes = {(r["fit"], r["cls"]): r["count"] for r in
              sample.groupBy((F.col("part") < 4).alias("fit"), "cls").count().collect()}
     out = rows.select("id", part.alias("part"), "text")
