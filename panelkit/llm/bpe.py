@@ -18,7 +18,7 @@ from panelkit.llm.common import kept, map_arrow, text_of
 
 # Encodings that a worker remembers (two generations of so many; this only saves
 # time), and the longest string it remembers one for.
-MEMORY_ENTRIES = 200_000
+MEMORY_ENTRIES = 150_000
 MEMORY_LENGTH = 64
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -19,7 +19,7 @@ from panelkit.config import cut_lineage
 HEAVY_SHARE = 1000
 
 # Code points handled at once inside a task (bounds numpy temporaries).
-BLOCK_CHARS = 1 << 20
+BLOCK_CHARS = 1 << 18
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
@@ -75,17 +75,18 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
-def blocks_of(texts: Sequence[str | None], limit: int = BLOCK_CHARS) -> Iterator[tuple[int, list[str]]]:
-    """Runs of consecutive texts of about ``limit`` characters (one longer text
-    makes a run of its own); yields (index of the first, texts)."""
+def blocks_of(texts, limit: int = BLOCK_CHARS) -> Iterator[tuple[int, list[str]]]:
+    """Runs of consecutive texts (an Arrow array) of about ``limit`` characters
+    (one longer text makes a run of its own); yields (index of the first, texts)."""
     start, size, run = 0, 0, []
-    for i, t in enumerate(texts):
-        t = t or ""
-        if run and size + len(t) > limit:
-            yield start, run
-            start, size, run = i, 0, []
-        run.append(t)
-        size += len(t)
+    for at in range(0, len(texts), 128):
+        for i, t in enumerate(texts.slice(at, 128).to_pylist(), at):
+            t = t or ""
+            if run and size + len(t) > limit:
+                yield start, run
+                start, size, run = i, 0, []
+            run.append(t)
+            size += len(t)
     if run:
         yield start, run
 

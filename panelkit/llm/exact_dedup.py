@@ -12,8 +12,8 @@ from panelkit.config import cut_lineage
 from panelkit.llm.common import lookup, map_arrow, text_of
 
 # Bytes of text a task's trie may hold before its largest subtrees are spilled.
-TRIE_BYTES = 48 << 20
-BATCH_BYTES = 8 << 20
+TRIE_BYTES = 24 << 20
+BATCH_BYTES = 4 << 20
 
 
 class Node:
@@ -134,7 +134,7 @@ def _owners(rows: DataFrame, least: bool, keep_text: bool, trie_bytes: int) -> D
 
         def found():
             last = None
-            for b in it:
+            for b in (x.slice(i, 256) for x in it for i in range(0, x.num_rows, 256)):
                 cols = [c.to_pylist() for c in b.columns]
                 for length, h, raw, owner, n in zip(*cols, strict=True):
                     key = (length, h)

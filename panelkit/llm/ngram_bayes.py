@@ -42,7 +42,7 @@ def class_counts(rows: DataFrame, lower: bool) -> DataFrame:
         total: dict[str, np.ndarray] = {}
         for b in it:
             classes = np.array(b.column(0).to_pylist(), dtype=object)
-            for start, texts in blocks_of(b.column(1).to_pylist()):
+            for start, texts in blocks_of(b.column(1)):
                 g, _, n = grams(texts, lower)
                 which = classes[start:start + len(texts)]
                 own = np.repeat(np.arange(len(texts)), n)
@@ -86,7 +86,7 @@ def mean_scores(rows: DataFrame, model: np.ndarray, lower: bool, peaks: bool = F
         table = shared.value
         for b in it:
             lls, counts, words, tops = [], [], [], []
-            for _, texts in blocks_of(b.column(b.num_columns - 1).to_pylist()):
+            for _, texts in blocks_of(b.column(b.num_columns - 1)):
                 g, first, n = grams(texts, lower)
                 sums = np.zeros((len(texts), k))
                 some = np.flatnonzero(n)

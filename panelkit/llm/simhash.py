@@ -20,7 +20,7 @@ PIVOTS = 24
 # A bucket with more fingerprints than this is cut further before comparison.
 BUCKET_ROWS = 20_000
 # Pairs of a bucket that are looked at in one numpy step.
-PAIR_BLOCK = 1 << 20
+PAIR_BLOCK = 1 << 18
 
 
 def pivot_fingerprints(n: int = PIVOTS) -> np.ndarray:

@@ -55,7 +55,7 @@ def class_grams(rows: DataFrame) -> DataFrame:
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
             toxic = np.array(b.column(0).to_pylist(), dtype=bool)
-            for start, texts in blocks_of(b.column(1).to_pylist()):
+            for start, texts in blocks_of(b.column(1)):
                 c, sizes = fold(texts)
                 key, counts = keys_of(c, sizes)
                 own = np.repeat(toxic[start:start + len(texts)], sizes)
@@ -81,7 +81,7 @@ def corpus_grams(rows: DataFrame) -> DataFrame:
             return np.unique(np.concatenate([seen, *fresh]))
 
         for b in it:
-            for _, texts in blocks_of(b.column(0).to_pylist()):
+            for _, texts in blocks_of(b.column(0)):
                 key, counts = keys_of(*fold(texts))
                 u = np.unique(key[counts])
                 fresh.append(u)
@@ -185,7 +185,7 @@ def features(rows: DataFrame, shared) -> DataFrame:
         grams, histories = mine[name]
         for b in it:
             means, peaks = [], [[] for _ in WINDOWS]
-            for _, texts in blocks_of(b.column(b.num_columns - 1).to_pylist()):
+            for _, texts in blocks_of(b.column(b.num_columns - 1)):
                 c, sizes = fold(texts)
                 key, counts = keys_of(c, sizes)
                 r, found = grams.get(key)
