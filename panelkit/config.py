@@ -44,6 +44,8 @@ def shared_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = spark.sparkContext.getCheckpointDir()
+    if not conf_dir and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="panelkit-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)

@@ -146,7 +146,6 @@ MEDICAL_RECALL_WEIGHT = 0.6
 MEDICAL_AUROC_WEIGHT = 0.4
 KMEANS_K = 4
 KMEANS_RESTARTS = 10
-KMEANS_SAMPLE_ROWS = 50000
 
 # partial-record completion defaults (request model defaults)
 RECORD_DEFAULTS = {

@@ -49,6 +49,21 @@ def _subsets(arr: str, mask: str, bit: int = 1) -> F.Column:
     return F.expr(f"filter({arr}, (x, i) -> shiftright({mask}, i) % 2 = {bit})")
 
 
+def _small_subsets(basket: F.Column, max_len: int) -> F.Column:
+    """All subsets of 1 to ``max_len`` elements, each once and in basket order:
+    every level extends the sets of the one before by a later element."""
+    last = F.size(basket) - 1
+    level = F.transform(basket, lambda x, i: F.struct(i.alias("p"), F.array(x).alias("s")))
+    levels = [level]
+    for _ in range(max_len - 1):
+        level = F.flatten(F.transform(
+            F.filter(level, lambda e: e["p"] < last),
+            lambda e: F.transform(F.sequence(e["p"] + 1, last), lambda q: F.struct(
+                q.alias("p"), F.concat(e["s"], F.array(F.element_at(basket, q + 1))).alias("s")))))
+        levels.append(level)
+    return F.transform(F.concat(*levels), lambda e: e["s"])
+
+
 def frequent_itemsets(df: DataFrame, items: str = "items", min_support: float = K.MIN_SUPPORT,
                       max_len: int = K.MAX_ITEMSET_LEN) -> DataFrame:
     """Itemsets (sorted arrays) with support >= ``min_support`` and size <= ``max_len``.
@@ -59,10 +74,7 @@ def frequent_itemsets(df: DataFrame, items: str = "items", min_support: float =
     # one scalar (the transaction count) from the partially aggregated baskets
     n_total = float(b.agg(F.sum("w")).first()[0] or 0.0)
     b = b.withColumn("_n", F.lit(n_total))
-    masks = b.select("basket", "w", "_n",
-                     F.explode(F.sequence(F.lit(1), F.pow(F.lit(2), F.size("basket")).cast("int") - 1)).alias("_m"))
-    subs = masks.select(_subsets("basket", "_m").alias("itemset"), "w", "_n")
-    subs = subs.filter(F.size("itemset") <= max_len)
+    subs = b.select(F.explode(_small_subsets(F.col("basket"), max_len)).alias("itemset"), "w", "_n")
     sets = subs.groupBy("itemset").agg(F.sum("w").alias("_c"), F.first("_n").alias("_n"))
     sets = sets.select("itemset", F.concat_ws(", ", "itemset").alias("key"),
                        F.size("itemset").alias("size"), (F.col("_c") / F.col("_n")).alias("support"))
@@ -89,11 +101,10 @@ def rules(itemsets: DataFrame, min_confidence: float = K.FALLBACK_CONFIDENCE) ->
         "support")
     splits = splits.select("*", F.concat_ws(", ", "antecedents").alias("ante_key"),
                            F.concat_ws(", ", "consequents").alias("cons_key"))
-    sup = itemsets.select("key", "support")
-    a = sup.select(F.col("key").alias("ante_key"), F.col("support").alias("ante_support"))
-    c = sup.select(F.col("key").alias("cons_key"), F.col("support").alias("cons_support"))
-    r = (splits.join(F.broadcast(a), on="ante_key", how="inner")
-         .join(F.broadcast(c), on="cons_key", how="inner"))
+    # joined on the arrays: texts of different itemsets may be equal
+    a = itemsets.select(F.col("itemset").alias("antecedents"), F.col("support").alias("ante_support"))
+    c = itemsets.select(F.col("itemset").alias("consequents"), F.col("support").alias("cons_support"))
+    r = splits.join(a, on="antecedents", how="inner").join(c, on="consequents", how="inner")
     r = r.select("antecedents", "consequents", "ante_key", "cons_key", "support",
                  (F.col("support") / F.col("ante_support")).alias("confidence"),
                  "cons_support")

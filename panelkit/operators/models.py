@@ -63,11 +63,12 @@ def assemble(df: DataFrame, columns: list[str], out: str = "features") -> DataFr
 @dataclass
 class Presets:
     """Estimator settings. ``published()`` are the source pipeline's values;
-    the defaults are small so that queries stay quick on test data."""
+    the defaults are small and for tests; the jobs run the published ones."""
     lr_max_iter: int = 25
     rf_trees: int = 10
     rf_depth: int = 6
     rf_min_leaf: int = 10
+    reg_depth: int = 6
     xgb_rounds: int = 10
     xgb_depth: int = 4
     gb_rounds: int = 10
@@ -85,6 +86,7 @@ class Presets:
     @staticmethod
     def published() -> "Presets":
         return Presets(lr_max_iter=1000, rf_trees=100, rf_depth=20, rf_min_leaf=10,
+                       reg_depth=30,  # unlimited in the source; 30 is the deepest Spark grows
                        xgb_rounds=200, xgb_depth=6, gb_rounds=200, gb_depth=5,
                        gb_min_leaf=20, gb_subsample=0.8, reg_trees=100, reg_rounds=100,
                        ridge_alpha=1.0, kmeans_restarts=K.KMEANS_RESTARTS, kmeans_iter=300)
@@ -142,7 +144,7 @@ def ridge(train: DataFrame, alpha: float = 1.0, features: str = "features",
 def regressors(train: DataFrame, presets: Presets = Presets(), features: str = "features",
                label: str = "target") -> dict:
     rf = RandomForestRegressor(featuresCol=features, labelCol=label, numTrees=presets.reg_trees,
-                               maxDepth=presets.rf_depth, seed=presets.seed)
+                               maxDepth=presets.reg_depth, seed=presets.seed)
     gb = GBTRegressor(featuresCol=features, labelCol=label, maxIter=presets.reg_rounds,
                       maxDepth=presets.xgb_depth, stepSize=0.3, seed=presets.seed)
     return {"Ridge Regression": ridge(train, presets.ridge_alpha, features, label),
@@ -151,13 +153,13 @@ def regressors(train: DataFrame, presets: Presets = Presets(), features: str = "
 
 # ------------------------------------------------------------------ J8 clustering
 
-def kmeans_fit(sample: DataFrame, k: int = K.KMEANS_K, restarts: int = 3, max_iter: int = 20,
+def kmeans_fit(rows: DataFrame, k: int = K.KMEANS_K, restarts: int = K.KMEANS_RESTARTS, max_iter: int = 300,
                seed: int = 42, features: str = "features"):
-    """Best of ``restarts`` seeded k-means fits by training cost."""
+    """Best of ``restarts`` seeded k-means fits over all ``rows`` by training cost."""
     best = None
     for r in range(restarts):
         m = KMeans(k=k, seed=seed + r, maxIter=max_iter, featuresCol=features,
-                   initMode="k-means||").fit(sample)
+                   initMode="k-means||").fit(rows)
         cost = m.summary.trainingCost
         if best is None or cost < best[1]:
             best = (m, cost)

@@ -26,18 +26,20 @@ from panelkit.sources import files, sinks
 SPEC = PanelSpec("patient_id", ("iculos",))
 
 
-def ingest(spark: SparkSession, raw_dir: str, out: str, sep: str = "|") -> DataFrame:
-    """Entity files -> imputed panel (C1 vitals, C2 labs, C3 remaining
-    vitals by global median) + quarantine of malformed lines."""
+def ingest(spark: SparkSession, raw_dir: str, out: str, sep: str = "|", fill_global_median: bool = False) -> DataFrame:
+    """Entity files -> imputed panel (C1 vitals, C2 labs) + quarantine of
+    malformed lines. A vital that an entity lacks wholly stays missing, unless
+    ``fill_global_median`` (C3) is asked for. Returns the written panel."""
     from panelkit.operators import clean
     panel, quarantine = files.read_panel_files(spark, raw_dir, sep)
     vitals = [c for c in K.VITALS_LC if c in panel.columns]
     labs = [c for c in K.LABS_LC if c in panel.columns]
     imputed = clean.impute(panel, SPEC, vitals, labs)
-    imputed = clean.fill_median(imputed, vitals)
+    if fill_global_median:
+        imputed = clean.fill_median(imputed, vitals)
     sinks.write_clean(imputed.drop("_metadata"), f"{out}/patient_vitals")
     sinks.write_clean(quarantine, f"{out}/quarantine")
-    return imputed
+    return spark.read.parquet(f"{out}/patient_vitals")
 
 
 def features(spark: SparkSession, panel_path: str, out: str, buckets: int = 64,
@@ -90,13 +92,13 @@ def train(spark: SparkSession, feats: DataFrame, out: str, presets: models.Prese
                                    F.col("prediction").alias("pred"))
         rs = p if rs is None else rs.unionByName(p)
     M.regression_metrics(rs, "y", "pred", ["model"]).write.mode("overwrite").json(f"{out}/metrics/regression")
-    sample = split.hash_first(tr, ["patient_id", "iculos"], K.KMEANS_SAMPLE_ROWS)
-    km = models.kmeans_fit(sample, K.KMEANS_K, presets.kmeans_restarts, presets.kmeans_iter, presets.seed)
+    km = models.kmeans_fit(tr, K.KMEANS_K, presets.kmeans_restarts, presets.kmeans_iter, presets.seed)
     centres = [list(map(float, c)) for c in km.clusterCenters()]
     prof = agg.segment_profile(models.assign_nearest(tr, centres, K.FEATURE_COLS), "cluster")
     models.segment_labels(prof).write.mode("overwrite").json(f"{out}/metrics/segments")
     pca = models.pca_fit(tr.drop("features"), K.FEATURE_COLS)
-    best = M.best_by(board, "medical_score").first()
+    order = F.array_position(F.array(*[F.lit(n) for n in clfs]), F.col("model"))  # ties: the first candidate
+    best = M.best_by(board.withColumn("ordinal", order), "medical_score", ordinal="ordinal").first()
     manifest = {"train_rows": tr.count(), "test_rows": te.count(),
                 "best_model": best["best_model"], "best_medical_score": best["best_medical_score"],
                 "pca_variance": [float(x) for x in pca.explained[:2]],
@@ -159,13 +161,13 @@ def main(argv: list[str]) -> int:
     ap.add_argument("job", choices=["ingest", "features", "train", "forecast", "lookalikes", "rules", "gate", "all"])
     ap.add_argument("--input", required=True)
     ap.add_argument("--output", required=True)
-    ap.add_argument("--published-presets", action="store_true")
+    ap.add_argument("--quick-presets", action="store_true", help="small fits, for trials")
     ap.add_argument("--min-rows", type=int, default=K.MIN_PANEL_ROWS)
     ap.add_argument("--probes", help="parquet of look-alike probes: query_id + profile features")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"panelkit-{a.job}").getOrCreate()
     shared_dir(spark)
-    presets = models.Presets.published() if a.published_presets else models.Presets()
+    presets = models.Presets() if a.quick_presets else models.Presets.published()
     if a.job in ("ingest", "all"):
         ingest(spark, a.input, a.output)
     feats_path = f"{a.output}/patient_vitals" if a.job == "all" else a.input
@@ -181,6 +183,10 @@ def main(argv: list[str]) -> int:
             forecast_job(spark, feats, a.output)
         if a.job in ("rules", "all"):
             rules(spark, feats, a.output)
+        if a.job == "lookalikes" and not a.probes:
+            ap.error("lookalikes needs --probes")
+        if a.job == "all" and not a.probes:
+            print("look-alikes left out: no --probes given", file=sys.stderr)
         if a.job in ("lookalikes", "all") and a.probes:
             lookalikes(spark, feats, spark.read.parquet(a.probes), a.output)
     return 0

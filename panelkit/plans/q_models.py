@@ -141,8 +141,7 @@ def q_regressor_fits(spark, sf_dir):
 @query("kmeans_segments", "J8 J9 F2 H5 G4 H2")
 def q_kmeans_segments(spark, sf_dir):
     train, _, _ = _train_test(spark, sf_dir)
-    sample = split.hash_first(train, ["patient_id", "iculos"], K.KMEANS_SAMPLE_ROWS)
-    km = models.kmeans_fit(sample, K.KMEANS_K, restarts=2, max_iter=10)
+    km = models.kmeans_fit(train, K.KMEANS_K, restarts=K.KMEANS_RESTARTS)
     centres = [list(map(float, c)) for c in km.clusterCenters()]
     assigned = models.assign_nearest(train, centres, K.FEATURE_COLS, "cluster")
     raw = assigned  # scaled columns; profile on the scaled panel plus outcome
@@ -201,8 +200,7 @@ def q_assessment(spark, sf_dir):
     lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="w_bal", regParam=1.0 / n,
                             standardization=False, maxIter=25).fit(train)
     reg = models.ridge(train.withColumn("target", F.col("hr_next_hour")), 1.0)
-    sample = split.hash_first(train, ["patient_id", "iculos"], K.KMEANS_SAMPLE_ROWS)
-    km = models.kmeans_fit(sample, K.KMEANS_K, restarts=1, max_iter=10)
+    km = models.kmeans_fit(train, K.KMEANS_K, restarts=K.KMEANS_RESTARTS)
     centres = [list(map(float, c)) for c in km.clusterCenters()]
     prof = agg.segment_profile(models.assign_nearest(train, centres, K.FEATURE_COLS, "cluster"), "cluster")
     names = {r["cluster"]: r["risk_label"] for r in models.segment_labels(prof).collect()}
@@ -220,11 +218,11 @@ def q_recursive_tree_forecast(spark, sf_dir):
     from pyspark.ml.regression import GBTRegressor
     w = hr_windows(spark, sf_dir)
     lags = forecast.lag_names()
-    train, test = split.ordered_split(w, S, train_fraction=0.8)
+    train, _ = split.ordered_split(w, S, train_fraction=0.8)
     train = models.assemble(train.select("*", *windows.window_summary(lags)),
                             lags + ["w_mean", "w_std", "w_trend"]).cache()
     gbt = GBTRegressor(labelCol="y", maxIter=10, maxDepth=4, stepSize=0.3, seed=42).fit(train)
-    out = forecast.recursive_model_forecast(gbt, test.select("patient_id", "iculos", *lags).cache(), lags)
+    out = forecast.recursive_model_forecast(gbt, w.select("patient_id", "iculos", *lags).cache(), lags)
     steps = [f"f{i}" for i in range(1, 7)]
     out = out.select("patient_id", "iculos", *[F.bround(c, 1).alias(c) for c in steps])
     return finish(out.select("*", *forecast.forecast_alerts(steps)))

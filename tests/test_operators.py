@@ -363,3 +363,31 @@ def test_panel_chain_plans_one_shuffle_one_sort(spark):
     for name in ["feature_table", "next_hour_target", "sliding_windows"]:
         s = plan_summary(reg[name].fn(spark, "/root/testdata/sf0.001"))
         assert (s["shuffles"], s["sorts"], s["cross_joins"]) == (1, 1, 0), (name, s)
+
+
+def test_rules_with_a_comma_in_a_label(spark):
+    """Item labels that hold the separator stay apart; a wide basket gives
+    only the small subsets."""
+    from panelkit.operators import mining
+    df = spark.createDataFrame([(["A, B", "C"],), (["A", "B", "C"],), (["A", "B", "C"],)], "items array<string>")
+    sets = mining.frequent_itemsets(df, min_support=0.1, max_len=3)
+    got = {tuple(r["itemset"]): round(r["support"], 6) for r in sets.collect()}
+    assert got[("A, B",)] == 0.333333 and got[("A", "B")] == 0.666667 and got[("A", "B", "C")] == 0.666667
+    rules = mining.rules(sets, 0.0).collect()
+    assert len(rules) == len({(tuple(r["antecedents"]), tuple(r["consequents"])) for r in rules}) == 14
+    wide = spark.createDataFrame([([f"i{k:02d}" for k in range(40)],)], "items array<string>")
+    assert mining.frequent_itemsets(wide, max_len=2).count() == 40 + 40 * 39 // 2
+
+
+def test_auroc_refuses_a_missing_score(spark):
+    from panelkit.operators import metrics
+    df = spark.createDataFrame([(0.1, 0), (0.9, 1), (None, 1)], "score double, label int")
+    with pytest.raises(Exception, match="no score"):
+        metrics.auroc(df).collect()
+
+
+def test_kmeans_is_fitted_on_all_rows(spark):
+    from panelkit.operators import models
+    rows = models.assemble(spark.range(60_000).selectExpr("double(id % 4) * 10 AS a"), ["a"])
+    m = models.kmeans_fit(rows, 4, restarts=1, max_iter=5)
+    assert sum(m.summary.clusterSizes) == 60_000
