@@ -14,13 +14,19 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import kept, map_arrow, text_of
+from panelkit.llm.common import HashTable, blocks_of, kept, map_arrow, text_of
 
 # Encodings that a worker remembers (two generations of so many; this only saves
 # time), and the longest string it remembers one for.
 MEMORY_ENTRIES = 150_000
 MEMORY_LENGTH = 64
 
+# Pre-tokens merged side by side (``Lanes``): so many at once, and only those of
+# so many bytes or fewer. Texts are looked through in runs of about so many characters.
+LANES = 4096
+LANE_BYTES = 48
+RUN_CHARS = 1 << 20
+
 
 # Fixed value: the split pattern whose pre-tokens take at most one space, in front.
 SPACE_PATTERN = (r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
@@ -49,6 +55,122 @@ class Memory:
             self.young[key] = ids
 
 
+def _lowest(x: np.ndarray) -> np.ndarray:
+    """Find-first-set: the number of the lowest bit set in each word."""
+    return np.bitwise_count((x & (~x + np.uint64(1))) - np.uint64(1)).astype(np.int64)
+
+
+class Lanes:
+    """The rank queue of ``BytePairCodec.merge`` for many short pre-tokens at once,
+    one a lane: in every round each lane takes its own next rank.
+
+    A pair that can come up in a lane is a stretch of its bytes that is a piece.
+    These stretches, in the order (rank, position), are the lane's buckets: bit j
+    of its ``low`` words stands for its j-th stretch and a bit of ``top`` marks a
+    word in use, so that two find-first-set steps give the lowest rank, leftmost
+    first. The lists are linked over the bytes of all lanes end to end; a stretch
+    whose two halves are no longer neighbours is stale and skipped."""
+
+    def __init__(self, flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, singles: list[int]):
+        self.flat, self.starts, self.lengths = flat, starts, lengths
+        self.singles = np.array(singles, dtype=np.int64)
+        ranks = np.flatnonzero((lengths >= 2) & (lengths <= LANE_BYTES))
+        hashes = np.zeros(len(ranks), dtype=np.uint64)
+        for i in range(LANE_BYTES):
+            more = lengths[ranks] > i
+            hashes[more] = self._step(hashes[more], flat[starts[ranks[more]] + i])
+        self.table = HashTable(self._key(hashes), ranks)
+        self.longest = int(lengths[ranks].max(initial=0))
+
+    @staticmethod
+    def _step(h: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        return h * np.uint64(0x9E3779B97F4A7C15) + byte.astype(np.uint64) + np.uint64(1)
+
+    @staticmethod
+    def _key(h: np.ndarray) -> np.ndarray:
+        return ((h ^ (h >> np.uint64(29))) & np.uint64((1 << 63) - 1)).astype(np.int64)
+
+    def _stretches(self, raw: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(position, length, rank) of every stretch inside a lane that is a piece."""
+        at, h, found = np.arange(len(raw)), self._step(np.zeros(len(raw), dtype=np.uint64), raw), []
+        for n in range(2, self.longest + 1):
+            fits = at + n <= end[at]
+            at, h = at[fits], h[fits]
+            if not len(at):
+                break
+            h = self._step(h, raw[at + n - 1])
+            rank, seen = self.table.get(self._key(h))
+            s, r = at[seen], rank[seen].astype(np.int64)
+            offsets = np.arange(n)
+            same = (self.lengths[r] == n) & (raw[s[:, None] + offsets] == self.flat[
+                np.minimum(self.starts[r][:, None] + offsets, len(self.flat) - 1)]).all(axis=1)
+            found.append((s[same], np.full(int(same.sum()), n), r[same]))
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
+
+    def merge(self, pretokens: list[bytes]) -> list[tuple[int, ...]]:
+        """Token ids of each pre-token (none of them empty, long, or itself a piece)."""
+        raw = np.frombuffer(b"".join(pretokens), dtype=np.uint8)
+        sizes = np.array([len(x) for x in pretokens])
+        stop = np.cumsum(sizes)
+        n, lanes = len(raw), len(sizes)
+        lane = np.repeat(np.arange(lanes), sizes)
+        s, length, rank = self._stretches(raw, stop[lane])
+        order = np.lexsort((s, rank, lane[s]))
+        s, length, rank = s[order], length[order], rank[order]
+        held = np.bincount(lane[s], minlength=lanes)
+        base = np.cumsum(held) - held
+        bit = np.arange(len(s)) - base[lane[s]]
+        width = int(sizes.max()) + 1
+        bits = np.full((n, width), -1, dtype=np.int32)  # (position, length) -> bit of the lane
+        bits[s, length] = bit
+        words = int(held.max(initial=0)) // 64 + 1
+        low, top = np.zeros((lanes, words), dtype=np.uint64), np.zeros(lanes, dtype=np.uint64)
+        one, gone = np.uint64(1), n + 1  # merged positions lead to ``gone``, which leads nowhere
+        nxt, prv = np.arange(1, n + 3), np.arange(-1, n)
+        nxt[gone] = -1
+        prv[stop - sizes] = -1
+
+        def push(who, position, size):
+            b = bits[position, np.minimum(size, width - 1)]
+            ok = (b >= 0) & (size < width)
+            who, b = who[ok], b[ok]
+            low[who, b >> 6] |= one << (b & 63).astype(np.uint64)
+            top[who] |= one << (b >> 6).astype(np.uint64)
+
+        for i in range(width - 2):  # the i-th pair of bytes of every lane that has one
+            who = np.flatnonzero(sizes > i + 1)
+            push(who, (stop - sizes)[who] + i, np.full(len(who), 2))
+        live = np.flatnonzero(top)
+        while len(live):
+            w = _lowest(top[live])
+            word = low[live, w]
+            j = base[live] + (w << 6) + _lowest(word)
+            word &= word - one
+            low[live, w] = word
+            top[live] &= ~np.where(word == 0, one << w.astype(np.uint64), np.uint64(0))
+            i, k = s[j], s[j] + length[j]
+            middle = nxt[i]
+            fresh = nxt[middle] == k
+            who, i, k, middle = live[fresh], i[fresh], k[fresh], middle[fresh]
+            nxt[i], nxt[middle] = k, gone
+            inside = k < stop[who]
+            prv[k[inside]] = i[inside]
+            push(who[inside], i[inside], nxt[k[inside]] - i[inside])
+            h = prv[i]
+            inside = h >= 0
+            push(who[inside], h[inside], k[inside] - h[inside])
+            live = live[top[live] != 0]
+        first = np.flatnonzero(nxt[:n] != gone)
+        size = nxt[first] - first
+        ids = self.singles[raw[first]]
+        longer = size > 1
+        at = first[longer]
+        ids[longer] = rank[base[lane[at]] + bits[at, size[longer]]]
+        ends = np.cumsum(np.bincount(lane[first], minlength=lanes)).tolist()
+        ids = ids.tolist()
+        return [tuple(ids[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
+
+
 class BytePairCodec:
     """Ranks of byte strings, the split pattern, and both directions."""
 
@@ -76,6 +198,7 @@ class BytePairCodec:
         self.known = np.array([i in self.pieces for i in range(size)], dtype=bool)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.flat = np.frombuffer(b"".join(self.pieces.get(i, b"") for i in range(size)), dtype=np.uint8)
+        self.lanes = Lanes(self.flat, self.starts, self.lengths, self.singles)
 
     def merge(self, raw: bytes) -> list[int]:
         """Token ids of one pre-token: always the lowest rank next, leftmost first.
@@ -174,6 +297,43 @@ class BytePairCodec:
             out += ids
         return tuple(out)
 
+    def learn(self, texts: list[str]) -> None:
+        """The new chunks between single spaces of some texts go to the memory;
+        what has to be merged for them is merged side by side. ``parts`` finds
+        them there, and encodes itself whatever is left out here."""
+        if not self.splits_at_space:
+            return
+        new: set[str] = set()
+        for t in texts:
+            new.update(t.split(" "))
+        new = new.difference(self.chunks.young).difference(self.chunks.old)
+        split = [(c, self.find(" " + c)) for c in new
+                 if c and len(c) <= MEMORY_LENGTH and not (c[0].isspace() or c[-1].isspace())]
+        ids: dict[str, tuple[int, ...]] = {}
+        todo: list[tuple[str, bytes]] = []
+        for p in {p for _, pieces in split for p in pieces}:
+            memory, key = (self.chunks, p[1:]) if p[0] == " " and len(p) > 1 else (self.plain, p)
+            got = memory.young.get(key) or memory.old.get(key)
+            if got is None:
+                raw = p.encode("utf-8", "surrogatepass")
+                whole = self.ranks.get(raw)
+                if whole is None and len(raw) <= LANE_BYTES:
+                    todo.append((p, raw))
+                    continue
+                got = (whole,) if whole is not None else tuple(self.merge(raw))
+            ids[p] = got
+        todo.sort(key=lambda x: len(x[1]))
+        for a in range(0, len(todo), LANES):
+            some = todo[a:a + LANES]
+            ids.update(zip([p for p, _ in some], self.lanes.merge([raw for _, raw in some]), strict=True))
+        for p, _ in todo:
+            if p[0] != " " or len(p) == 1:
+                self.plain.put(p, ids[p])
+            elif not (p[1].isspace() or p[-1].isspace()):
+                self.chunks.put(p[1:], ids[p])
+        for c, pieces in split:
+            self.chunks.put(c, ids[pieces[0]] if len(pieces) == 1 else tuple(chain.from_iterable(map(ids.get, pieces))))
+
     def parts(self, text: str) -> list[tuple[int, ...]]:
         """The text's ids, in a tuple for each chunk between single spaces.
 
@@ -263,14 +423,16 @@ def _encode_batch(c: BytePairCodec, b: pa.RecordBatch) -> Iterator[tuple[pa.Arra
         return b.column(0).slice(start, len(sizes)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
     parts, sizes, size, start = [], [], 0, 0
-    for i, t in enumerate(b.column(1)):
-        got = c.parts(t.as_py())
-        parts += got
-        sizes.append(sum(map(len, got)))
-        size += sizes[-1]
-        if size >= BATCH_IDS:
-            yield stretch(start, parts, sizes)
-            parts, sizes, size, start = [], [], 0, i + 1
+    for first, texts in blocks_of(b.column(1), RUN_CHARS):
+        c.learn(texts)
+        for i, t in enumerate(texts, first):
+            got = c.parts(t)
+            parts += got
+            sizes.append(sum(map(len, got)))
+            size += sizes[-1]
+            if size >= BATCH_IDS:
+                yield stretch(start, parts, sizes)
+                parts, sizes, size, start = [], [], 0, i + 1
     if sizes:
         yield stretch(start, parts, sizes)
 
