@@ -6,7 +6,6 @@ import base64
 import hashlib
 from collections.abc import Iterator
 from heapq import heappop, heappush
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +17,7 @@ from panelkit.llm.common import HashTable, blocks_of, kept, map_arrow, text_of
 
 # Encodings that a worker remembers (two generations of so many; this only saves
 # time), and the longest string it remembers one for.
-MEMORY_ENTRIES = 150_000
+MEMORY_ENTRIES = 250_000
 MEMORY_LENGTH = 64
 
 # Pre-tokens merged side by side (``Lanes``): so many at once, and only those of
@@ -33,22 +32,23 @@ SPACE_PATTERN = (r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]
 
 
 class Memory:
-    """Bounded string -> ids memory of two generations: the older one is dropped
-    when the younger is full, and what is used again moves to the younger."""
+    """Bounded memory of two generations, string -> ids (as the bytes of 32-bit
+    numbers): the older generation is dropped when the younger is full, and what
+    is used again moves to the younger."""
 
     def __init__(self, entries: int = MEMORY_ENTRIES):
-        self.young: dict[str, tuple[int, ...]] = {}
-        self.old: dict[str, tuple[int, ...]] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.entries = entries
 
-    def older(self, key: str) -> tuple[int, ...] | None:
+    def older(self, key: str) -> bytes | None:
         """For a key that the younger generation lacks."""
         got = self.old.get(key)
         if got is not None:
             self.put(key, got)
         return got
 
-    def put(self, key: str, ids: tuple[int, ...]) -> None:
+    def put(self, key: str, ids: bytes) -> None:
         if len(key) <= MEMORY_LENGTH:
             if len(self.young) >= self.entries:
                 self.old, self.young = self.young, {}
@@ -107,8 +107,9 @@ class Lanes:
             found.append((s[same], np.full(int(same.sum()), n), r[same]))
         return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
 
-    def merge(self, pretokens: list[bytes]) -> list[tuple[int, ...]]:
-        """Token ids of each pre-token (none of them empty, long, or itself a piece)."""
+    def merge(self, pretokens: list[bytes]) -> list[bytes]:
+        """Token ids of each pre-token (none of them empty or itself a piece), as
+        the bytes of 32-bit numbers."""
         raw = np.frombuffer(b"".join(pretokens), dtype=np.uint8)
         sizes = np.array([len(x) for x in pretokens])
         stop = np.cumsum(sizes)
@@ -166,9 +167,9 @@ class Lanes:
         longer = size > 1
         at = first[longer]
         ids[longer] = rank[base[lane[at]] + bits[at, size[longer]]]
-        ends = np.cumsum(np.bincount(lane[first], minlength=lanes)).tolist()
-        ids = ids.tolist()
-        return [tuple(ids[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
+        ends = (4 * np.cumsum(np.bincount(lane[first], minlength=lanes))).tolist()
+        packed = ids.astype(np.int32).tobytes()
+        return [packed[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
 class BytePairCodec:
@@ -281,9 +282,13 @@ class BytePairCodec:
             i = nxt[i]
         return out
 
-    def pretokens(self, text: str) -> tuple[int, ...]:
+    def packed(self, raw: bytes) -> bytes:
+        """``merge`` as the bytes of 32-bit numbers."""
+        return np.array(self.merge(raw), dtype=np.int32).tobytes()
+
+    def pretokens(self, text: str) -> bytes:
         """Ids of a stretch of text, pre-token by pre-token."""
-        out: list[int] = []
+        out: list[bytes] = []
         for piece in self.find(text):
             if piece[0] == " " and len(piece) > 1:
                 memory, key = self.chunks, piece[1:]  # a chunk of one pre-token has the same ids
@@ -291,11 +296,11 @@ class BytePairCodec:
                 memory, key = self.plain, piece
             ids = memory.young.get(key) or memory.older(key)
             if ids is None:
-                ids = tuple(self.merge(piece.encode("utf-8", "surrogatepass")))
+                ids = self.packed(piece.encode("utf-8", "surrogatepass"))
                 if memory is self.plain or not (key[0].isspace() or key[-1].isspace()):
                     memory.put(key, ids)
-            out += ids
-        return tuple(out)
+            out.append(ids)
+        return b"".join(out)
 
     def learn(self, texts: list[str]) -> None:
         """The new chunks between single spaces of some texts go to the memory;
@@ -306,36 +311,45 @@ class BytePairCodec:
         new: set[str] = set()
         for t in texts:
             new.update(t.split(" "))
-        new = new.difference(self.chunks.young).difference(self.chunks.old)
-        split = [(c, self.find(" " + c)) for c in new
-                 if c and len(c) <= MEMORY_LENGTH and not (c[0].isspace() or c[-1].isspace())]
-        ids: dict[str, tuple[int, ...]] = {}
-        todo: list[tuple[str, bytes]] = []
-        for p in {p for _, pieces in split for p in pieces}:
+        split, need = [], set()
+        for c in new.difference(self.chunks.young).difference(self.chunks.old):
+            if not c or len(c) > MEMORY_LENGTH:
+                continue
+            if c.isascii() and c.isalpha():
+                need.add(" " + c)  # letters are one pre-token
+            elif c == c.strip():
+                pieces = self.find(" " + c)
+                need.update(pieces)
+                if len(pieces) > 1:
+                    split.append((c, pieces))
+        ids: dict[str, bytes] = {}
+        todo: list[tuple[bytes, str]] = []
+        for p in need:
             memory, key = (self.chunks, p[1:]) if p[0] == " " and len(p) > 1 else (self.plain, p)
             got = memory.young.get(key) or memory.old.get(key)
-            if got is None:
-                raw = p.encode("utf-8", "surrogatepass")
-                whole = self.ranks.get(raw)
-                if whole is None and len(raw) <= LANE_BYTES:
-                    todo.append((p, raw))
-                    continue
-                got = (whole,) if whole is not None else tuple(self.merge(raw))
-            ids[p] = got
-        todo.sort(key=lambda x: len(x[1]))
+            if got is not None:
+                ids[p] = got
+                continue
+            raw = p.encode("utf-8", "surrogatepass")
+            if len(raw) <= LANE_BYTES and raw not in self.ranks:
+                todo.append((raw, p))
+            else:
+                ids[p] = self.packed(raw)
+                memory.put(key, ids[p])
+        todo.sort(key=lambda x: len(x[0]))
         for a in range(0, len(todo), LANES):
             some = todo[a:a + LANES]
-            ids.update(zip([p for p, _ in some], self.lanes.merge([raw for _, raw in some]), strict=True))
-        for p, _ in todo:
-            if p[0] != " " or len(p) == 1:
-                self.plain.put(p, ids[p])
-            elif not (p[1].isspace() or p[-1].isspace()):
-                self.chunks.put(p[1:], ids[p])
+            for (_, p), got in zip(some, self.lanes.merge([raw for raw, _ in some]), strict=True):
+                ids[p] = got
+                if p[0] == " " and len(p) > 1:
+                    self.chunks.put(p[1:], got)
+                else:
+                    self.plain.put(p, got)
         for c, pieces in split:
-            self.chunks.put(c, ids[pieces[0]] if len(pieces) == 1 else tuple(chain.from_iterable(map(ids.get, pieces))))
+            self.chunks.put(c, b"".join(map(ids.__getitem__, pieces)))
 
-    def parts(self, text: str) -> list[tuple[int, ...]]:
-        """The text's ids, in a tuple for each chunk between single spaces.
+    def parts(self, text: str) -> list[bytes]:
+        """The text's ids, packed for each chunk between single spaces.
 
         A pre-token never runs across a space that stands between two characters
         other than white space: it starts at that space. So such chunks, each
@@ -347,7 +361,7 @@ class BytePairCodec:
         memory = self.chunks
         out = list(map(memory.young.get, chunks))
         first = chunks[0]
-        out[0] = self.pretokens(first) if first else ()
+        out[0] = self.pretokens(first) if first else b""
         if not first and len(chunks) > 1 or first[-1:].isspace():
             return self._joined(chunks)
         if None in out:
@@ -360,7 +374,7 @@ class BytePairCodec:
                 out[i] = self._chunk(chunks[i])
         return out
 
-    def _chunk(self, c: str) -> tuple[int, ...]:
+    def _chunk(self, c: str) -> bytes:
         ids = self.chunks.young.get(c) or self.chunks.older(c)
         if ids is None:
             ids = self.pretokens(" " + c)
@@ -368,7 +382,7 @@ class BytePairCodec:
                 self.chunks.put(c, ids)
         return ids
 
-    def _joined(self, chunks: list[str]) -> list[tuple[int, ...]]:
+    def _joined(self, chunks: list[str]) -> list[bytes]:
         out, i, n = [], 0, len(chunks)
         while i < n:
             j = i + 1  # the stretch i .. j - 1 ends where a single space separates two non-spaces
@@ -383,7 +397,7 @@ class BytePairCodec:
         return out
 
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(self.parts(text)))
+        return np.frombuffer(b"".join(self.parts(text)), dtype=np.int32).tolist()
 
     def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(bytes end to end, how many each id gave) of any number of ids."""
@@ -418,7 +432,7 @@ BATCH_IDS = 250_000
 def _encode_batch(c: BytePairCodec, b: pa.RecordBatch) -> Iterator[tuple[pa.Array, pa.ListArray]]:
     """(ids of rows, lists of token ids) for stretches of a batch of (id, text)."""
     def stretch(start, parts, sizes):
-        flat = np.fromiter(chain.from_iterable(parts), dtype=np.int32)
+        flat = np.frombuffer(b"".join(parts), dtype=np.int32)
         offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
         return b.column(0).slice(start, len(sizes)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
@@ -428,7 +442,7 @@ def _encode_batch(c: BytePairCodec, b: pa.RecordBatch) -> Iterator[tuple[pa.Arra
         for i, t in enumerate(texts, first):
             got = c.parts(t)
             parts += got
-            sizes.append(sum(map(len, got)))
+            sizes.append(sum(map(len, got)) >> 2)
             size += sizes[-1]
             if size >= BATCH_IDS:
                 yield stretch(start, parts, sizes)
