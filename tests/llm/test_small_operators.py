@@ -55,6 +55,18 @@ def test_bpe_equals_tiktoken(ranks):
         c.decode(np.array([10**7]))
 
 
+def test_bpe_lanes_equal_the_queue_of_one_pretoken(ranks):
+    """Side by side or alone: the same ids, also with equal pairs and overlaps."""
+    c = bpe.BytePairCodec(ranks, TOK.PATTERN)
+    rng = random.Random(3)
+    words = {bytes(rng.choice(b"aaabetns ri\xc3\xa9") for _ in range(rng.randint(2, bpe.LANE_BYTES)))
+             for _ in range(3000)}
+    words |= {b"a" * n for n in range(2, bpe.LANE_BYTES + 1)} | {b"ab" * n for n in range(1, bpe.LANE_BYTES // 2)}
+    words = sorted(w for w in words if w not in c.ranks)
+    assert c.lanes.merge(words) == [c.packed(w) for w in words]
+    assert c.lanes.merge(words[:1]) == [c.packed(words[0])]
+
+
 def test_bpe_memory_of_two_generations():
     m = bpe.Memory(2)
     for k in "abc":
