@@ -77,6 +77,51 @@ def entity_inventory(raw: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("files"))
 
 
+def read_by_header(spark: SparkSession, directory: str, sep: str = "|", schema: StructType | None = None,
+                   glob: str = "*.psv", order: str = "ICULOS") -> tuple[DataFrame, DataFrame]:
+    """A1 + A4: entity files read by each file's own header, in any column order.
+
+    Returns (rows with ``file_name`` and the columns of ``schema``, quarantine
+    with file_name, raw_line, reason). A column that a file lacks is null; a
+    column outside the schema is not read. The header is the line that names
+    ``order``; a file without one is quarantined line by line and the others go
+    on. So is a line with another number of fields than its header, or with a
+    value that is not of the column's type. Empty files give no rows.
+
+    Lines meet their header (one row a file) in a join on the file, which Spark
+    broadcasts while it is small; no file is read whole by one task.
+    """
+    fields = [f for f in (schema or raw_schema(with_corrupt=False)).fields if f.name != CORRUPT]
+    lines = (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(directory)
+             .select(F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_name").alias("file_name"),
+                     F.regexp_replace("value", "^\ufeff|\r$", "").alias("raw_line"))
+             .filter(F.trim("raw_line") != ""))
+    parts = F.split("raw_line", "\\Q" + sep + "\\E", -1)
+    lines = lines.withColumn("_values", F.transform(parts, lambda v: F.trim(v)))
+    is_header = F.array_contains("_values", order)
+    headers = lines.filter(is_header).groupBy("_path").agg(F.min("_values").alias("_names"))
+    rows = lines.filter(~is_header).join(headers, "_path", "left")
+
+    # values in the schema's order; the position of a name the header lacks is 0
+    names = F.array(*[F.lit(f.name) for f in fields])
+    rows = rows.withColumn("_raw", F.transform(names, lambda n: F.nullif(
+        F.get("_values", F.array_position("_names", n).cast("int") - 1), F.lit(""))))
+    def does_not_read_as(kind: str):
+        return lambda i: F.get("_raw", i).isNotNull() & F.get("_raw", i).try_cast(kind).isNull()
+
+    wrong = F.lit(False)
+    for kind in {f.dataType.simpleString() for f in fields} - {"string"}:
+        at = F.array(*[F.lit(i) for i, f in enumerate(fields) if f.dataType.simpleString() == kind])
+        wrong = wrong | F.exists(at, does_not_read_as(kind))
+    reason = (F.when(F.col("_names").isNull(), F.lit("no header"))
+              .when(F.size("_values") != F.size("_names"), F.lit("number of fields"))
+              .when(wrong, F.lit("value")))
+    rows = rows.withColumn("reason", reason)
+    clean = rows.filter(F.col("reason").isNull()).select(
+        "file_name", *[F.get("_raw", F.lit(i)).try_cast(f.dataType).alias(f.name) for i, f in enumerate(fields)])
+    return clean, rows.filter(F.col("reason").isNotNull()).select("file_name", "raw_line", "reason")
+
+
 def read_panel_files(spark: SparkSession, directory: str, sep: str = "|") -> tuple[DataFrame, DataFrame]:
     """A1+A2+A4+B1: raw entity files -> (lower-case panel with entity id, quarantine).
 
@@ -84,9 +129,9 @@ def read_panel_files(spark: SparkSession, directory: str, sep: str = "|") -> tup
     never relied on.
     """
     from panelkit.operators.clean import nan_to_null, normalize_columns
-    raw = with_entity_from_filename(read_entity_files(spark, directory, sep))
-    clean, quarantine = split_quarantine(raw)
-    return nan_to_null(normalize_columns(clean)), quarantine
+    clean, quarantine = read_by_header(spark, directory, sep)
+    named = clean.withColumn("patient_id", F.regexp_extract("file_name", r"^(.*)\.psv$", 1)).drop("file_name")
+    return nan_to_null(normalize_columns(named)), quarantine
 
 
 def read_clean_files(spark: SparkSession, directory: str, schema: StructType | None = None,

@@ -50,6 +50,29 @@ def test_read_entity_files_one_scan(spark, entity_dir):
     assert "hr" in panel.columns and "o2sat" in panel.columns
 
 
+def test_files_read_by_header_and_bad_files_set_aside(spark, entity_dir):
+    from pathlib import Path
+
+    from panelkit.plans import jobs
+    d = Path(entity_dir)
+    (d / "p000005.psv").write_text("ICULOS|Extra|HR|SepsisLabel\r\n1|x|91.5|0\r\n2|y|NaN|1\r\n")   # another order
+    (d / "p000006.psv").write_text("a|b\n1|2\n")                                       # no such header
+    (d / "p000007.psv").write_text("HR|ICULOS\n70|1\n71|2|3\nhigh|3\n")               # two bad lines
+    panel, quarantine = files.read_panel_files(spark, entity_dir)
+    assert panel.count() == 7
+    got = {(r["patient_id"], r["iculos"]): (r["hr"], r["sepsislabel"]) for r in panel.collect()}
+    assert got[("p000005", 1)] == (91.5, 0) and got[("p000005", 2)] == (None, 1)
+    assert got[("p000007", 1)] == (70.0, None) and got[("p000001", 2)] == (80.0, 0)
+    bad = sorted((r["file_name"], r["reason"]) for r in quarantine.collect())
+    assert bad == [("p000004.psv", "number of fields"), ("p000006.psv", "no header"), ("p000006.psv", "no header"),
+                   ("p000007.psv", "number of fields"), ("p000007.psv", "value")]
+    out = str(d / "out")
+    written = jobs.ingest(spark, entity_dir, out)
+    assert written.count() == 7 and spark.read.parquet(f"{out}/quarantine").count() == 5
+    first = {r["iculos"]: r["hr"] for r in written.filter("patient_id = 'p000001'").collect()}
+    assert first == {1: 80.0, 2: 80.0, 3: 80.0}  # forward, then backward fill
+
+
 def test_clean_write_and_reload_comma_files(spark, entity_dir, tmp_path):
     from panelkit.operators import clean
     from panelkit.operators.panel import PanelSpec
