@@ -88,15 +88,50 @@ def metric_floors(metrics: DataFrame, floors: list[tuple[str, float, str]]) -> D
     return j.select("metric", "value", "bound", passed.alias("passed"))
 
 
+def _check(name: str, observed, threshold: float, passed):
+    return F.struct(F.lit(name).alias("check_name"), observed.cast("double").alias("observed"),
+                    F.lit(float(threshold)).alias("threshold"), passed.alias("passed"))
+
+
+def row_checks(df: DataFrame, minimum: int, bad: dict, rows_name: str = "row_count") -> DataFrame:
+    """Q1, Q3, Q5 in one aggregate: more than ``minimum`` rows, and for each name
+    of ``bad`` no row that meets its condition."""
+    c = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count_if(cond).alias(name) for name, cond in bad.items()])
+    checks = [_check(rows_name, F.col("_rows"), minimum, F.col("_rows") > minimum)]
+    checks += [_check(name, F.col(name), 0, F.col(name) == 0) for name in bad]
+    return c.select(F.inline(F.array(*checks)))
+
+
+def panel_identities(panel: DataFrame, windows: DataFrame, next_rows: DataFrame, spec: PanelSpec, size: int,
+                     bad_window, bad_name: str) -> DataFrame:
+    """Q8 and Q5 with one pass over each frame: ``window_identity`` and
+    ``next_row_identity`` (name ``next_hour_identity``), and no row of ``windows``
+    that meets ``bad_window``."""
+    per = panel.groupBy(spec.entity).agg(F.count(F.lit(1)).alias("n"))
+    zero = F.lit(0).cast("bigint")
+    want = per.select(F.greatest(F.col("n") - size, F.lit(0)).alias("w"),
+                      (F.col("n") - F.col(spec.entity).isNotNull().cast("int")).alias("x")).agg(
+        F.coalesce(F.sum("w"), zero).alias("w"), F.coalesce(F.sum("x"), zero).alias("x"), zero.alias("bad"))
+    got_w = windows.agg(F.negative(F.count(F.lit(1))).alias("w"), zero.alias("x"), F.count_if(bad_window).alias("bad"))
+    got_x = next_rows.agg(zero.alias("w"), F.negative(F.count(F.lit(1))).alias("x"), zero.alias("bad"))
+    d = want.unionByName(got_w).unionByName(got_x).agg(
+        F.negative(F.sum("w")).alias("w"), F.negative(F.sum("x")).alias("x"), F.sum("bad").alias("bad"))
+    return d.select(F.inline(F.array(*[
+        _check(name, F.col(c), 0, F.col(c) == 0)
+        for name, c in (("window_identity", "w"), ("next_hour_identity", "x"), (bad_name, "bad"))])))
+
+
 def summary(checks: list[DataFrame]) -> DataFrame:
-    """Q9: union of check rows plus an ``all_passed`` row."""
+    """Q9: union of check rows plus an ``all_passed`` row. The check rows (one for
+    each check, so few) are gathered into one array, so that every check runs once."""
     u = checks[0]
     for c in checks[1:]:
         u = u.unionByName(c)
-    tot = u.agg(F.sum(F.when(F.col("passed"), 1).otherwise(0)).cast("double").alias("observed"),
-                F.count(F.lit(1)).cast("double").alias("threshold"),
-                F.bool_and("passed").alias("passed"))
-    return u.unionByName(tot.select(F.lit("all_passed").alias("check_name"), "observed", "threshold", "passed"))
+    one = u.agg(F.collect_list(F.struct("check_name", "observed", "threshold", "passed")).alias("c"))
+    total = _check("all_passed", F.size(F.filter("c", lambda x: x["passed"])), 0,
+                   F.forall("c", lambda x: F.coalesce(x["passed"], F.lit(True))))
+    total = total.withField("threshold", F.size("c").cast("double"))
+    return one.select(F.inline(F.concat(F.col("c"), F.array(total))))
 
 
 def required_columns(df: DataFrame, columns: list[str], min_columns: int | None = None) -> list[tuple]:

@@ -10,7 +10,7 @@ from panelkit import constants as K
 from panelkit.functions import scalar as X
 from panelkit.operators import aggregate as agg
 from panelkit.operators import metrics as M
-from panelkit.operators import forecast, models, quality, split
+from panelkit.operators import clean, forecast, models, quality, split
 from panelkit.plans import oracle as O
 from panelkit.plans.q_panel import S, features
 from panelkit.plans.registry import finish, query
@@ -428,18 +428,19 @@ def q_quality_gates(spark, sf_dir):
     from panelkit.plans.q_panel import hr_windows, next_hour_rows
     nh = next_hour_rows(spark, sf_dir, f)
     win = hr_windows(spark, sf_dir, f)
+    score = agg.risk_score()
+    pred = forecast.smoothing_forecast(forecast.lag_names())
+    clustered = models.assign_nearest(f, FIXED_CENTRES, CENTRE_COLS, "cluster")
     checks = [
-        quality.row_count_gate(f, K.MIN_PANEL_ROWS, "panel_rows_above_floor"),
-        quality.no_nulls(f, ["hr", "temp", "o2sat"], "no_null_vitals"),
+        quality.row_checks(clustered, K.MIN_PANEL_ROWS, {
+            "no_null_vitals": clean.any_null(["hr", "temp", "o2sat"]),
+            "score_in_unit_interval": (score < 0.0) | (score > 1.0),
+            "segment_in_range": (F.col("cluster") < 0) | (F.col("cluster") > K.KMEANS_K - 1),
+        }, "panel_rows_above_floor"),
         quality.both_classes(f, "sepsislabel", "both_classes_present"),
-        quality.in_range(f.select(agg.risk_score().alias("score")), "score", 0.0, 1.0, "score_in_unit_interval"),
         quality.grain_unique(f, ["patient_id", "iculos"], "grain_unique"),
-        quality.window_identity(win, f, S, K.WINDOW_SIZE, "window_identity"),
-        quality.next_row_identity(nh, f, S, "next_hour_identity"),
-        quality.in_range(win.select(forecast.smoothing_forecast(forecast.lag_names()).alias("p")), "p",
-                         K.HR_RANGE[0], K.HR_RANGE[1], "forecast_hr_in_range"),
-        quality.in_range(models.assign_nearest(f, FIXED_CENTRES, CENTRE_COLS, "cluster"), "cluster",
-                         0, K.KMEANS_K - 1, "segment_in_range"),
+        quality.panel_identities(f, win, nh, S, K.WINDOW_SIZE,
+                                 (pred < K.HR_RANGE[0]) | (pred > K.HR_RANGE[1]), "forecast_hr_in_range"),
     ]
     return finish(quality.summary(checks))
 
