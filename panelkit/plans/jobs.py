@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from panelkit import constants as K
 from panelkit.config import shared_dir
 from panelkit.operators import aggregate as agg
-from panelkit.operators import forecast, metrics as M, mining, models, neighbors, quality, skew, split, windows
+from panelkit.operators import clean, forecast, metrics as M, mining, models, neighbors, quality, skew, split, windows
 from panelkit.operators.panel import PanelSpec
 from panelkit.sources import files, sinks
 
@@ -30,7 +30,6 @@ def ingest(spark: SparkSession, raw_dir: str, out: str, sep: str = "|", fill_glo
     """Entity files -> imputed panel (C1 vitals, C2 labs) + quarantine of
     malformed lines. A vital that an entity lacks wholly stays missing, unless
     ``fill_global_median`` (C3) is asked for. Returns the written panel."""
-    from panelkit.operators import clean
     panel, quarantine = files.read_panel_files(spark, raw_dir, sep)
     vitals = [c for c in K.VITALS_LC if c in panel.columns]
     labs = [c for c in K.LABS_LC if c in panel.columns]
@@ -147,8 +146,10 @@ def rules(spark: SparkSession, feats: DataFrame, out: str) -> DataFrame:
 
 def gate(spark: SparkSession, feats: DataFrame, min_rows: int = K.MIN_PANEL_ROWS) -> DataFrame:
     """Data-quality gate; raises (non-zero exit) when a check fails."""
-    checks = [quality.row_count_gate(feats, min_rows, "panel_rows_above_floor"),
-              quality.no_nulls(feats, ["hr", "temp", "o2sat"], "no_null_vitals"),
+    score = agg.risk_score()
+    checks = [quality.row_checks(feats, min_rows, {
+                  "no_null_vitals": clean.any_null(["hr", "temp", "o2sat"]),
+                  "score_in_unit_interval": (score < 0.0) | (score > 1.0)}, "panel_rows_above_floor"),
               quality.both_classes(feats, "sepsislabel", "both_classes_present"),
               quality.grain_unique(feats, ["patient_id", "iculos"], "grain_unique")]
     summary = quality.summary(checks)
@@ -175,8 +176,6 @@ def main(argv: list[str]) -> int:
         features(spark, feats_path, a.output)
     if a.job in ("train", "forecast", "lookalikes", "rules", "gate", "all"):
         feats = spark.table("patient_features") if a.job == "all" else spark.read.parquet(a.input)
-        if a.job in ("gate", "all"):
-            gate(spark, feats, a.min_rows)
         if a.job in ("train", "all"):
             print(json.dumps(train(spark, feats, a.output, presets)))
         if a.job in ("forecast", "all"):
@@ -189,6 +188,8 @@ def main(argv: list[str]) -> int:
             print("look-alikes left out: no --probes given", file=sys.stderr)
         if a.job in ("lookalikes", "all") and a.probes:
             lookalikes(spark, feats, spark.read.parquet(a.probes), a.output)
+        if a.job in ("gate", "all"):  # last: the outputs of the other jobs exist by now
+            gate(spark, feats, a.min_rows)
     return 0
 
 
