@@ -23,7 +23,7 @@ PATTERNS = {
 # What a text must hold for a pattern to be worth trying.
 NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 
-OCTET = r"0*+(?:[0-9]{1,2}|1[0-9][0-9]|2[0-4][0-9]|25[0-5])"
+OCTET = r"0*(?:[0-9]|[1-9][0-9]|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 
 # Looser forms of identifiers, which count only in a trusted context: mail
 # addresses in other spellings, hexadecimal groups, numbers of 7 digits or more.

@@ -297,6 +297,16 @@ def test_pii_base_spans(spark):
     assert pii.find_pii(df.limit(0)).count() == 0
 
 
+def test_pii_addresses_with_zero_parts(spark):
+    texts = ["10.0.0.1", "0.0.0.0", "at 192.168.0.1, 127.0.0.1", "000.0.00.255", "256.0.0.1", "0.0.0.256", "0" * 3000 + ".0.0.1",
+             "1.2.3.00400 10.00.010.0100"]
+    for r in pii.find_pii(docs_of(spark, enumerate(texts))).collect():
+        t = texts[r["doc_id"]]
+        assert r["base_sha256"] == hashlib.sha256(plain_spans(t).encode()).hexdigest()
+        assert r["n_ip"] == plain_spans(t).count("ip:")
+    assert [plain_spans(t).count("ip:") for t in texts] == [1, 1, 2, 1, 0, 0, 1, 1]
+
+
 def test_pii_contexts_discover_unseen_identifiers(spark):
     rows = [(i, f"please reach me mail: user{i}@site{i}.org today") for i in range(12)]
     rows += [(50, "so mail: jane@intranet now"), (51, "the code 1234567 is no identifier"),
