@@ -132,19 +132,40 @@ def fit_rates(members: DataFrame, targets: np.ndarray, rounds: int = ROUNDS,
     return pulls
 
 
+def targets_of(have: np.ndarray, want: np.ndarray, total_tokens: float | None, alike: bool) -> np.ndarray:
+    """Tokens that each domain shall have, of the ``have`` there are (see ``mix``);
+    ``alike``: all rows have the same posteriors."""
+    if not have.sum():
+        return np.zeros(len(have))
+    if alike:  # nothing to tell the rows apart by, so only their number can change
+        return have if total_tokens is None else have * (total_tokens / have.sum())
+    want = np.where(have > 0, want, 0.0)
+    if not want.sum():
+        raise ValueError("no row belongs to a domain that has a weight")
+    want = want / want.sum()
+    if total_tokens is not None:
+        return want * total_tokens
+    lead = int(want.argmax())
+    return np.minimum(want * (have[lead] / want[lead]), have)
+
+
 def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None, total_tokens: float | None = None,
         id_col: str = "doc_id", text_col: str = "text", fit_rows: int = FIT_ROWS,
         calibration_rows: int = CALIBRATION_ROWS) -> DataFrame:
     """One row per row of ``docs``: id_col, text_hash, n_tokens, p_<domain>, rate, copies.
 
     The rates make the expected tokens of each domain (rate x tokens x
-    posterior, summed) meet weight x ``total_tokens`` (default: as many as need
-    no domain to be raised above what there is). copies = rate rounded down or
-    up by a hash of identifier and text, so the expectation is kept and runs
-    agree; repeated rows get equal copies each. Null and empty texts have 0
-    tokens and get the rate of their posteriors. Weights are normalised;
-    a domain without a weight has 0. Empty table: empty result. Other columns
-    are not read.
+    posterior, summed) meet weight x ``total_tokens``. By default the domain of
+    the largest weight is kept whole and sets the total; a domain too scarce for
+    its weight is kept whole too and falls short of it, none is raised above what
+    there is. Domains without mass are left out of the weights (an error if no
+    weight is left). Where the labels tell no rows apart (fewer than two domains
+    in both samples), all rows get the same rate: 1 by default. copies = rate
+    rounded down or up by a hash of identifier and text, so the expectation is
+    kept and runs agree; repeated rows get equal copies each. Null and empty
+    texts have 0 tokens and get the rate of their posteriors. Weights are
+    normalised; a domain without a weight has 0. Empty table: empty result.
+    Other columns are not read.
     """
     want = np.array([float((weights or WEIGHTS).get(d, 0.0)) for d in DOMAINS])
     if (want < 0).any() or not want.sum():
@@ -154,10 +175,10 @@ def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = N
     n = docs.count()
     members = cut_lineage(members.repartition(max(1, -(-n // SLIM_ROWS))))
     k = len(DOMAINS)
-    have = members.agg(*[F.coalesce(F.sum(F.col("n_tokens") * F.col("p")[i]), F.lit(0.0)) for i in range(k)]).first()
-    if total_tokens is None:
-        total_tokens = min((h / w for h, w in zip(have, want, strict=True) if w > 0), default=0.0)
-    pulls = members.sparkSession.sparkContext.broadcast(fit_rates(members, want * total_tokens))
+    sums = members.agg(*[F.coalesce(F.sum(F.col("n_tokens") * F.col("p")[i]), F.lit(0.0)) for i in range(k)],
+                       *[F.coalesce(F.min(F.col("p")[i]) == F.max(F.col("p")[i]), F.lit(True)) for i in range(k)]).first()
+    targets = targets_of(np.array(sums[:k], dtype=float), want, total_tokens, alike=all(sums[k:]))
+    pulls = members.sparkSession.sparkContext.broadcast(fit_rates(members, targets))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:

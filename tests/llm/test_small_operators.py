@@ -420,3 +420,30 @@ def test_mixing_edges(spark):
     with pytest.raises(ValueError):
         mixing.mix(docs_of(spark, rows), lab, {"good": -1.0})
     assert mixing.mix(docs_of(spark, []), lab).count() == 0
+
+
+def mixture(spark, kinds, label_of):
+    """Documents and labels for domains repeated as in ``kinds``."""
+    words = {"good": "river stone house tree green", "low": "### $$$ %%% junk @@@", "toxic": "grobian grobulu groxxen vile scum"}
+    rnd = random.Random(8)
+    rows = [(i, " ".join(rnd.choice(words[k].split()) for _ in range(20))) for i, k in enumerate(kinds)]
+    lab = spark.createDataFrame([(i, *label_of[k]) for i, k in enumerate(kinds) if k in label_of],
+                                "doc_id long, quality int, toxic int")
+    return docs_of(spark, rows), lab
+
+
+@pytest.mark.parametrize("n_toxic, labelled", [(0, "good low toxic"), (10, "good low"), (10, "good low toxic"),
+                                               (10, "good"), (10, "")])
+def test_mixing_keeps_the_good_documents_when_a_domain_is_scarce(spark, n_toxic, labelled):
+    """No toxic labels or texts; 0.5 % toxic; one labelled domain; no label."""
+    label_of = {k: v for k, v in {"good": (1, 0), "low": (0, 0), "toxic": (0, 1)}.items() if k in labelled.split()}
+    kinds = ["toxic" if i % 200 == 0 and n_toxic else "low" if i % 8 == 1 else "good" for i in range(2000)]
+    got = {r["doc_id"]: r["copies"] for r in mixing.mix(*mixture(spark, kinds, label_of)).collect()}
+    copies, size = ({k: sum(got[i] if c else 1 for i, x in enumerate(kinds) if x == k) for k in set(kinds)} for c in (1, 0))
+    assert copies["good"] > 0.97 * size["good"]
+    if "low" in label_of:  # weights 0.88 and 0.08
+        assert abs(copies["low"] / copies["good"] - 0.08 / 0.88) < 0.03
+    if "toxic" in label_of and n_toxic:
+        assert 0 < copies["toxic"] <= 1.5 * size["toxic"]
+    with pytest.raises(ValueError):
+        mixing.targets_of(np.array([5.0, 1.0, 0.0]), np.array([0.0, 0.0, 1.0]), None, False)
