@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.config import cut_lineage
-from panelkit.llm.common import HEAVY_SHARE, lookup, table, text_of
+from panelkit.llm.common import lookup, table, text_of
 from panelkit.llm.ngram_bayes import class_counts, log_likelihoods, mean_scores
 
 # The text counts as at most so many independent grams (a text's grams are far
@@ -16,30 +16,41 @@ HOST_STRENGTH = 4.0  # pseudo-counts that a level takes from the level above it
 DECLARED_STRENGTH = 4.0
 MIN_POSTERIOR = 0.5
 MIN_GRAMS = 3
+# The model is bounded by so many languages x buckets; public identifiers of
+# web text tell 100 to 200. More declared values are an error, none is dropped.
+MAX_LANGUAGES = 1000
 
 
 def train_text_model(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text"):
     """(languages, log-likelihood matrix) from all rows with a language. The
-    languages are those with at least 1/1000 of the labelled rows, so there are
-    at most 1000 and the model is bounded by classes x buckets."""
+    languages are all those with text, however few rows they have; more than
+    MAX_LANGUAGES are an error."""
     rows = labelled.select(F.lower(F.col(lang_col).cast("string")).alias("cls"), text_of(text_col).alias("text")) \
-        .filter("cls is not null and cls <> ''")
-    sizes = rows.groupBy("cls").agg(F.count(F.lit(1)).alias("n"))
-    total = rows.count()
-    languages = sorted(r[0] for r in sizes.filter(F.col("n") * HEAVY_SHARE >= total).limit(HEAVY_SHARE).collect())
+        .filter("cls is not null and cls <> '' and text <> ''")
+    languages = sorted(r[0] for r in rows.select("cls").distinct().limit(MAX_LANGUAGES + 1).collect())
+    if len(languages) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} declared languages")
     if not languages:
         return [], None
-    return languages, log_likelihoods(class_counts(rows.filter(F.col("cls").isin(languages)), lower=True), languages)
+    return languages, log_likelihoods(class_counts(rows, lower=True), languages)
 
 
 def _plus(a: Column, b: Column) -> Column:
     return F.zip_with(a, b, lambda x, y: x + y)
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, also where a lambda reads it
+    (Spark computes what a lambda takes from outside again for each element)."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _softmax(scores: Column) -> Column:
-    top = F.array_max(scores)
-    e = F.transform(scores, lambda x: F.exp(x - top))
-    return F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda s, y: s + y))
+    e = _let(F.struct(scores.alias("s"), F.array_max(scores).alias("top")),
+             lambda v: F.transform(v["s"], lambda x: F.exp(x - v["top"])))
+    return _let(e, lambda e: _let(
+        F.struct(e.alias("e"), F.aggregate(e, F.lit(0.0), lambda s, y: s + y).alias("size")),
+        lambda v: F.transform(v["e"], lambda x: x / v["size"])))
 
 
 def _totals(rows: DataFrame, keys: list[str], k: int, name: str) -> DataFrame:
@@ -51,8 +62,8 @@ def _totals(rows: DataFrame, keys: list[str], k: int, name: str) -> DataFrame:
 def _smoothed(counts: Column, own: Column, above: Column, strength: float) -> Column:
     """(counts - own + strength * above) / (their sum): a prior without the row itself."""
     less = F.zip_with(counts, own, lambda c, q: F.greatest(c - q, F.lit(0.0)))
-    size = F.aggregate(less, F.lit(0.0), lambda s, x: s + x)
-    return F.zip_with(less, above, lambda c, p: (c + strength * p) / (size + strength))
+    sized = F.struct(less.alias("less"), F.aggregate(less, F.lit(0.0), lambda s, x: s + x).alias("size"))
+    return _let(sized, lambda v: F.zip_with(v["less"], above, lambda c, p: (c + strength * p) / (v["size"] + strength)))
 
 
 def identify(pages: DataFrame, languages: list[str], model, id_cols: list[str],

@@ -9,11 +9,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelkit.config import cut_lineage
 from panelkit.llm.common import blocks_of, codes_of, map_arrow
 
 GRAM = 3
 BUCKETS = 1 << 14
 SMOOTHING = 0.5
+CLASSES_AT_ONCE = 32  # whose counts and likelihoods are in memory at once, where there are more
 WINDOW = 12  # grams of the windows whose best means are features
 
 
@@ -61,11 +63,17 @@ def class_counts(rows: DataFrame, lower: bool) -> DataFrame:
 
 def log_likelihoods(counts: DataFrame, classes: list[str]) -> np.ndarray:
     """Classes x BUCKETS matrix of smoothed log-probabilities (bounded by them)."""
-    got = np.full((len(classes), BUCKETS), SMOOTHING)
-    at = {c: i for i, c in enumerate(classes)}
-    for cls, bucket, n in counts.collect():
-        got[at[cls], bucket] += n
-    return np.log(got / got.sum(axis=1, keepdims=True)).astype(np.float32)
+    got = np.empty((len(classes), BUCKETS), dtype=np.float32)
+    if len(classes) > CLASSES_AT_ONCE:
+        counts = cut_lineage(counts)
+    for i in range(0, len(classes), CLASSES_AT_ONCE):
+        some = classes[i:i + CLASSES_AT_ONCE]
+        at = {c: j for j, c in enumerate(some)}
+        part = np.full((len(some), BUCKETS), SMOOTHING)
+        for cls, bucket, n in (counts if len(some) == len(classes) else counts.filter(F.col("cls").isin(some))).collect():
+            part[at[cls], bucket] += n
+        got[i:i + len(some)] = np.log(part / part.sum(axis=1, keepdims=True))
+    return got
 
 
 def mean_scores(rows: DataFrame, model: np.ndarray, lower: bool, peaks: bool = False) -> DataFrame:
@@ -92,9 +100,11 @@ def mean_scores(rows: DataFrame, model: np.ndarray, lower: bool, peaks: bool = F
                 some = np.flatnonzero(n)
                 top = np.zeros((len(texts), k - 1))
                 if len(some):
-                    each = table[g]
-                    sums[some] = np.add.reduceat(each, first[some], axis=0, dtype=np.float64)
+                    for j in range(0, k, CLASSES_AT_ONCE):
+                        each = table[:, j:j + CLASSES_AT_ONCE][g]
+                        sums[some, j:j + CLASSES_AT_ONCE] = np.add.reduceat(each, first[some], axis=0, dtype=np.float64)
                     if peaks:
+                        each = table[g] if k > CLASSES_AT_ONCE else each
                         ends = np.arange(len(g)) + 1
                         begin = np.maximum(ends - WINDOW, np.repeat(first[some], n[some]))
                         for j in range(k - 1):

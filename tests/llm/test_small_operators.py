@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from panelkit.llm import (bpe, chat, common, embed_dedup, exact_dedup, langid, mixing, pii, queries, simhash,
+from panelkit.llm import (bpe, chat, common, embed_dedup, exact_dedup, langid, mixing, ngram_bayes, pii, queries, simhash,
                           token_count, toxicity)
 
 TOK = pytest.importorskip("public_tokenizers")
@@ -355,6 +355,37 @@ def test_language_held_out(spark):
     assert right / n > 0.95
 
 
+def test_language_of_a_rare_language(spark, monkeypatch):
+    rnd = random.Random(5)
+    main = "the house and river of a green stone walk slowly under light".split()
+    rare = "zwoq kixu vuzhy qarri xolm pyqua wazzik".split()
+    rows = [(i, " ".join(rnd.choice(main) for _ in range(20)), "en", None, None) for i in range(3000)]
+    rows += [(5000 + i, " ".join(rnd.choice(rare) for _ in range(40)), "QX", None, None) for i in range(2)]
+    rows += [(6000, "", "empty", None, None)]
+    docs = docs_of(spark, []).union(spark.createDataFrame(rows, DOCS))
+    languages, model = langid.train_text_model(docs)
+    assert languages == ["en", "qx"] and model.shape == (2, ngram_bayes.BUCKETS)
+    page = spark.createDataFrame([(1, " ".join(rare * 4), "qx", "qx", "a.qx", "a.qx"), (2, " ".join(main * 2), "en", "en", "a.en", "a.en")],
+                                 "h long, text string, declared string, suffix string, host string, domain string")
+    got = {r["h"]: r for r in langid.identify(page, languages, model, ["h"]).collect()}
+    assert [got[i]["language"] for i in (1, 2)] == ["qx", "en"]
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 1)
+    with pytest.raises(ValueError):
+        langid.train_text_model(docs)
+
+
+def test_language_of_many_languages(spark):
+    """More classes than are counted at once, each with letters of its own."""
+    text = [" ".join(chr(0x4E00 + 40 * i + j % 40) + chr(0x4E00 + 40 * i + (j * 7) % 40) for j in range(60)) for i in range(70)]
+    names = [f"l{i:02d}" for i in range(70)]
+    docs = spark.createDataFrame([(i, t, names[i], None, None) for i, t in enumerate(text)], DOCS)
+    languages, model = langid.train_text_model(docs)
+    assert languages == names
+    rows = docs.select("doc_id", "text", *[F.lit(None).cast("string").alias(c) for c in ("declared", "suffix", "host", "domain")])
+    got = {r["doc_id"]: r["language"] for r in langid.identify(rows, languages, model, ["doc_id"]).collect()}
+    assert got == dict(enumerate(names))
+
+
 def toxic_corpus(spark, n=400):
     rnd = random.Random(4)
     words = "the a of river stone house tree green walk slow light paper north".split()
