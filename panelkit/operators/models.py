@@ -63,7 +63,8 @@ def assemble(df: DataFrame, columns: list[str], out: str = "features") -> DataFr
 @dataclass
 class Presets:
     """Estimator settings. ``published()`` are the source pipeline's values;
-    the defaults are small and for tests; the jobs run the published ones."""
+    the defaults are small and for tests; the jobs and the registered queries run
+    the published ones."""
     lr_max_iter: int = 25
     rf_trees: int = 10
     rf_depth: int = 6
@@ -151,6 +152,12 @@ def regressors(train: DataFrame, presets: Presets = Presets(), features: str = "
             "Random Forest": rf.fit(train), "XGBoost": gb.fit(train)}
 
 
+def boosted_windows(train: DataFrame, presets: Presets = Presets(), features: str = "features", label: str = "y"):
+    """J11(c): boosted trees over lags and window summary."""
+    return GBTRegressor(featuresCol=features, labelCol=label, maxIter=presets.reg_rounds,
+                        maxDepth=presets.xgb_depth, stepSize=0.3, seed=presets.seed).fit(train)
+
+
 # ------------------------------------------------------------------ J8 clustering
 
 def kmeans_fit(rows: DataFrame, k: int = K.KMEANS_K, restarts: int = K.KMEANS_RESTARTS, max_iter: int = 300,

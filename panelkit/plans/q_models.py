@@ -112,7 +112,7 @@ def q_classifier_fits(spark, sf_dir):
     train = agg.class_weights(train.withColumn("label", F.col("sepsislabel").cast("double")), "label", "w_bal")
     train = agg.positive_weight(train, "label", "w_pos").cache()
     test = test.withColumn("label", F.col("sepsislabel").cast("double"))
-    fitted = models.classifiers(train)
+    fitted = models.classifiers(train, models.Presets.published())
     parts = []
     for name, m in fitted.items():
         p = models.positive_probability(m.transform(test))
@@ -129,7 +129,7 @@ def q_regressor_fits(spark, sf_dir):
     train, test, _ = _train_test(spark, sf_dir)
     train = train.withColumn("target", F.col("hr_next_hour")).cache()
     test = test.withColumn("target", F.col("hr_next_hour"))
-    fitted = models.regressors(train)
+    fitted = models.regressors(train, models.Presets.published())
     parts = [m.transform(test).select(F.lit(n).alias("model"), F.col("target").alias("y"),
                                       F.col("prediction").alias("pred")) for n, m in fitted.items()]
     scored = parts[0]
@@ -172,7 +172,7 @@ def q_pca_summary(spark, sf_dir):
 
 @query("fitted_forecasters", "J11 D5 D6 M5 I1")
 def q_fitted_forecasters(spark, sf_dir):
-    from pyspark.ml.regression import GBTRegressor, LinearRegression
+    from pyspark.ml.regression import LinearRegression
     w = hr_windows(spark, sf_dir)
     lags = forecast.lag_names()
     w = w.select("*", *windows.window_summary(lags))
@@ -182,7 +182,7 @@ def q_fitted_forecasters(spark, sf_dir):
     tr_a, te_a = models.assemble(train, feat_a, "fa"), models.assemble(test, feat_a, "fa")
     ols = LinearRegression(featuresCol="fa", labelCol="y", regParam=0.0, solver="normal").fit(tr_a)
     tr_c, te_c = models.assemble(train, feat_c, "fc"), models.assemble(test, feat_c, "fc")
-    gbt = GBTRegressor(featuresCol="fc", labelCol="y", maxIter=10, maxDepth=4, stepSize=0.3, seed=42).fit(tr_c)
+    gbt = models.boosted_windows(tr_c, models.Presets.published(), "fc")
     scored = (ols.transform(te_a).select(F.lit("Linear Trend").alias("model"), "y", F.col("prediction").alias("pred"))
               .unionByName(test.select(F.lit("Exp Smoothing").alias("model"), "y",
                                        forecast.smoothing_forecast(lags).alias("pred")))
@@ -198,7 +198,7 @@ def q_assessment(spark, sf_dir):
     from pyspark.ml.classification import LogisticRegression
     n = train.count()
     lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="w_bal", regParam=1.0 / n,
-                            standardization=False, maxIter=25).fit(train)
+                            standardization=False, maxIter=models.Presets.published().lr_max_iter).fit(train)
     reg = models.ridge(train.withColumn("target", F.col("hr_next_hour")), 1.0)
     km = models.kmeans_fit(train, K.KMEANS_K, restarts=K.KMEANS_RESTARTS)
     centres = [list(map(float, c)) for c in km.clusterCenters()]
@@ -215,13 +215,12 @@ def q_assessment(spark, sf_dir):
 @query("recursive_tree_forecast", "J14 J11 D6 E12")
 def q_recursive_tree_forecast(spark, sf_dir):
     """Six-step recursive forecast with the boosted window model (lags + summary)."""
-    from pyspark.ml.regression import GBTRegressor
     w = hr_windows(spark, sf_dir)
     lags = forecast.lag_names()
     train, _ = split.ordered_split(w, S, train_fraction=0.8)
     train = models.assemble(train.select("*", *windows.window_summary(lags)),
                             lags + ["w_mean", "w_std", "w_trend"]).cache()
-    gbt = GBTRegressor(labelCol="y", maxIter=10, maxDepth=4, stepSize=0.3, seed=42).fit(train)
+    gbt = models.boosted_windows(train, models.Presets.published())
     out = forecast.recursive_model_forecast(gbt, w.select("patient_id", "iculos", *lags).cache(), lags)
     steps = [f"f{i}" for i in range(1, 7)]
     out = out.select("patient_id", "iculos", *[F.bround(c, 1).alias(c) for c in steps])

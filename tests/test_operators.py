@@ -391,3 +391,34 @@ def test_kmeans_is_fitted_on_all_rows(spark):
     rows = models.assemble(spark.range(60_000).selectExpr("double(id % 4) * 10 AS a"), ["a"])
     m = models.kmeans_fit(rows, 4, restarts=1, max_iter=5)
     assert sum(m.summary.clusterSizes) == 60_000
+
+
+def test_registered_fits_use_the_published_settings(spark, monkeypatch):
+    from panelkit.plans import q_models
+    from conftest import SF_SMALL
+    want = models.Presets.published()
+
+    class Seen(Exception):
+        pass
+
+    def caught(f):
+        try:
+            f(spark, SF_SMALL)
+        except Seen as e:
+            return e.args[0]
+
+    def presets(train, presets=models.Presets(), *args):
+        raise Seen(presets)
+
+    def settings(**kwargs):
+        raise Seen(kwargs)
+    monkeypatch.setattr(models, "classifiers", presets)
+    monkeypatch.setattr(models, "regressors", presets)
+    assert caught(q_models.q_classifier_fits) == want and caught(q_models.q_regressor_fits) == want
+    for module in (models, __import__("pyspark.ml.regression", fromlist=["x"])):
+        monkeypatch.setattr(module, "GBTRegressor", settings)
+    for f in (q_models.q_fitted_forecasters, q_models.q_recursive_tree_forecast):
+        got = caught(f)
+        assert (got["maxIter"], got["maxDepth"], got["stepSize"]) == (100, 6, 0.3)
+    monkeypatch.setattr("pyspark.ml.classification.LogisticRegression", settings)
+    assert caught(q_models.q_assessment)["maxIter"] == 1000
