@@ -158,6 +158,11 @@ def boosted_windows(train: DataFrame, presets: Presets = Presets(), features: st
                         maxDepth=presets.xgb_depth, stepSize=0.3, seed=presets.seed).fit(train)
 
 
+def linear_windows(train: DataFrame, features: str = "features", label: str = "y"):
+    """J11(a): ordinary least squares over lags."""
+    return LinearRegression(featuresCol=features, labelCol=label, regParam=0.0, solver="normal").fit(train)
+
+
 # ------------------------------------------------------------------ J8 clustering
 
 def kmeans_fit(rows: DataFrame, k: int = K.KMEANS_K, restarts: int = K.KMEANS_RESTARTS, max_iter: int = 300,

@@ -90,16 +90,26 @@ def train(spark: SparkSession, feats: DataFrame, out: str, presets: models.Prese
         p = m.transform(te).select(F.lit(name).alias("model"), F.col("hr_next_hour").alias("y"),
                                    F.col("prediction").alias("pred"))
         rs = p if rs is None else rs.unionByName(p)
-    M.regression_metrics(rs, "y", "pred", ["model"]).write.mode("overwrite").json(f"{out}/metrics/regression")
+        sinks.save_model(m, f"{out}/regressors/{name.replace(' ', '_').lower()}")
+    reg_board = M.regression_metrics(rs, "y", "pred", ["model"])
+    reg_board.write.mode("overwrite").json(f"{out}/metrics/regression")
+    order = F.array_position(F.array(*[F.lit(n) for n in regs]), F.col("model"))
+    best_reg = M.best_by(spark.read.json(f"{out}/metrics/regression").withColumn("ordinal", order), "rmse",
+                         maximize=False, ordinal="ordinal").first()
     km = models.kmeans_fit(tr, K.KMEANS_K, presets.kmeans_restarts, presets.kmeans_iter, presets.seed)
+    sinks.save_model(km, f"{out}/kmeans")
     centres = [list(map(float, c)) for c in km.clusterCenters()]
     prof = agg.segment_profile(models.assign_nearest(tr, centres, K.FEATURE_COLS), "cluster")
     models.segment_labels(prof).write.mode("overwrite").json(f"{out}/metrics/segments")
     pca = models.pca_fit(tr.drop("features"), K.FEATURE_COLS)
+    spark.createDataFrame([(i + 1, v.tolist(), float(pca.explained[i])) for i, v in enumerate(pca.loadings)],
+                          "component int, loadings array<double>, explained double") \
+        .write.mode("overwrite").parquet(f"{out}/pca")
     order = F.array_position(F.array(*[F.lit(n) for n in clfs]), F.col("model"))  # ties: the first candidate
     best = M.best_by(board.withColumn("ordinal", order), "medical_score", ordinal="ordinal").first()
     manifest = {"train_rows": tr.count(), "test_rows": te.count(),
                 "best_model": best["best_model"], "best_medical_score": best["best_medical_score"],
+                "best_regressor": best_reg["best_model"], "best_regressor_rmse": best_reg["best_rmse"],
                 "pca_variance": [float(x) for x in pca.explained[:2]],
                 "components_for_80pct": models.components_for(pca.cumulative, 0.8),
                 "components_for_95pct": models.components_for(pca.cumulative, 0.95),
@@ -110,15 +120,37 @@ def train(spark: SparkSession, feats: DataFrame, out: str, presets: models.Prese
     return manifest
 
 
-def forecast_job(spark: SparkSession, feats: DataFrame, out: str) -> DataFrame:
-    """Sliding windows, time-ordered split, deterministic forecasters + metrics."""
-    w = windows.sliding_windows(feats, SPEC, "hr", K.WINDOW_SIZE)
-    _, test = split.ordered_split(w, SPEC, train_fraction=0.8)
+def forecast_job(spark: SparkSession, feats: DataFrame, out: str, presets: models.Presets | None = None) -> DataFrame:
+    """Sliding windows with their summary (D5, D6), time-ordered split,
+    forecasters + metrics. With ``presets`` (the job always gives them) the
+    fitted forecasters (J11 a, c) are scored too, and the best of the three is
+    chosen by RMSE (H6), named in metrics/best_timeseries and saved; without,
+    only those that need no fit are."""
     lags = forecast.lag_names()
-    scored = (test.select(F.lit("Exp Smoothing").alias("model"), "y", forecast.smoothing_forecast(lags).alias("pred"))
-              .unionByName(test.select(F.lit("Last Value").alias("model"), "y", F.col("lag1").alias("pred"))))
+    w = windows.sliding_windows(feats, SPEC, "hr", K.WINDOW_SIZE).select("*", *windows.window_summary(lags))
+    tr, test = split.ordered_split(w, SPEC, train_fraction=0.8)
+    smoothing = test.select(F.lit("Exp Smoothing").alias("model"), "y", forecast.smoothing_forecast(lags).alias("pred"))
+    scored = smoothing.unionByName(test.select(F.lit("Last Value").alias("model"), "y", F.col("lag1").alias("pred")))
+    fitted = {}
+    if presets is not None:
+        tr, test = tr.cache(), test.cache()
+        wide = lags + ["w_mean", "w_std", "w_trend"]
+        fitted = {"Linear Trend": (models.linear_windows(models.assemble(tr, lags)), lags),
+                  "XGBoost TS": (models.boosted_windows(models.assemble(tr, wide), presets), wide)}
+        for name, (m, cols) in fitted.items():
+            scored = scored.unionByName(m.transform(models.assemble(test, cols)).select(
+                F.lit(name).alias("model"), "y", F.col("prediction").alias("pred")))
     res = M.regression_metrics(scored, "y", "pred", ["model"])
     res.write.mode("overwrite").json(f"{out}/metrics/timeseries")
+    if presets is not None:
+        names = F.array(*[F.lit(n) for n in ("Linear Trend", "Exp Smoothing", "XGBoost TS")])
+        board = spark.read.json(f"{out}/metrics/timeseries").withColumn("ordinal", F.array_position(names, F.col("model")))
+        best = M.best_by(board.filter("ordinal > 0"), "rmse", maximize=False, ordinal="ordinal").first()
+        sinks.write_json_document(spark, best.asDict(), f"{out}/metrics/best_timeseries")
+        if best["best_model"] in fitted:  # smoothing has nothing to save
+            sinks.save_model(fitted[best["best_model"]][0], f"{out}/models/best_timeseries")
+        tr.unpersist()
+        test.unpersist()
     return res
 
 
@@ -179,7 +211,7 @@ def main(argv: list[str]) -> int:
         if a.job in ("train", "all"):
             print(json.dumps(train(spark, feats, a.output, presets)))
         if a.job in ("forecast", "all"):
-            forecast_job(spark, feats, a.output)
+            forecast_job(spark, feats, a.output, presets)
         if a.job in ("rules", "all"):
             rules(spark, feats, a.output)
         if a.job == "lookalikes" and not a.probes:

@@ -172,7 +172,6 @@ def q_pca_summary(spark, sf_dir):
 
 @query("fitted_forecasters", "J11 D5 D6 M5 I1")
 def q_fitted_forecasters(spark, sf_dir):
-    from pyspark.ml.regression import LinearRegression
     w = hr_windows(spark, sf_dir)
     lags = forecast.lag_names()
     w = w.select("*", *windows.window_summary(lags))
@@ -180,7 +179,7 @@ def q_fitted_forecasters(spark, sf_dir):
     train, test = train.cache(), test.cache()
     feat_a, feat_c = lags, lags + ["w_mean", "w_std", "w_trend"]
     tr_a, te_a = models.assemble(train, feat_a, "fa"), models.assemble(test, feat_a, "fa")
-    ols = LinearRegression(featuresCol="fa", labelCol="y", regParam=0.0, solver="normal").fit(tr_a)
+    ols = models.linear_windows(tr_a, "fa")
     tr_c, te_c = models.assemble(train, feat_c, "fc"), models.assemble(test, feat_c, "fc")
     gbt = models.boosted_windows(tr_c, models.Presets.published(), "fc")
     scored = (ols.transform(te_a).select(F.lit("Linear Trend").alias("model"), "y", F.col("prediction").alias("pred"))

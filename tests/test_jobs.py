@@ -65,3 +65,32 @@ def test_train_job_writes_models_metrics_manifest(spark, tmp_path):
                                                        "random_forest", "xgboost"]
     doc = json.loads(spark.read.text(str(tmp_path / "manifest")).first()[0])
     assert doc["train_rows"] == manifest["train_rows"]
+
+
+def test_forecast_job_fits_chooses_and_saves(spark, tmp_path):
+    import json
+    from pyspark.ml.regression import GBTRegressionModel, LinearRegressionModel
+    from panelkit.operators.models import Presets
+    jobs.forecast_job(spark, events_features(spark, SF_SMALL), str(tmp_path), Presets(reg_rounds=2, xgb_depth=2))
+    rmse = {r["model"]: r["rmse"] for r in spark.read.json(str(tmp_path / "metrics" / "timeseries")).collect()}
+    assert set(rmse) == {"Linear Trend", "Exp Smoothing", "XGBoost TS", "Last Value"}
+    best = json.loads(spark.read.text(str(tmp_path / "metrics" / "best_timeseries")).first()[0])
+    del rmse["Last Value"]
+    assert best["best_model"] == min(rmse, key=rmse.get)
+    kinds = {"Linear Trend": LinearRegressionModel, "XGBoost TS": GBTRegressionModel}
+    if best["best_model"] in kinds:
+        kinds[best["best_model"]].load(str(tmp_path / "models" / "best_timeseries"))
+
+
+def test_train_job_saves_the_other_models(spark, tmp_path):
+    import os
+    from pyspark.ml.clustering import KMeansModel
+    from panelkit.operators.models import Presets
+    presets = Presets(lr_max_iter=2, rf_trees=1, rf_depth=2, reg_depth=2, xgb_rounds=1, xgb_depth=2, gb_rounds=1, gb_depth=2,
+                      reg_trees=1, reg_rounds=1, kmeans_restarts=1, kmeans_iter=2)
+    manifest = jobs.train(spark, events_features(spark, SF_SMALL), str(tmp_path), presets)
+    assert sorted(os.listdir(tmp_path / "regressors")) == ["random_forest", "ridge_regression", "xgboost"]
+    rmse = {r["model"]: r["rmse"] for r in spark.read.json(str(tmp_path / "metrics" / "regression")).collect()}
+    assert manifest["best_regressor"] == min(rmse, key=rmse.get)
+    assert len(KMeansModel.load(str(tmp_path / "kmeans")).clusterCenters()) == 4
+    assert spark.read.parquet(str(tmp_path / "pca")).count() == 28
