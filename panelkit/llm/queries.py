@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelkit.llm import chat, embed_dedup, langid, mixing, pii, token_count, toxicity
+from panelkit.llm import alignment, chat, embed_dedup, langid, mixing, pii, repair, token_count, toxicity, wrapper
 from panelkit.llm.bpe import encode_digests
 from panelkit.llm.common import table
 from panelkit.llm.exact_dedup import exact_dedup
@@ -48,6 +48,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": mixing.op8,
         "op9_byte_bpe": op9,
         "op10_pii": pii.op10,
+        "op11_html_extraction": wrapper.op11,
+        "op12_conversation_repair": repair.op12,
+        "op13_tokenizer_alignment": alignment.op13,
     }
 
 
