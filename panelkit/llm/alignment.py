@@ -21,7 +21,7 @@ from panelkit.llm.common import kept, lookup, map_arrow, table, text_of
 BLOCK_TEXT = 8 << 20
 SLICE = 1 << 20
 # Words that a worker remembers, and the longest of them.
-MEMO_WORDS, MEMO_CHARS = 300_000, 256
+MEMO_WORDS, MEMO_CHARS = 250_000, 256
 # So many different (A, B) pairs (16 bytes each) are sent to the tasks; beyond
 # that, every block fetches its own pairs through a shuffle.
 BROADCAST_PAIRS = 4_000_000
@@ -70,6 +70,9 @@ class Tokenizers:
         # a piece with a space mark after another character could join words
         self.cuts = not any(re.search("[^▁]▁", p) for p in pieces)
         self.mark = [self.b.piece_to_id("▁")]
+        self.sizes_a, self.sizes_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
+        ids = range(max(len(self.bytes_a), len(self.bytes_b)))
+        self.written = {c: np.array([f"{i}{c}" for i in ids], dtype=object) for c in ",|;"}
 
     def words(self, text: str) -> Iterator[list[str]]:
         """Lists of the words of space+text, in order, each without its first space."""
@@ -84,28 +87,46 @@ class Tokenizers:
             at = m.end() if m else len(text) + 1
 
     def align(self, words: list[str]) -> list[tuple | None]:
-        """Of each word: (n_a, n_b, n_groups, groups, pairs); None if its bytes do not come back."""
-        out = []
-        for w, ea, b in zip(words, self.a.encode_batch([" " + w for w in words], add_special_tokens=False),
-                            self.b.encode(words), strict=True):
-            out.append(self._aligned((" " + w).encode(), ea.ids, b if w else self.mark))
+        """Of each word: (n_a, n_b, n_groups, groups, pairs as int64 bytes); None if its
+        bytes do not come back. All words are aligned at once, one after the other."""
+        raw = [(" " + w).encode() for w in words]
+        a = [e.ids for e in self.a.encode_batch([" " + w for w in words], add_special_tokens=False)]
+        b = [x if w else self.mark for w, x in zip(words, self.b.encode(words), strict=True)]
+        joined = b"".join(raw)
+        good = range(len(words))
+        for table_, ids in ((self.bytes_a, a), (self.bytes_b, b)):
+            if b"".join([table_[i] for x in ids for i in x]) != joined:
+                good = [k for k in good if b"".join([table_[i] for i in ids[k]]) == raw[k]]
+        out: list[tuple | None] = [None] * len(words)
+        for k, found in zip(good, self._aligned([a[k] for k in good], [b[k] for k in good]), strict=True):
+            out[k] = found
         return out
 
-    def _aligned(self, raw: bytes, a: list[int], b: list[int]) -> tuple | None:
-        at, bt = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        if b"".join(at) != raw or b"".join(bt) != raw:
-            return None
-        ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
-        ends_a, ends_b = np.cumsum([len(x) for x in at]), np.cumsum([len(x) for x in bt])
+    def _aligned(self, a: list[list[int]], b: list[list[int]]) -> Iterator[tuple]:
+        if not a:
+            return
+        flat_a, flat_b = (np.fromiter((i for w in x for i in w), np.int64) for x in (a, b))
+        last_a, last_b = (np.cumsum([len(w) for w in x]) for x in (a, b))
+        ends_a, ends_b = np.cumsum(self.sizes_a[flat_a]), np.cumsum(self.sizes_b[flat_b])
+        words = ends_a[last_a - 1]
         ends = np.union1d(ends_a, ends_b)  # each stretch between two ends is one link
-        pairs = (ids_a[np.searchsorted(ends_a, ends)] << 32) | ids_b[np.searchsorted(ends_b, ends)]
-        cuts = np.intersect1d(ends_a, ends_b)
-        ua, ub = np.searchsorted(ends_a, cuts) + 1, np.searchsorted(ends_b, cuts) + 1
-        groups, i, j = [], 0, 0
-        for p, q in zip(ua.tolist(), ub.tolist(), strict=True):
-            groups.append(f"{','.join(map(str, a[i:p]))}|{','.join(map(str, b[j:q]))}")
-            i, j = p, q
-        return len(a), len(b), len(groups), ";".join(groups), pairs
+        pairs = ((flat_a[np.searchsorted(ends_a, ends)] << 32) | flat_b[np.searchsorted(ends_b, ends)]) \
+            .astype("<i8").tobytes()
+        cuts = np.intersect1d(ends_a, ends_b)  # ends of the groups
+        up_a, up_b = np.searchsorted(ends_a, cuts) + 1, np.searchsorted(ends_b, cuts) + 1
+        group_a, group_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
+        # the written tokens in order: those of A, then those of B of every group
+        parts = np.empty(len(flat_a) + len(flat_b), dtype=object)
+        at_a = np.arange(len(flat_a)) + np.concatenate([[0], up_b])[group_a]
+        at_b = np.arange(len(flat_b)) + up_a[group_b]
+        parts[at_a], parts[at_b] = self.written[","][flat_a], self.written[","][flat_b]
+        parts[at_a[up_a - 1]], parts[at_b[up_b - 1]] = self.written["|"][flat_a[up_a - 1]], self.written[";"][flat_b[up_b - 1]]
+        parts = parts.tolist()
+        n_links, n_groups = np.searchsorted(ends, words, "right"), np.searchsorted(cuts, words, "right")
+        i = j = g = k = 0
+        for i2, j2, g2, k2 in zip(last_a.tolist(), last_b.tolist(), n_groups.tolist(), n_links.tolist(), strict=True):
+            yield i2 - i, j2 - j, g2 - g, "".join(parts[i + j:i2 + j2])[:-1], pairs[8 * k:8 * k2]
+            i, j, g, k = i2, j2, g2, k2
 
 
 class _Codes(dict):
@@ -126,8 +147,8 @@ def _worker(path_a: str, path_b: str) -> tuple[Tokenizers, dict]:
 def _aligned_words(models: Tokenizers, memo: dict, words: list[str]) -> list[tuple | None]:
     new = [w for w in words if w not in memo]
     fresh = {}
-    for i in range(0, len(new), 1024):
-        fresh.update(zip(new[i:i + 1024], models.align(new[i:i + 1024]), strict=True))
+    for i in range(0, len(new), 4096):
+        fresh.update(zip(new[i:i + 4096], models.align(new[i:i + 4096]), strict=True))
     found = [fresh[w] if w in fresh else memo[w] for w in words]
     if len(memo) + len(fresh) > MEMO_WORDS:
         memo.clear()
@@ -141,7 +162,7 @@ def _block(models: Tokenizers, memo: dict, keys: list[str], copies: list[int], c
     found = _aligned_words(models, memo, list(codes))
     good = np.array([x is not None for x in found], bool)
     sizes = np.array([x[:3] if x is not None else (0, 0, 0) for x in found], np.int64).reshape(-1, 3)
-    links = np.array([len(x[4]) if x is not None else 0 for x in found], np.int64)
+    links = np.array([len(x[4]) // 8 if x is not None else 0 for x in found], np.int64)
     strings = [x[3] if x is not None else "" for x in found]
     sums, digests, words, flat = [], [], [], []
     for c in coded:
@@ -157,9 +178,8 @@ def _block(models: Tokenizers, memo: dict, keys: list[str], copies: list[int], c
     cols = list(zip(*sums, strict=True))
     pairs = [x[4] for x in found if x is not None]
     lists = [pa.array([list(x)]) for x in (keys, copies, *cols, digests, words)]
-    raw = [np.concatenate(flat).astype("<u4"), links.astype("<u4"),
-           (np.concatenate(pairs) if pairs else np.zeros(0, np.int64)).astype("<i8")]
-    return pa.RecordBatch.from_arrays([pa.array([keys[0]]), *lists, *[pa.array([x.tobytes()]) for x in raw]], [
+    raw = [np.concatenate(flat).astype("<u4").tobytes(), links.astype("<u4").tobytes(), b"".join(pairs)]
+    return pa.RecordBatch.from_arrays([pa.array([keys[0]]), *lists, *[pa.array([x]) for x in raw]], [
         "block", "keys", "copies", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "words",
         "codes", "word_links", "pairs"])
 
