@@ -46,25 +46,70 @@ MIN_SEEDS = 3  # different seed instances that a pattern needs
 SPAN = "struct<start:int,kind:int,end:int,token:string,left:string,right:string>"
 
 
+# Long lists are worked through in parts of so many entries.
+PART = 256
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once, not once for every use in a lambda."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _parts(items: Column) -> Column:
+    """A list (not empty) cut into lists of PART entries."""
+    last = ((F.size(items) - 1) / PART).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda c: F.slice(items, c * PART + 1, F.lit(PART)))
+
+
+def _length(items: Column) -> Column:
+    return F.aggregate(items, F.lit(0), lambda a, x: a + x["gap"] + F.length(x["token"]))
+
+
 def _matches(text: Column, pattern: str, kind: int) -> Column:
-    """Leftmost non-overlapping matches as structs; positions are code points,
-    found by adding up the lengths of the gaps between matches and of the matches."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    both = F.transform(F.sequence(F.lit(1), F.size(found)), lambda i: F.struct(
-        F.element_at(gaps, i).alias("gap"), F.element_at(found, i).alias("token"),
-        F.left(F.element_at(gaps, i + 1), F.lit(CONTEXT)).alias("next")))
-
-    def step(acc, x):
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.length(x["token"])
-        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(F.struct(
-            start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), x["token"].alias("token"),
-            F.right(x["gap"], F.lit(CONTEXT)).alias("left"), x["next"].alias("right")))).alias("spans"))
-
-    none = F.array().cast(f"array<{SPAN}>")
-    folded = F.aggregate(both, F.struct(F.lit(0).alias("at"), none.alias("spans")), step, lambda a: a["spans"])
-    return F.when(F.size(found) > 0, folded).otherwise(none)
+    """Leftmost non-overlapping matches as structs; positions are code points, found
+    by adding up the lengths of the gaps between matches and of the matches: over
+    parts, then over the part before each match. (A fold that collects its result
+    is no use: Spark copies the fold's state in every step.)"""
+    def items(v):
+        n = F.size(v["found"])
+        both = F.zip_with(F.slice(v["gaps"], 1, n), v["found"], lambda g, t: F.struct(
+            F.length(g).alias("gap"), t.alias("token"), F.right(g, F.lit(CONTEXT)).alias("left")))
+        return F.zip_with(both, F.slice(v["gaps"], 2, n), lambda x, g: F.struct(
+            x["gap"].alias("gap"), x["token"].alias("token"), x["left"].alias("left"),
+            F.left(g, F.lit(CONTEXT)).alias("right")))
+
+    def part_spans(q):
+        return F.transform(q["part"], lambda x, j: _let(
+            q["base"] + _length(F.slice(q["part"], 1, j)) + x["gap"], lambda start: F.struct(
+                start.alias("start"), F.lit(kind).alias("kind"), (start + F.length(x["token"])).alias("end"),
+                x["token"].alias("token"), x["left"].alias("left"), x["right"].alias("right"))))
+
+    def spans(w):
+        return F.flatten(F.transform(w["parts"], lambda part, c: _let(
+            F.struct(part.alias("part"), F.aggregate(F.slice(w["lengths"], 1, c), F.lit(0), lambda a, x: a + x).alias("base")),
+            part_spans)))
+
+    found = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"),
+                     F.split(text, pattern, -1).alias("gaps"))
+    return _let(found, lambda v: F.when(F.size(v["found"]) > 0, _let(items(v), lambda i: _let(_parts(i), lambda p: _let(
+        F.struct(p.alias("parts"), F.transform(p, _length).alias("lengths")), spans))))
+        .otherwise(F.array().cast(f"array<{SPAN}>")))
+
+
+def _clear_of(loose: Column, base: Column) -> Column:
+    """The loose spans that no base span overlaps; base spans are looked at in parts
+    whose reach overlaps."""
+    def parts(b):
+        return F.when(F.size(b) > 0, F.transform(_parts(F.array_sort(b)), lambda p: F.struct(
+            F.array_min(F.transform(p, lambda s: s["start"])).alias("low"),
+            F.array_max(F.transform(p, lambda s: s["end"])).alias("high"), p.alias("part"))))
+
+    def free(v):
+        return F.filter(v["loose"], lambda s: ~F.exists(v["base"], lambda k: (k["low"] < s["end"]) & (
+            k["high"] > s["start"]) & F.exists(k["part"], lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))))
+
+    return _let(F.struct(loose.alias("loose"), _let(base, parts).alias("base")),
+                lambda v: F.when(v["base"].isNull(), v["loose"]).otherwise(free(v)))
 
 
 def _luhn(digits: Column) -> Column:
@@ -101,8 +146,7 @@ def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text).alias("h"), text.alias("text"))
     rows = rows.select("id", "h", "text", *[_find(F.col("text"), k).alias(k) for k in KINDS])
     base = F.concat(*KINDS)
-    clear = F.filter(_matches(F.col("text"), LOOSE, 0), lambda s: ~F.exists(
-        base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    clear = _clear_of(_matches(F.col("text"), LOOSE, 0), base)
     loose = F.when(F.col("text").rlike(r"[0-9@]|[\[(](?:at|AT)[\])]"), clear).otherwise(F.array().cast(f"array<{SPAN}>"))
     return rows.select("id", "h", *KINDS, loose.alias("loose"))
 

@@ -307,6 +307,34 @@ def test_pii_addresses_with_zero_parts(spark):
     assert [plain_spans(t).count("ip:") for t in texts] == [1, 1, 2, 1, 0, 0, 1, 1]
 
 
+def test_pii_many_matches_in_one_text(spark):
+    """Positions are right over many parts, for every kind and beside loose matches."""
+    rnd = random.Random(8)
+    kinds = ["a{0}@b{0}.co", "10.{1}.3.{1}", "+49 30 55{0}12345 ", "4111 1111 1111 1111,", "é{0}", "x{0}@host", "12-34-{0}-999",
+             "😀 {0}.{0}.{0}.{0}"]
+    texts = [" ".join(rnd.choice(kinds).format(i, i % 256) for i in range(n)) for n in (255, 256, 257, 1025, 20_000)]
+    for r in pii.find_pii(docs_of(spark, enumerate(texts)), min_seeds=10**6).collect():
+        assert r["base_sha256"] == hashlib.sha256(plain_spans(texts[r["doc_id"]]).encode()).hexdigest()
+
+
+def test_pii_loose_matches_beside_base_spans(spark):
+    rnd = random.Random(9)
+    def spans(n, width):
+        at, out = 0, []
+        for _ in range(n):
+            at += rnd.randint(0, 4)
+            out.append((at, at + rnd.randint(1, width)))
+            at = out[-1][1]
+        return out
+    for n in (0, 1, 255, 256, 257, 700):
+        base, loose = [(a, 1 + k, b) for k in range(2) for a, b in spans(n, 9)], [(a, 0, b) for a, b in spans(400, 5)]
+        df = spark.createDataFrame([([(*x, "t", "", "") for x in loose], [(*x, "t", "", "") for x in base])],
+                                   f"loose array<{pii.SPAN}>, base array<{pii.SPAN}>")
+        got = [(s["start"], s["kind"], s["end"]) for s in df.select(
+            pii._clear_of(F.col("loose"), F.col("base")).alias("x")).first()["x"]]
+        assert got == [s for s in loose if not any(b[0] < s[2] and s[0] < b[2] for b in base)]
+
+
 def test_pii_contexts_discover_unseen_identifiers(spark):
     rows = [(i, f"please reach me mail: user{i}@site{i}.org today") for i in range(12)]
     rows += [(50, "so mail: jane@intranet now"), (51, "the code 1234567 is no identifier"),
