@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit import constants as K
+from panelkit.config import cut_lineage
 from panelkit.operators import aggregate as agg
-from panelkit.operators import forecast, metrics as M, models, neighbors, split, windows
+from panelkit.operators import forecast, knn_join, metrics as M, models, neighbors, split, windows
 from panelkit.plans import oracle as O
 from panelkit.plans.q_panel import S, features, hr_windows
 from panelkit.plans.q_stats import next_hour
@@ -89,6 +90,23 @@ def q_neighbour_vote(spark, sf_dir):
     return finish(neighbors.neighbour_vote(lookalikes(spark, sf_dir)))
 
 
+@query("knn_join_all", "J12 G5",
+       O.with_(O.FEATURE_CTES + [PROFILE_SQL, STATS_SQL] + [
+           "z AS (SELECT patient_id, " + ", ".join(f"(prof.{c} - st.m_{c}) / st.s_{c} AS {c}" for c in PF)
+           + " FROM prof, st)",
+           "d AS (SELECT q.patient_id AS query_id, p.patient_id, "
+           + " + ".join(f"(q.{c} - p.{c}) * (q.{c} - p.{c})" for c in PF)
+           + " AS d2 FROM z q JOIN z p ON q.patient_id <> p.patient_id)",
+           "nb AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY d2, patient_id) AS rank FROM d)"],
+           "SELECT query_id, CAST(rank AS BIGINT) AS rank, patient_id, round(sqrt(d2), 6) AS distance FROM nb "
+           "WHERE rank <= 10"))
+def q_knn_join_all(spark, sf_dir):
+    """Look-alikes of every entity: all profiles are probes."""
+    prof = profiles(spark, sf_dir)
+    found = knn_join.knn_join(prof, prof.withColumnRenamed("patient_id", "query_id"), PF, K.KNN_K)
+    return finish(found)
+
+
 # ---------------------------------------------------------------- fitted models (rows-only)
 
 def _train_test(spark, sf_dir, cache: bool = True):
@@ -124,18 +142,30 @@ def q_classifier_fits(spark, sf_dir):
     return finish(M.classifier_leaderboard(scored))
 
 
+def _regressor_scores(spark, sf_dir, names: tuple[str, ...]) -> DataFrame:
+    """Regressors fitted at the published settings, scored on the held-out rows."""
+    train, test, _ = _train_test(spark, sf_dir, cache=False)
+    train = cut_lineage(train.select("features", F.col("hr_next_hour").alias("target")))
+    test = cut_lineage(test.select("features", F.col("hr_next_hour").alias("target")))
+    fitted = models.regressors(train, models.Presets.published(), names=names)
+    wide = test
+    for i, m in enumerate(fitted.values()):  # one pass over the rows for all candidates
+        wide = m.setPredictionCol(f"p{i}").transform(wide)
+    pred = F.explode(F.array(*[F.struct(F.lit(n).alias("model"), F.col(f"p{i}").alias("pred"))
+                               for i, n in enumerate(fitted)]))
+    scored = wide.select(F.col("target").alias("y"), pred.alias("x")).select("y", "x.*")
+    return finish(M.regression_metrics(scored, "y", "pred", ["model"]))
+
+
 @query("regressor_fits", "J6 J7 M5 M6 D4")
 def q_regressor_fits(spark, sf_dir):
-    train, test, _ = _train_test(spark, sf_dir)
-    train = train.withColumn("target", F.col("hr_next_hour")).cache()
-    test = test.withColumn("target", F.col("hr_next_hour"))
-    fitted = models.regressors(train, models.Presets.published())
-    parts = [m.transform(test).select(F.lit(n).alias("model"), F.col("target").alias("y"),
-                                      F.col("prediction").alias("pred")) for n, m in fitted.items()]
-    scored = parts[0]
-    for p in parts[1:]:
-        scored = scored.unionByName(p)
-    return finish(M.regression_metrics(scored, "y", "pred", ["model"]))
+    """Ridge and boosted trees; the forest is a query of its own."""
+    return _regressor_scores(spark, sf_dir, ("Ridge Regression", "XGBoost"))
+
+
+@query("forest_regressor_fit", "J7 M5 D4")
+def q_forest_regressor_fit(spark, sf_dir):
+    return _regressor_scores(spark, sf_dir, ("Random Forest",))
 
 
 @query("kmeans_segments", "J8 J9 F2 H5 G4 H2")
