@@ -94,7 +94,7 @@ def _meet(points: DataFrame, visits: DataFrame, sizes: dict[int, int], k: int, b
                     out["v"] += list(vecs[at])
                     out["least"] += list(names[at])
                     out["d2"] += d[i, at].tolist()
-        return pd.DataFrame(out)
+        return pd.DataFrame({c: pd.Series(x, dtype=float if c == "d2" else object) for c, x in out.items()})
 
     return home.unionByName(guests).groupBy("cell", "block", "chunk").applyInPandas(
         kernel, "qv array<double>, v array<double>, least string, d2 double")
@@ -158,7 +158,8 @@ def knn_join(profiles: DataFrame, probes: DataFrame, features: list[str], k: int
                 visit = (away - radius <= reach) & (nearest - away <= reach) & np.isfinite(radius)
                 visit[np.arange(len(part)), part["cell"].to_numpy()] = False
                 i, c = np.nonzero(visit)
-                yield pd.DataFrame({"qv": part["qv"].to_numpy()[i], "cell": c.astype("int32")})
+                yield pd.DataFrame({"qv": pd.Series(list(part["qv"].to_numpy()[i]), dtype=object),
+                                    "cell": c.astype("int32")})
 
     visits = cut_lineage(questions.join(bound, "qv", "left").select("qv", "cell", "bound")
                          .mapInPandas(further, "qv array<double>, cell int"))
