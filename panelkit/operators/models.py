@@ -1,4 +1,4 @@
-"""Model fitting and scoring as Spark ML jobs.
+"""Model fitting as Spark ML jobs (J1-J10); ``scoring`` applies the fitted parts.
 
 Fits are distributed Spark ML estimators over an assembled, cached training
 frame. Statistics that parameterise a model (scaler moments, centres,
@@ -22,7 +22,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelkit import constants as K
-from panelkit.functions import scalar as X
 
 
 # ------------------------------------------------------------------ J1 scaler
@@ -281,38 +280,3 @@ def top_loadings(result: PcaResult, columns: list[str], spark, top: int = 5) ->
     melted = spark.createDataFrame(rows, "component string, feature string, loading double")
     w = Window.partitionBy("component").orderBy(F.abs("loading").desc(), F.col("feature"))
     return (melted.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top))
-
-
-# ------------------------------------------------------------------ J16 assessment
-
-def assess(rows: DataFrame, moments: dict, classifier, regressor, kmeans_centres: list[list[float]],
-           segment_names: dict[int, str], loadings: np.ndarray, features: list[str] = K.FEATURE_COLS) -> DataFrame:
-    """Probability, tier, action, alerts, next HR + trend, segment and
-    PCA zone for every row of a feature table, in one scoring pass."""
-    scaled = apply_scaler(rows, moments, suffix="_s")
-    scaled_cols = [c + "_s" for c in features]
-    vec = assemble(scaled, scaled_cols, "features")
-    scored = positive_probability(classifier.transform(vec)).drop("rawPrediction", "probability", "prediction")
-    scored = regressor.transform(scored).withColumnRenamed("prediction", "next_hr")
-    scored = assign_nearest(scored, kmeans_centres, scaled_cols, "segment")
-    names = X.lookup("segment", {int(k): v for k, v in segment_names.items()}, "Unknown")
-    scored = project(scored, loadings[:2], scaled_cols)
-    return scored.select(
-        *[c for c in rows.columns],
-        # classify (J17)
-        F.round("prob", 4).alias("probability"),
-        X.probability_tier("prob").alias("risk_level"),
-        X.api_action(X.probability_tier("prob")).alias("action"),
-        F.concat_ws(", ", X.alert_list()).alias("alerts"),
-        # regress (J17): next-hour HR, change, trend, status
-        F.bround("next_hr", 1).alias("next_hour"),
-        F.bround(F.col("next_hr") - F.col("hr"), 1).alias("change"),
-        X.trend_label("next_hr", "hr").alias("trend"),
-        X.hr_status("next_hr").alias("status"),
-        # cluster (J17): id, label, distance to every centre
-        F.col("segment"), names.alias("segment_name"),
-        *[F.round(f"dist_{i}", 3).alias(f"dist_{i}") for i in range(len(kmeans_centres))],
-        # project (J17): coordinates and zone
-        F.round("pc1", 4).alias("pc1"), F.round("pc2", 4).alias("pc2"),
-        X.zone("pc1", "pc2").alias("zone"),
-    )

@@ -7,7 +7,7 @@ from panelkit.plans.registry import REGISTRY, Query
 
 def all_queries() -> dict[str, Query]:
     from panelkit.plans import q_panel  # noqa: F401
-    for mod in ("q_scalar", "q_stats", "q_models", "q_mining", "q_stream"):
+    for mod in ("q_scalar", "q_stats", "q_models", "q_scoring", "q_mining", "q_stream"):
         try:
             __import__(f"panelkit.plans.{mod}")
         except ModuleNotFoundError as e:

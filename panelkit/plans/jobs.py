@@ -19,9 +19,10 @@ from pyspark.sql import functions as F
 from panelkit import constants as K
 from panelkit.config import shared_dir
 from panelkit.operators import aggregate as agg
-from panelkit.operators import clean, forecast, metrics as M, mining, models, neighbors, quality, skew, split, windows
+from panelkit.operators import clean, forecast, metrics as M, mining, models, neighbors, quality, scoring, skew, split, windows
 from panelkit.operators.panel import PanelSpec
 from panelkit.sources import files, sinks
+from panelkit.streaming import stateful
 
 SPEC = PanelSpec("patient_id", ("iculos",))
 
@@ -65,7 +66,8 @@ def features(spark: SparkSession, panel_path: str, out: str, buckets: int = 64,
 
 def train(spark: SparkSession, feats: DataFrame, out: str, presets: models.Presets) -> dict:
     """Next-hour target, ordered split, scaler, classifiers, regressors,
-    segments, PCA; metrics and models written under ``out``."""
+    segments, PCA; metrics and models written under ``out``, and the scoring
+    pipeline of the best of them under ``out``/scoring."""
     nh = windows.lead_target(feats, SPEC)
     tr, te = split.ordered_split(nh, SPEC, K.TEST_FRACTION)
     mom = models.scaler_moments(tr, K.FEATURE_COLS)
@@ -100,13 +102,17 @@ def train(spark: SparkSession, feats: DataFrame, out: str, presets: models.Prese
     sinks.save_model(km, f"{out}/kmeans")
     centres = [list(map(float, c)) for c in km.clusterCenters()]
     prof = agg.segment_profile(models.assign_nearest(tr, centres, K.FEATURE_COLS), "cluster")
-    models.segment_labels(prof).write.mode("overwrite").json(f"{out}/metrics/segments")
+    labels = models.segment_labels(prof)
+    labels.write.mode("overwrite").json(f"{out}/metrics/segments")
+    names = {r["cluster"]: r["risk_label"] for r in labels.collect()}  # one row a segment
     pca = models.pca_fit(tr.drop("features"), K.FEATURE_COLS)
     spark.createDataFrame([(i + 1, v.tolist(), float(pca.explained[i])) for i, v in enumerate(pca.loadings)],
                           "component int, loadings array<double>, explained double") \
         .write.mode("overwrite").parquet(f"{out}/pca")
     order = F.array_position(F.array(*[F.lit(n) for n in clfs]), F.col("model"))  # ties: the first candidate
     best = M.best_by(board.withColumn("ordinal", order), "medical_score", ordinal="ordinal").first()
+    scoring.save(scoring.pipeline(mom, scoring.fitted_stages(clfs[best["best_model"]], regs[best_reg["best_model"]]),
+                                  centres, names, pca.loadings), f"{out}/scoring")
     manifest = {"train_rows": tr.count(), "test_rows": te.count(),
                 "best_model": best["best_model"], "best_medical_score": best["best_medical_score"],
                 "best_regressor": best_reg["best_model"], "best_regressor_rmse": best_reg["best_rmse"],
@@ -120,6 +126,23 @@ def train(spark: SparkSession, feats: DataFrame, out: str, presets: models.Prese
     return manifest
 
 
+def score(spark: SparkSession, feats: DataFrame, model_path: str, out: str) -> DataFrame:
+    """Every row of a feature table through the saved scoring pipeline (J16,
+    J17), written as ``out``/assessments; the output checks (Q6) beside it."""
+    model = scoring.load(model_path)
+    model.transform(feats).write.mode("overwrite").parquet(f"{out}/assessments")
+    scoring.output_checks(model, feats).write.mode("overwrite").json(f"{out}/metrics/output_checks")
+    return spark.read.parquet(f"{out}/assessments")
+
+
+def score_stream(spark: SparkSession, feats_path: str, model_path: str, out: str,
+                 max_files: int | None = None) -> DataFrame:
+    """The same for the files that the feature table got since the last run
+    (checkpoint under ``out``): each row is scored and written once."""
+    return stateful.assess_stream(spark, stateful.table_stream(spark, feats_path, max_files), model_path,
+                                  out=f"{out}/assessments_stream", checkpoint=f"{out}/assessments_checkpoint")
+
+
 def forecast_job(spark: SparkSession, feats: DataFrame, out: str, presets: models.Presets | None = None) -> DataFrame:
     """Sliding windows with their summary (D5, D6), time-ordered split,
     forecasters + metrics. With ``presets`` (the job always gives them) the
@@ -191,12 +214,13 @@ def gate(spark: SparkSession, feats: DataFrame, min_rows: int = K.MIN_PANEL_ROWS
 
 def main(argv: list[str]) -> int:
     ap = argparse.ArgumentParser()
-    ap.add_argument("job", choices=["ingest", "features", "train", "forecast", "lookalikes", "rules", "gate", "all"])
+    ap.add_argument("job", choices=["ingest", "features", "train", "score", "score-stream", "forecast", "lookalikes", "rules", "gate", "all"])
     ap.add_argument("--input", required=True)
     ap.add_argument("--output", required=True)
     ap.add_argument("--quick-presets", action="store_true", help="small fits, for trials")
     ap.add_argument("--min-rows", type=int, default=K.MIN_PANEL_ROWS)
     ap.add_argument("--probes", help="parquet of look-alike probes: query_id + profile features")
+    ap.add_argument("--models", help="saved scoring pipeline (default: <output>/scoring)")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"panelkit-{a.job}").getOrCreate()
     shared_dir(spark)
@@ -206,10 +230,15 @@ def main(argv: list[str]) -> int:
     feats_path = f"{a.output}/patient_vitals" if a.job == "all" else a.input
     if a.job in ("features", "all"):
         features(spark, feats_path, a.output)
-    if a.job in ("train", "forecast", "lookalikes", "rules", "gate", "all"):
+    model_path = a.models or f"{a.output}/scoring"
+    if a.job == "score-stream":
+        score_stream(spark, a.input, model_path, a.output)
+    if a.job in ("train", "score", "forecast", "lookalikes", "rules", "gate", "all"):
         feats = spark.table("patient_features") if a.job == "all" else spark.read.parquet(a.input)
         if a.job in ("train", "all"):
             print(json.dumps(train(spark, feats, a.output, presets)))
+        if a.job in ("score", "all"):
+            score(spark, feats, model_path, a.output)
         if a.job in ("forecast", "all"):
             forecast_job(spark, feats, a.output, presets)
         if a.job in ("rules", "all"):

@@ -220,27 +220,6 @@ def q_fitted_forecasters(spark, sf_dir):
     return finish(M.regression_metrics(scored, "y", "pred", ["model"]))
 
 
-@query("assessment", "J16 J17 E4 E6 E7 E8 E10 Q5")
-def q_assessment(spark, sf_dir):
-    train, _, mom = _train_test(spark, sf_dir)
-    train = agg.class_weights(train.withColumn("label", F.col("sepsislabel").cast("double")), "label", "w_bal")
-    from pyspark.ml.classification import LogisticRegression
-    n = train.count()
-    lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="w_bal", regParam=1.0 / n,
-                            standardization=False, maxIter=models.Presets.published().lr_max_iter).fit(train)
-    reg = models.ridge(train.withColumn("target", F.col("hr_next_hour")), 1.0)
-    km = models.kmeans_fit(train, K.KMEANS_K, restarts=K.KMEANS_RESTARTS)
-    centres = [list(map(float, c)) for c in km.clusterCenters()]
-    prof = agg.segment_profile(models.assign_nearest(train, centres, K.FEATURE_COLS, "cluster"), "cluster")
-    names = {r["cluster"]: r["risk_label"] for r in models.segment_labels(prof).collect()}
-    pca = models.pca_fit(train.drop("features"), K.FEATURE_COLS, 2)
-    rows = features(spark, sf_dir)
-    out = models.assess(rows, mom, lr, reg, centres, names, pca.loadings)
-    return finish(out.select("patient_id", "iculos", "probability", "risk_level", "action", "alerts",
-                             "next_hour", "change", "trend", "status", "segment", "segment_name",
-                             *[f"dist_{i}" for i in range(K.KMEANS_K)], "pc1", "pc2", "zone"))
-
-
 @query("recursive_tree_forecast", "J14 J11 D6 E12")
 def q_recursive_tree_forecast(spark, sf_dir):
     """Six-step recursive forecast with the boosted window model (lags + summary)."""

@@ -183,6 +183,25 @@ def score_stream(features: DataFrame) -> DataFrame:
                            alerts[1], alerts[3].alias("forecast_message"))
 
 
+def assess_stream(spark: SparkSession, features: DataFrame, model_path: str, out: str | None = None,
+                  checkpoint: str | None = None) -> DataFrame:
+    """ST1: a stream of feature rows through the saved scoring pipeline
+    (``scoring.load``), the same one that scores batches; run to completion
+    into a checkpointed file sink and read back."""
+    from panelkit.operators import scoring
+    path = run_to_table(scoring.load(model_path).transform(features), spark, "assessments", out=out,
+                        checkpoint=checkpoint)
+    return spark.read.parquet(path)
+
+
+def table_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """New files of a parquet table as a stream."""
+    r = spark.readStream.schema(spark.read.parquet(path).schema)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    return r.parquet(path)
+
+
 def alert_log_rows(scored: DataFrame) -> DataFrame:
     """ST4 rows in the prediction-log schema; only non-low tiers are logged."""
     rid = F.xxhash64("patient_id", "iculos")
