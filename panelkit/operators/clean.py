@@ -8,6 +8,7 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from panelkit import constants as K
 from panelkit.functions.scalar import flag
+from panelkit.operators.medians import medians
 from panelkit.operators.panel import PanelSpec
 
 
@@ -146,26 +147,24 @@ def fill_median(df: DataFrame, columns: list[str], spec: PanelSpec | None = None
                 approx: bool = False, accuracy: int = 100000) -> DataFrame:
     """Remaining nulls take the column median (interpolated, like pandas).
 
-    With ``spec`` the median is per entity: one aggregate per entity
-    (partial aggregation) joined back on the entity -- a join, unlike a
-    window, lets adaptive execution split a hot entity's rows across tasks
-    (skew join). Without ``spec``, one global median per column from a single
-    partially aggregated job, inlined as literals. The exact ``percentile``
-    keeps a count per distinct value; for continuous columns at scale pass
-    ``approx=True`` (``percentile_approx``, bounded sketch per task).
+    With ``spec`` the median is per entity, joined back on the entity -- a
+    join, unlike a window, lets adaptive execution split a hot entity's rows
+    across tasks (skew join). Without ``spec``, one global median per column,
+    inlined as literals. Exact medians are selected in bounded memory
+    (``medians``); ``approx`` takes ``percentile_approx`` instead.
     """
-    def med(c):
-        return (F.percentile_approx(F.col(c), 0.5, accuracy) if approx
-                else F.percentile(F.col(c), 0.5))
+    if approx:
+        meds = df.groupBy(*([spec.entity] if spec else [])).agg(
+            *[F.percentile_approx(F.col(c), 0.5, accuracy).alias(f"_med_{c}") for c in columns])
+    else:
+        meds = medians(df, columns, [spec.entity] if spec else [])
     if spec is not None:
-        meds = df.groupBy(spec.entity).agg(*[med(c).alias(f"_med_{c}") for c in columns])
         joined = df.join(meds, on=spec.entity, how="left")
         repl = {c: F.coalesce(F.col(c), F.col(f"_med_{c}")).alias(c) for c in columns}
         return joined.select(*[repl.get(c, F.col(c)) for c in df.columns])
-    else:
-        row = df.agg(*[med(c).alias(c) for c in columns]).first()
-        repl = {c: (F.coalesce(F.col(c), F.lit(row[c])) if row[c] is not None else F.col(c)).alias(c)
-                for c in columns}
+    row = meds.first()
+    repl = {c: F.coalesce(F.col(c), F.lit(row[f"_med_{c}"])).alias(c)
+            for c in columns if row is not None and row[f"_med_{c}"] is not None}
     return df.select(*[repl.get(c, F.col(c)) for c in df.columns])
 
 
