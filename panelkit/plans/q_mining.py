@@ -159,3 +159,52 @@ def q_rule_floors(spark, sf_dir):
          .unionByName(top.agg(F.count(F.lit(1)).cast("double").alias("value"))
                       .select(F.lit("top_rules").alias("metric"), "value")))
     return finish(quality.metric_floors(m, [("total_rules", float(K.FLOOR_RULES), "min"), ("top_rules", 0.0, "min")]))
+
+
+# ------------------------------------------- large item universe: suppliers of an order
+
+BASKET_SUPPORT = 4e-4
+BASKET_CONFIDENCE = 0.01
+SUP = "4e-4"
+BASKET_CTES = [
+    "it AS (SELECT DISTINCT l_orderkey AS b, 'S' || lpad(CAST(l_suppkey AS VARCHAR), 8, '0') AS item FROM lineitem)",
+    "nt AS (SELECT count(DISTINCT b) * 1e0 AS n FROM it)",
+    "i1 AS (SELECT item AS a, count(*) AS c FROM it GROUP BY item)",
+    "i2 AS (SELECT x.item AS a, y.item AS b, count(*) AS c FROM it x JOIN it y ON x.b = y.b AND x.item < y.item "
+    "GROUP BY 1, 2)",
+    "i3 AS (SELECT x.item AS a, y.item AS b, z.item AS c3, count(*) AS c FROM it x "
+    "JOIN it y ON x.b = y.b AND x.item < y.item JOIN it z ON y.b = z.b AND y.item < z.item GROUP BY 1, 2, 3)",
+    f"fi AS (SELECT a AS k, a AS a, NULL AS b, NULL AS c3, 1 AS size, c / n AS support FROM i1, nt WHERE c / n >= {SUP} "
+    f"UNION ALL SELECT a || ', ' || b, a, b, NULL, 2, c / n FROM i2, nt WHERE c / n >= {SUP} "
+    f"UNION ALL SELECT a || ', ' || b || ', ' || c3, a, b, c3, 3, c / n FROM i3, nt WHERE c / n >= {SUP})",
+]
+BASKET_RULE_CTES = BASKET_CTES + [
+    "sp AS (" + " UNION ALL ".join(f"SELECT {ae} AS ante_key, {ce} AS cons_key, support FROM fi WHERE size = {sz}"
+                                   for sz, ae, ce in _SPLITS) + ")",
+    "ru AS (SELECT sp.ante_key, sp.cons_key, sp.support, sp.support / fa.support AS confidence, "
+    "sp.support / fa.support / fc.support AS lift FROM sp JOIN fi fa ON sp.ante_key = fa.k JOIN fi fc ON sp.cons_key = fc.k)",
+]
+
+
+def supplier_itemsets(spark, sf_dir):
+    """Suppliers that deliver to the same orders: one basket an order, the universe grows with the data."""
+    from panelkit.sources.tables import read_table
+    lines = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_suppkey"])
+    item = F.concat(F.lit("S"), F.lpad(F.col("l_suppkey").cast("string"), 8, "0"))
+    baskets = lines.groupBy("l_orderkey").agg(F.collect_set(item).alias("items"))
+    return mining.frequent_itemsets_tree(baskets, "items", BASKET_SUPPORT)
+
+
+@query("basket_itemsets", "N3 N4",
+       O.with_(BASKET_CTES, "SELECT k AS key, CAST(size AS BIGINT) AS size, round(support, 6) AS support FROM fi"))
+def q_basket_itemsets(spark, sf_dir):
+    return finish(supplier_itemsets(spark, sf_dir).select("key", "size", "support"))
+
+
+@query("basket_rules", "N3 N5 N6",
+       O.with_(BASKET_RULE_CTES, "SELECT ante_key, cons_key, round(support, 6) AS support, round(confidence, 6) AS confidence, "
+               f"round(lift, 6) AS lift FROM ru WHERE confidence >= {BASKET_CONFIDENCE!r}e0 AND lift > 1e0"))
+def q_basket_rules(spark, sf_dir):
+    sets = supplier_itemsets(spark, sf_dir).cache()
+    r = mining.quality_rules(mining.rules(sets, BASKET_CONFIDENCE))
+    return finish(r.select("ante_key", "cons_key", "support", "confidence", "lift"))
