@@ -4,7 +4,7 @@ an ``all_passed`` row, and ``assert_passed`` turns it into a job exit."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from panelkit.operators.panel import PanelSpec
@@ -121,6 +121,39 @@ def panel_identities(panel: DataFrame, windows: DataFrame, next_rows: DataFrame,
         for name, c in (("window_identity", "w"), ("next_hour_identity", "x"), (bad_name, "bad"))])))
 
 
+def repeats_previous(spec: PanelSpec, key: str) -> Column:
+    """Q8 without a shuffle of its own: whether a row has the ``key`` of the row
+    before it in its entity. Over the panel's own window, so it shares its sort."""
+    return F.coalesce(F.lag(F.struct(key)).over(spec.ordered()) == F.struct(key), F.lit(False))
+
+
+def observe(df: DataFrame, bad: dict, label: str, name: str = "quality") -> tuple[DataFrame, Observation]:
+    """Q1, Q3-Q5, Q8 as metrics of the pass that writes ``df``: row count, rows
+    that meet each condition of ``bad``, rows of either class (0, 1) and of none.
+
+    Place it under the write with no exchange in between: Spark then counts
+    each partition once, also when tasks are repeated."""
+    seen = Observation(name)
+    y = F.col(label)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(c).alias(f"bad_{n}") for n, c in bad.items()],
+                      F.count_if(y == 0).alias("zeros"), F.count_if(y == 1).alias("ones"),
+                      F.count_if((y != 0) & (y != 1)).alias("others")), seen
+
+
+def observed_summary(spark, seen: Observation, minimum: int, rows_name: str = "row_count",
+                     classes_name: str = "both_classes") -> DataFrame:
+    """The check rows of ``observe`` once its pass has run, with ``all_passed``;
+    no job. Both classes: 0 and 1 occur and nothing else."""
+    m = seen.get
+    kinds = sum(m[c] > 0 for c in ("zeros", "ones", "others"))
+    rows = [(rows_name, float(m["rows"]), float(minimum), m["rows"] > minimum),
+            (classes_name, float(kinds), 2.0, m["zeros"] > 0 and m["ones"] > 0 and m["others"] == 0)]
+    rows += [(n[4:], float(v), 0.0, v == 0) for n, v in m.items() if n.startswith("bad_")]
+    passed = sum(r[3] for r in rows)
+    rows.append(("all_passed", float(passed), float(len(rows)), passed == len(rows)))
+    return spark.createDataFrame(rows, CHECK_SCHEMA)
+
+
 def summary(checks: list[DataFrame]) -> DataFrame:
     """Q9: union of check rows plus an ``all_passed`` row. The check rows (one for
     each check, so few) are gathered into one array, so that every check runs once."""

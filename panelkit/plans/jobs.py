@@ -43,10 +43,13 @@ def ingest(spark: SparkSession, raw_dir: str, out: str, sep: str = "|", fill_glo
 
 
 def features(spark: SparkSession, panel_path: str, out: str, buckets: int = 64,
-             chunk_rows: int = skew.DEFAULT_CHUNK_ROWS) -> DataFrame:
+             chunk_rows: int = skew.DEFAULT_CHUNK_ROWS, min_rows: int | None = None) -> DataFrame:
     """Panel -> feature table, written bucketed by entity.
 
-    The panel already has its ordinal; hot entities are chunked (skew)."""
+    The panel already has its ordinal; hot entities are chunked (skew). With
+    ``min_rows`` the quality gate is observed while the table is written, with
+    no scan of its own: ``out``/metrics/feature_gate, and an error (the jobs
+    behind it do not start) when a check fails."""
     panel = spark.read.parquet(panel_path)
     imputed, chunked = skew.ordinal_and_impute(
         panel, "patient_id", ["iculos"],
@@ -54,16 +57,30 @@ def features(spark: SparkSession, panel_path: str, out: str, buckets: int = 64,
         "_ord", chunk_rows)
     if chunked:
         halo, spec = skew.with_halo(imputed, "patient_id", "_ord", chunk_rows, back=5)
-        feats = skew.drop_halo(windows.add_features(halo, spec, hours_col="iculos"))
+        feats = windows.add_features(halo, spec, hours_col="iculos")
+        feats = skew.drop_halo(feats.withColumn("_again", quality.repeats_previous(spec, "iculos")))
     else:
-        feats = windows.add_features(imputed, SPEC)
+        feats = windows.add_features(imputed, SPEC).withColumn("_again", quality.repeats_previous(SPEC, "iculos"))
     feats = feats.drop("_ord")
     feats = feats.na.fill(0.0)
+    feats, seen = quality.observe(feats, gate_conditions() | {"grain_unique": F.col("_again")}, "sepsislabel")
+    feats = feats.drop("_again")
     feats.write.mode("overwrite").bucketBy(buckets, "patient_id").sortBy("patient_id", "iculos") \
         .option("path", f"{out}/patient_features").saveAsTable("patient_features")
+    if min_rows is not None:
+        checks = quality.observed_summary(spark, seen, min_rows, "panel_rows_above_floor", "both_classes_present")
+        checks.coalesce(1).write.mode("overwrite").json(f"{out}/metrics/feature_gate")
+        quality.assert_passed(checks)
     return spark.table("patient_features")
 
 
+def gate_conditions() -> dict:
+    """Rows that a feature table must not have, by check."""
+    score = agg.risk_score()
+    return {"no_null_vitals": clean.any_null(["hr", "temp", "o2sat"]),
+            "score_in_unit_interval": (score < 0.0) | (score > 1.0)}
+
+
 def train(spark: SparkSession, feats: DataFrame, out: str, presets: models.Presets) -> dict:
     """Next-hour target, ordered split, scaler, classifiers, regressors,
     segments, PCA; metrics and models written under ``out``, and the scoring
@@ -201,10 +218,7 @@ def rules(spark: SparkSession, feats: DataFrame, out: str) -> DataFrame:
 
 def gate(spark: SparkSession, feats: DataFrame, min_rows: int = K.MIN_PANEL_ROWS) -> DataFrame:
     """Data-quality gate; raises (non-zero exit) when a check fails."""
-    score = agg.risk_score()
-    checks = [quality.row_checks(feats, min_rows, {
-                  "no_null_vitals": clean.any_null(["hr", "temp", "o2sat"]),
-                  "score_in_unit_interval": (score < 0.0) | (score > 1.0)}, "panel_rows_above_floor"),
+    checks = [quality.row_checks(feats, min_rows, gate_conditions(), "panel_rows_above_floor"),
               quality.both_classes(feats, "sepsislabel", "both_classes_present"),
               quality.grain_unique(feats, ["patient_id", "iculos"], "grain_unique")]
     summary = quality.summary(checks)
@@ -229,7 +243,8 @@ def main(argv: list[str]) -> int:
         ingest(spark, a.input, a.output)
     feats_path = f"{a.output}/patient_vitals" if a.job == "all" else a.input
     if a.job in ("features", "all"):
-        features(spark, feats_path, a.output)
+        # before any training: bad features end the run here
+        features(spark, feats_path, a.output, min_rows=a.min_rows if a.job == "all" else None)
     model_path = a.models or f"{a.output}/scoring"
     if a.job == "score-stream":
         score_stream(spark, a.input, model_path, a.output)
