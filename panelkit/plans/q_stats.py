@@ -140,6 +140,23 @@ def q_rows_per_entity(spark, sf_dir):
     return finish(agg.rows_per_entity(panel_from_events(spark, sf_dir), S))
 
 
+def daily_sketches(spark, sf_dir):
+    """Per day of ``events``: rows and a sketch of the users."""
+    from panelkit.sources.tables import read_table
+    ev = read_table(spark, sf_dir, "events", ["ts", "user_id"])
+    return agg.distinct_sketches(ev.select(F.to_date("ts").alias("day"), "user_id"), "user_id", ["day"])
+
+
+@query("distinct_users_by_month", "F7")
+def q_distinct_users_by_month(spark, sf_dir):
+    """Estimated distinct users of each month and of all time, merged from the
+    daily sketches (rows-only: SQL engines do not share sketch estimates)."""
+    daily = daily_sketches(spark, sf_dir)
+    monthly = agg.merged_distinct(daily.withColumn("month", F.date_format("day", "yyyy-MM")), ["month"])
+    total = agg.merged_distinct(daily).select(F.lit("all").alias("month"), "rows", "distinct_values")
+    return finish(monthly.unionByName(total))
+
+
 @query("group_separation", "F8",
        O.with_(O.FEATURE_CTES, " UNION ALL ".join(
            f"SELECT '{c}' AS component, round(abs(avg(CASE WHEN sepsislabel = 1 THEN {c} END) - "
