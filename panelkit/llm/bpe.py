@@ -25,6 +25,7 @@ MEMORY_LENGTH = 64
 LANES = 4096
 LANE_BYTES = 48
 RUN_CHARS = 1 << 20
+MAX_IDS = 1 << 20
 
 
 # Fixed value: the split pattern whose pre-tokens take at most one space, in front.
@@ -181,6 +182,8 @@ class BytePairCodec:
         self.find = regex.compile(pattern).findall
         self.splits_at_space = pattern == SPACE_PATTERN
         size = max(self.pieces, default=-1) + 1
+        if size > MAX_IDS:
+            raise ValueError(f"ids must be below {MAX_IDS}: two of them are kept in one number")
         # rank of every pair of ids whose bytes together are a piece; of two bytes
         self.pairs: dict[int, int] = {}
         for whole, rank in self.ranks.items():

@@ -3,6 +3,7 @@ distributed projected-gradient least squares."""
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -102,7 +103,8 @@ def fit_rates(members: DataFrame, targets: np.ndarray, rounds: int = ROUNDS,
     """Pulls that solve min over rates r >= 0 of sum_d (sum_i r_i n_i p_id - T_d)^2
     by accelerated projected gradient in the metric of the tokens n_i (where the
     step 1 is safe: the p are probabilities). Each round is one Spark job that
-    sums ``members(n_tokens, p)`` into as many numbers as there are domains."""
+    sums ``members(n_tokens, p)`` into as many numbers as there are domains. What is
+    left after ``rounds`` (targets that no rates meet, say) is told by a warning."""
     spark, k = members.sparkSession, len(targets)
     size = float(members.agg(F.sum("n_tokens")).first()[0] or 0)
     pulls: list[np.ndarray] = []
@@ -129,6 +131,9 @@ def fit_rates(members: DataFrame, targets: np.ndarray, rounds: int = ROUNDS,
         if np.abs(settled - targets).max() <= tolerance * size:
             break
         pulls = [*pulls, (reached - targets) / size]
+    else:
+        warnings.warn(f"rates after {rounds} rounds leave {np.abs(settled - targets).max():.0f} of {size:.0f} tokens "
+                      "between a domain and its target", stacklevel=2)
     return pulls
 
 
