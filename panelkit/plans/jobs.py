@@ -229,13 +229,16 @@ def gate(spark: SparkSession, feats: DataFrame, min_rows: int = K.MIN_PANEL_ROWS
 def main(argv: list[str]) -> int:
     ap = argparse.ArgumentParser()
     ap.add_argument("job", choices=["ingest", "features", "train", "score", "score-stream", "forecast", "lookalikes", "rules", "gate", "all"])
-    ap.add_argument("--input", required=True)
+    ap.add_argument("--input", help="entity files (ingest, all), panel (features) or feature rows")
+    ap.add_argument("--table", help="feature table of the catalog instead of --input: read by its buckets")
     ap.add_argument("--output", required=True)
     ap.add_argument("--quick-presets", action="store_true", help="small fits, for trials")
     ap.add_argument("--min-rows", type=int, default=K.MIN_PANEL_ROWS)
     ap.add_argument("--probes", help="parquet of look-alike probes: query_id + profile features")
     ap.add_argument("--models", help="saved scoring pipeline (default: <output>/scoring)")
     a = ap.parse_args(argv)
+    if not a.input and (not a.table or a.job in ("ingest", "features", "score-stream", "all")):
+        ap.error("--input is needed")
     spark = SparkSession.builder.appName(f"panelkit-{a.job}").getOrCreate()
     shared_dir(spark)
     presets = models.Presets() if a.quick_presets else models.Presets.published()
@@ -249,7 +252,8 @@ def main(argv: list[str]) -> int:
     if a.job == "score-stream":
         score_stream(spark, a.input, model_path, a.output)
     if a.job in ("train", "score", "forecast", "lookalikes", "rules", "gate", "all"):
-        feats = spark.table("patient_features") if a.job == "all" else spark.read.parquet(a.input)
+        table = "patient_features" if a.job == "all" else a.table
+        feats = spark.table(table) if table else spark.read.parquet(a.input)
         if a.job in ("train", "all"):
             print(json.dumps(train(spark, feats, a.output, presets)))
         if a.job in ("score", "all"):
