@@ -50,7 +50,8 @@ def features(spark: SparkSession, panel_path: str, out: str, buckets: int = 64,
     ``min_rows`` the quality gate is observed while the table is written, with
     no scan of its own: ``out``/metrics/feature_gate, and an error (the jobs
     behind it do not start) when a check fails."""
-    panel = spark.read.parquet(panel_path)
+    gated = min_rows is not None
+    panel = (_own_session(spark) if gated else spark).read.parquet(panel_path)
     imputed, chunked = skew.ordinal_and_impute(
         panel, "patient_id", ["iculos"],
         [c for c in K.VITALS_LC if c in panel.columns], [c for c in K.LABS_LC if c in panel.columns],
@@ -63,17 +64,29 @@ def features(spark: SparkSession, panel_path: str, out: str, buckets: int = 64,
         feats = windows.add_features(imputed, SPEC).withColumn("_again", quality.repeats_previous(SPEC, "iculos"))
     feats = feats.drop("_ord")
     feats = feats.na.fill(0.0)
-    feats, seen = quality.observe(feats, gate_conditions() | {"grain_unique": F.col("_again")}, "sepsislabel")
+    if gated:
+        feats, seen = quality.observe(feats, gate_conditions() | {"grain_unique": F.col("_again")}, "sepsislabel")
     feats = feats.drop("_again")
     feats.write.mode("overwrite").bucketBy(buckets, "patient_id").sortBy("patient_id", "iculos") \
         .option("path", f"{out}/patient_features").saveAsTable("patient_features")
-    if min_rows is not None:
+    spark.catalog.refreshTable("patient_features")
+    if gated:
         checks = quality.observed_summary(spark, seen, min_rows, "panel_rows_above_floor", "both_classes_present")
         checks.coalesce(1).write.mode("overwrite").json(f"{out}/metrics/feature_gate")
         quality.assert_passed(checks)
     return spark.table("patient_features")
 
 
+def _own_session(spark: SparkSession) -> SparkSession:
+    """A session with the same settings and catalog for observed writes: a session that
+    has observed metrics cannot send freshly fitted models, which refer to it, to tasks."""
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            own.conf.set(name, value)
+    return own
+
+
 def gate_conditions() -> dict:
     """Rows that a feature table must not have, by check."""
     score = agg.risk_score()
