@@ -49,19 +49,18 @@ def _saved(spark, sf_dir: str, kind: str, build) -> str:
 def fitted_pipeline(spark, sf_dir: str):
     """Logistic regression, ridge, k-means and PCA of the training rows."""
     from pyspark.ml.classification import LogisticRegression
-    train, test, mom = _train_test(spark, sf_dir)
+    train, _, mom = _train_test(spark, sf_dir)
     label = train.withColumn("label", F.col("sepsislabel").cast("double"))
-    weighted = agg.class_weights(label, "label", "w_bal")
-    lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="w_bal", regParam=1.0 / train.count(),
-                            standardization=False, maxIter=models.Presets.published().lr_max_iter).fit(weighted)
-    reg = models.ridge(train.withColumn("target", F.col("hr_next_hour")), 1.0)
-    km = models.kmeans_fit(train, K.KMEANS_K, restarts=K.KMEANS_RESTARTS)
+    rows = models.fit_rows(agg.class_weights(label, "label", "w_bal")
+                           .select("features", "label", "w_bal", F.col("hr_next_hour").alias("target")))
+    lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="w_bal", regParam=1.0 / rows.count(),
+                            standardization=False, maxIter=models.Presets.published().lr_max_iter).fit(rows)
+    reg = models.ridge(rows, 1.0)
+    km = models.kmeans_fit(rows, K.KMEANS_K, restarts=K.KMEANS_RESTARTS)
     centres = [list(map(float, c)) for c in km.clusterCenters()]
     prof = agg.segment_profile(models.assign_nearest(train, centres, FC, "cluster"), "cluster")
     names = {r["cluster"]: r["risk_label"] for r in models.segment_labels(prof).collect()}  # one row a segment
     pca = models.pca_fit(train.drop("features"), FC, 2)
-    train.unpersist()
-    test.unpersist()
     return scoring.pipeline(mom, scoring.fitted_stages(lr, reg), centres, names, pca.loadings)
 
 
