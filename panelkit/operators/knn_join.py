@@ -2,9 +2,10 @@
 with radius bounds, bounded tasks, no cross join.
 
 Equal vectors are one point. Every profile point goes to the cell of its nearest
-pivot. A probe first meets its own cell, which gives a bound on its k-th distance;
-then it visits those cells only whose pivot less radius is within the bound. Cells
-and their visitors meet in blocks, each of which hands on at most k points a probe.
+pivot. A probe first meets the few cells nearest to it, which gives a bound on its
+k-th distance; then it visits those cells only whose ring around the pivot and whose
+box (least and largest coordinates) come within the bound. Cells and their visitors
+meet in blocks, each of which hands on at most k points a probe, none beyond the bound.
 """
 
 from __future__ import annotations
@@ -23,6 +24,9 @@ from panelkit.operators.models import scaler_moments
 # Pivots (collected, at most MAX_CELLS vectors) and rows of one side of a block.
 MAX_CELLS = 2048
 BLOCK_ROWS = 4096
+# Points of a cell, unless there are too many cells, and cells a probe meets first.
+CELL_POINTS = 128
+FIRST_CELLS = 4
 # Distances are compared with bounds up to the rounding of their sums.
 SLACK = 1e-9
 
@@ -56,10 +60,36 @@ def _to_cells(points: DataFrame, pivots: np.ndarray) -> DataFrame:
     return points.mapInPandas(task, ", ".join(f"{n} {t}" for n, t in points.dtypes) + ", cell int, away double")
 
 
+def _least_distance(q: np.ndarray, cells: dict[str, np.ndarray]) -> np.ndarray:
+    """For every row of ``q`` and cell, a distance that none of the cell's points undercuts
+    (infinite for cells without points): by its ring around the pivot and by its box."""
+    box = np.zeros((len(q), len(cells["pivot"])))
+    for j in range(q.shape[1]):
+        t = np.maximum(np.maximum(cells["low"][None, :, j] - q[:, j, None], q[:, j, None] - cells["high"][None, :, j]), 0.0)
+        box += t * t
+    away = np.sqrt(_squares(q, cells["pivot"]))
+    ring = np.maximum(away - cells["radius"], cells["nearest"] - away)
+    return np.maximum(np.maximum(ring, np.sqrt(box)) - SLACK * (1 + away), 0.0)
+
+
+def _nearest(d: np.ndarray, reach: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the k least entries of every row of ``d`` that are within the
+    row's ``reach``; ties: the earlier column."""
+    k = min(k, d.shape[1])
+    limit = np.minimum(np.partition(d, k - 1, axis=1)[:, k - 1], reach)
+    i, j = np.nonzero(d <= limit[:, None])
+    order = np.lexsort((j, d[i, j], i))
+    i, j = i[order], j[order]
+    keep = np.arange(len(i)) - np.searchsorted(i, i) < k
+    return i[keep], j[keep]
+
+
 def _meet(points: DataFrame, visits: DataFrame, sizes: dict[int, int], k: int, block_rows: int) -> DataFrame:
-    """(qv, v, least, d2): of every block of a cell, the k points nearest to each visitor.
+    """(qn, least, d2): of every block of a cell, the k points nearest to each visitor, as
+    far as they are within its reach.
 
-    ``points(v, least, cell)``, ``visits(qv, cell)``; ``sizes``: points of every cell."""
+    ``points(v, least, cell)``, ``visits(qn, qv, reach, cell)`` with squared distances as
+    reach; ``sizes``: points of every cell."""
     counts = {r["cell"]: r["n"] for r in visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
 
     def pieces(n: dict[int, int]) -> F.Column:
@@ -75,33 +105,33 @@ def _meet(points: DataFrame, visits: DataFrame, sizes: dict[int, int], k: int, b
             "other", F.explode(F.sequence(F.lit(0), (pieces(other) - 1).cast("int"))))
 
     home = dealt(points, "v", sizes, counts, "v").select(
-        "cell", F.col("mine").alias("block"), F.col("other").alias("chunk"), "v", "least", F.lit(True).alias("home"))
+        "cell", F.col("mine").alias("block"), F.col("other").alias("chunk"), "v", "least",
+        F.lit(None).cast("long").alias("qn"), F.lit(None).cast("double").alias("reach"))
     guests = dealt(visits, "qv", counts, sizes, "qv").select(
         "cell", F.col("other").alias("block"), F.col("mine").alias("chunk"), F.col("qv").alias("v"),
-        F.lit(None).cast("string").alias("least"), F.lit(False).alias("home"))
+        F.lit(None).cast("string").alias("least"), "qn", "reach")
 
     def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
-        own, probes = pdf[pdf["home"]].sort_values("least"), pdf[~pdf["home"]]
-        out = {"qv": [], "v": [], "least": [], "d2": []}
+        own, probes = pdf[pdf["qn"].isna()].sort_values("least"), pdf[pdf["qn"].notna()]
+        out = []
         if len(own) and len(probes):
-            pv, names, vecs = np.stack(own["v"].to_numpy()), own["least"].to_numpy(), own["v"].to_numpy()
+            pv, names = np.stack(own["v"].to_numpy()), own["least"].to_numpy()
+            qn, reach = probes["qn"].to_numpy(dtype="int64"), probes["reach"].to_numpy(dtype="float64")
             for lo in range(0, len(probes), 512):
-                q = probes["v"].to_numpy()[lo:lo + 512]
-                d = _squares(np.stack(q), pv)
-                best = np.argsort(d, axis=1, kind="stable")[:, :k]  # ties: the smaller key
-                for i, at in enumerate(best):
-                    out["qv"] += [q[i]] * len(at)
-                    out["v"] += list(vecs[at])
-                    out["least"] += list(names[at])
-                    out["d2"] += d[i, at].tolist()
-        return pd.DataFrame({c: pd.Series(x, dtype=float if c == "d2" else object) for c, x in out.items()})
+                d = _squares(np.stack(probes["v"].to_numpy()[lo:lo + 512]), pv)
+                i, j = _nearest(d, reach[lo:lo + 512], k)
+                out.append(pd.DataFrame({"qn": qn[lo + i], "least": names[j], "d2": d[i, j]}))
+        if not out:
+            return pd.DataFrame({"qn": pd.Series(dtype="int64"), "least": pd.Series(dtype=object),
+                                 "d2": pd.Series(dtype=float)})
+        return pd.concat(out, ignore_index=True)
 
     return home.unionByName(guests).groupBy("cell", "block", "chunk").applyInPandas(
-        kernel, "qv array<double>, v array<double>, least string, d2 double")
+        kernel, "qn long, least string, d2 double")
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
-    w = Window.partitionBy("qv").orderBy("d2", "least")
+    w = Window.partitionBy("qn").orderBy("d2", "least")
     return found.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= k)
 
 
@@ -125,53 +155,72 @@ def knn_join(profiles: DataFrame, probes: DataFrame, features: list[str], k: int
     need = k + int(exclude_self)
     # of equal vectors at most k + 1 profiles can be neighbours
     first = Window.partitionBy("v").orderBy("pid")
-    copies = cut_lineage(prof.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= need).drop("r"))
-    points = copies.groupBy("v").agg(F.min("pid").alias("least"))
+    copies = cut_lineage(prof.withColumn("r", F.row_number().over(first))
+                         .withColumn("least", F.first("pid").over(first)).filter(F.col("r") <= need))
+    points = copies.filter(F.col("r") == 1).select("v", "least")
     n = points.count()
-    m = min(MAX_CELLS, cells or max(1, int(np.sqrt(n))))
+    m = min(MAX_CELLS, cells or max(1, int(np.sqrt(n)), n // CELL_POINTS))
     pivots = np.array([r["v"] for r in points.orderBy(F.xxhash64("v"), "v").limit(m).collect()], dtype=float)
     pivots = pivots.reshape(-1, len(features))
     schema = asked.sparkSession.createDataFrame([], f"{query_key} string, rank int, {profile_key} string, distance double")
     if not len(pivots):
         return schema
     placed = cut_lineage(_to_cells(points, pivots))
-    bounds = {r["cell"]: r for r in placed.groupBy("cell").agg(
-        F.count(F.lit(1)).alias("n"), F.max("away").alias("radius"), F.min("away").alias("nearest")).collect()}
-    sizes = {c: r["n"] for c, r in bounds.items()}  # one entry a pivot
-    questions = cut_lineage(_to_cells(asked.select("v").distinct(), pivots).withColumnRenamed("v", "qv"))
-    near = cut_lineage(_best(_meet(placed.drop("away"), questions.select("qv", "cell"), sizes, need, block_rows), need))
-    bound = near.groupBy("qv").agg(F.when(F.count(F.lit(1)) >= need, F.sqrt(F.max("d2"))).alias("bound"))
-    shared = asked.sparkSession.sparkContext.broadcast(
-        (pivots, np.array([bounds[c]["radius"] if c in bounds else -np.inf for c in range(len(pivots))]),
-         np.array([bounds[c]["nearest"] if c in bounds else np.inf for c in range(len(pivots))])))
+    dims = range(len(features))
+    bounds = placed.groupBy("cell").agg(
+        F.count(F.lit(1)).alias("n"), F.max("away").alias("radius"), F.min("away").alias("nearest"),
+        F.array(*[F.min(F.col("v")[i]) for i in dims]).alias("low"),
+        F.array(*[F.max(F.col("v")[i]) for i in dims]).alias("high")).collect()  # one row a pivot
+    sizes = {r["cell"]: r["n"] for r in bounds}
+    about = {"pivot": pivots, "radius": np.full(len(pivots), -np.inf), "nearest": np.full(len(pivots), np.inf),
+             "low": np.full(pivots.shape, np.inf), "high": np.full(pivots.shape, -np.inf)}
+    for r in bounds:
+        for name in ("radius", "nearest", "low", "high"):
+            about[name][r["cell"]] = r[name]
+    shared = asked.sparkSession.sparkContext.broadcast(about)
+
+    def first_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The cells that may lie nearest."""
+        for pdf in batches:
+            for lo in range(0, len(pdf), 512):
+                part = pdf.iloc[lo:lo + 512]
+                q = np.stack(part["qv"].to_numpy())
+                low = _least_distance(q, shared.value) + SLACK * _squares(q, shared.value["pivot"])
+                yield part.assign(cells=list(np.argsort(low, axis=1, kind="stable")[:, :FIRST_CELLS].astype("int32")))
 
     def further(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """The other cells that may hold one of the k nearest: the distance to the
-        pivot lies within the bound of the ring in which the cell's points are."""
-        centres, radius, nearest = shared.value
+        """The other cells that may hold one of the k nearest."""
         for pdf in batches:
-            for lo in range(0, len(pdf), BLOCK_ROWS):
-                part = pdf.iloc[lo:lo + BLOCK_ROWS]
-                away = np.sqrt(_squares(np.stack(part["qv"].to_numpy()), centres))
-                reach = part["bound"].fillna(np.inf).to_numpy()[:, None]
-                reach = reach + SLACK * (1 + away)
-                visit = (away - radius <= reach) & (nearest - away <= reach) & np.isfinite(radius)
-                visit[np.arange(len(part)), part["cell"].to_numpy()] = False
+            for lo in range(0, len(pdf), 512):
+                part = pdf.iloc[lo:lo + 512]
+                vecs, reach = part["qv"].to_numpy(), part["reach"].to_numpy(dtype="float64")
+                low = _least_distance(np.stack(vecs), shared.value)
+                visit = (low <= np.sqrt(reach)[:, None]) & np.isfinite(low)
+                np.put_along_axis(visit, np.stack(part["cells"].to_numpy()).astype("int64"), False, axis=1)
                 i, c = np.nonzero(visit)
-                yield pd.DataFrame({"qv": pd.Series(list(part["qv"].to_numpy()[i]), dtype=object),
-                                    "cell": c.astype("int32")})
-
-    visits = cut_lineage(questions.join(bound, "qv", "left").select("qv", "cell", "bound")
-                         .mapInPandas(further, "qv array<double>, cell int"))
+                yield pd.DataFrame({"qn": part["qn"].to_numpy()[i], "qv": pd.Series(list(vecs[i]), dtype=object),
+                                    "reach": reach[i], "cell": c.astype("int32")})
+
+    questions = cut_lineage(asked.select(F.col("v").alias("qv")).distinct()
+                            .withColumn("qn", F.monotonically_increasing_id()).select("qn", "qv")
+                            .mapInPandas(first_cells, "qn long, qv array<double>, cells array<int>"))
+    anywhere = F.lit(float("inf")).alias("reach")
+    near = cut_lineage(_best(_meet(placed.drop("away"), questions.select("qn", "qv", anywhere,
+                                                                         F.explode("cells").alias("cell")),
+                                   sizes, need, block_rows), need))
+    bound = near.groupBy("qn").agg(F.when(F.count(F.lit(1)) >= need, F.max("d2")).alias("reach"))
+    visits = cut_lineage(questions.join(bound, "qn", "left")
+                         .select("qn", "qv", F.coalesce("reach", F.lit(float("inf"))).alias("reach"), "cells")
+                         .mapInPandas(further, "qn long, qv array<double>, reach double, cell int"))
     more = _meet(placed.drop("away"), visits, sizes, need, block_rows)
-    best = _best(near.drop("r").unionByName(more), need).drop("r", "least")
-    named = best.join(copies, "v").select("qv", "d2", "pid")
-    top = Window.partitionBy("qv").orderBy("d2", "pid")
+    best = _best(near.drop("r").unionByName(more), need).drop("r")
+    named = best.join(copies.select("least", "pid"), "least").select("qn", "d2", "pid")
+    top = Window.partitionBy("qn").orderBy("d2", "pid")
     named = named.withColumn("r", F.row_number().over(top)).filter(F.col("r") <= need).drop("r")
-    pairs = asked.join(named, asked["v"] == named["qv"])
+    pairs = asked.join(questions.select("qn", "qv"), asked["v"] == F.col("qv")).join(named, "qn")
     if exclude_self:
         pairs = pairs.filter(F.col("qid") != F.col("pid"))
-    w = Window.partitionBy("qid", "qv").orderBy("d2", "pid")
+    w = Window.partitionBy("qid", "qn").orderBy("d2", "pid")
     return (pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
             .select(F.col("qid").alias(query_key), "rank", F.col("pid").alias(profile_key),
                     F.sqrt("d2").alias("distance")))
