@@ -84,8 +84,33 @@ def _bround1_vec(x: np.ndarray) -> np.ndarray:
 
 
 def _ffill(values: np.ndarray, carry: float | None) -> np.ndarray:
-    s = pd.Series(np.concatenate([[np.nan if carry is None else carry], values]))
-    return s.ffill().to_numpy()[1:]
+    v = np.concatenate([[np.nan if carry is None else carry], values])
+    last = np.maximum.accumulate(np.where(np.isnan(v), 0, np.arange(len(v))))
+    return v[last][1:]
+
+
+def _frames(x: np.ndarray, w: int) -> np.ndarray:
+    """One row a value: it and the ``w - 1`` values before it; missing and non-finite as NaN."""
+    x = np.concatenate([np.full(w - 1, np.nan), np.where(np.isfinite(x), x, np.nan)])
+    return np.lib.stride_tricks.sliding_window_view(x, w)
+
+
+def _rolling_mean(x: np.ndarray, w: int) -> np.ndarray:
+    """Mean of the values in the frame, NaN without any."""
+    f = _frames(x, w)
+    known = ~np.isnan(f)
+    n = known.sum(axis=1)
+    return np.where(n > 0, np.where(known, f, 0.0).sum(axis=1) / np.maximum(n, 1), np.nan)
+
+
+def _rolling_std(x: np.ndarray, w: int) -> np.ndarray:
+    """Sample standard deviation of the values in the frame, 0 for fewer than two."""
+    f = _frames(x, w)
+    known = ~np.isnan(f)
+    n = known.sum(axis=1)
+    mean = np.where(known, f, 0.0).sum(axis=1) / np.maximum(n, 1)
+    off = np.where(known, f - mean[:, None], 0.0)
+    return np.where(n > 1, np.sqrt((off * off).sum(axis=1) / np.maximum(n - 1, 1)), 0.0)
 
 
 def rolling_step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -93,11 +118,13 @@ def rolling_step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterat
     if state.hasTimedOut:
         state.remove()
         return
-    pdf = pd.concat(list(pdfs), ignore_index=True)
+    parts = list(pdfs)
+    pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
     if pdf.empty:
         return
-    pdf["_ts"] = pd.to_datetime(pdf["ts"]).astype("int64")
-    pdf = pdf.sort_values(["_ts", "event_id"], kind="mergesort").reset_index(drop=True)
+    ts, ids = pd.to_datetime(pdf["ts"]).astype("int64").to_numpy(), pdf["event_id"].to_numpy()
+    order = np.lexsort((ids, ts))
+    ts, ids = ts[order], ids[order]
     if state.exists:
         n, last_ts, last_id, late, carry, *hist = state.get
         carry = list(carry)
@@ -107,33 +134,33 @@ def rolling_step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterat
         carry = [None] * len(FILL_FORWARD)
         hist = {c: [] for c in ROLLED}
     if last_ts is not None:
-        fresh = (pdf["_ts"] > last_ts) | ((pdf["_ts"] == last_ts) & (pdf["event_id"] > last_id))
+        fresh = (ts > last_ts) | ((ts == last_ts) & (ids > last_id))
         late += int((~fresh).sum())
-        pdf = pdf[fresh].reset_index(drop=True)
-    m = len(pdf)
+        order, ts, ids = order[fresh], ts[fresh], ids[fresh]
+    m = len(order)
     if m == 0:
         state.update((n, last_ts, last_id, late, carry, *[hist[c] for c in ROLLED]))
         return
-    out = {"patient_id": pdf["patient_id"].to_numpy(), "iculos": np.arange(n + 1, n + m + 1, dtype="int32")}
+    out = {"patient_id": pdf["patient_id"].to_numpy()[order], "iculos": np.arange(n + 1, n + m + 1, dtype="int32")}
     for i, c in enumerate(FILL_FORWARD):
-        filled = _ffill(pdf[c].to_numpy(dtype="float64"), carry[i])
+        filled = _ffill(pdf[c].to_numpy(dtype="float64")[order], carry[i])
         out[c] = filled
         last = filled[-1]
         carry[i] = None if np.isnan(last) else float(last)
     for c in ["age", "gender"]:
-        out[c] = pdf[c].to_numpy(dtype="float64")
-    out["sepsislabel"] = pdf["sepsislabel"].to_numpy(dtype="int32")
+        out[c] = pdf[c].to_numpy(dtype="float64")[order]
+    out["sepsislabel"] = pdf["sepsislabel"].to_numpy(dtype="int32")[order]
     ext = {}
     for c in ROLLED:
         past = np.array([np.nan if v is None else v for v in hist[c]], dtype="float64")
-        ext[c] = pd.Series(np.concatenate([past, out[c]]))
+        ext[c] = np.concatenate([past, out[c]])
     h = {c: len(hist[c]) for c in ROLLED}
     for name, src, w in K.ROLLING_MEANS:
-        out[name] = ext[src].rolling(w, min_periods=1).mean().to_numpy()[h[src]:]
+        out[name] = _rolling_mean(ext[src], w)[h[src]:]
     for name, src in K.TRENDS:
-        out[name] = ext[src].diff().to_numpy()[h[src]:]
+        out[name] = np.diff(ext[src], prepend=np.nan)[h[src]:]
     for name, src, w in K.ROLLING_STDS:
-        out[name] = ext[src].rolling(w, min_periods=1).std().fillna(0.0).to_numpy()[h[src]:]
+        out[name] = _rolling_std(ext[src], w)[h[src]:]
     for name, src, op, t in K.ALARM_FLAGS:
         vals = out[src]
         with np.errstate(invalid="ignore"):
@@ -141,21 +168,20 @@ def rolling_step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterat
     out["qsofa"] = (out["flag_tachypnea"] + out["flag_low_bp"]).astype("int32")
     out["hours_in_icu"] = out["iculos"]
     # ST3: six-step linear extrapolation from the last six hr values (first and last used)
-    hr_all = ext["hr"].to_numpy()
-    first = pd.Series(hr_all).shift(K.WINDOW_SIZE - 1).to_numpy()[h["hr"]:]
+    first = np.concatenate([np.full(K.WINDOW_SIZE - 1, np.nan), ext["hr"]])[:len(ext["hr"])][h["hr"]:]
     lastv = out["hr"]
     enough = (n + np.arange(1, m + 1)) >= K.WINDOW_SIZE
     slope = (lastv - first) / float(K.WINDOW_SIZE - 1)
-    for i in range(1, 7):
-        raw = np.where(enough, lastv + slope * float(i), np.nan)
-        out[f"fc{i}"] = _bround1_vec(raw)
+    ahead = np.stack([np.where(enough, lastv + slope * float(i), np.nan) for i in range(1, 7)])
+    for i, steps in enumerate(_bround1_vec(ahead.ravel()).reshape(ahead.shape), 1):
+        out[f"fc{i}"] = steps
     for c in OUT_COLS:
         if c != "patient_id" and not c.startswith("fc") and out[c].dtype.kind == "f":
             out[c] = np.nan_to_num(out[c], nan=0.0)
     for c in ROLLED:
-        hist[c] = [None if np.isnan(v) else float(v) for v in ext[c].to_numpy()[-HISTORY:]]
+        hist[c] = [None if np.isnan(v) else float(v) for v in ext[c][-HISTORY:]]
     n += m
-    last_ts, last_id = int(pdf["_ts"].iloc[-1]), int(pdf["event_id"].iloc[-1])
+    last_ts, last_id = int(ts[-1]), int(ids[-1])
     state.update((n, last_ts, last_id, late, carry, *[hist[c] for c in ROLLED]))
     if state.getCurrentWatermarkMs() > 0:
         state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + 6 * 3600 * 1000)

@@ -182,3 +182,17 @@ def test_late_rows_are_dropped_not_applied(spark, tmp_path):
     # ordinals restart from the first row seen per entity and stay dense
     gaps = out.groupBy("patient_id").agg((F.max("iculos") - F.count(F.lit(1))).alias("g"))
     assert gaps.filter(F.col("g") != 0).count() == 0
+
+
+def test_state_function_has_no_series_per_entity(monkeypatch):
+    """Rolling values of one entity in NumPy: equal to pandas, nulls and infinities too."""
+    import numpy as np
+    import pandas as pd
+    from panelkit.streaming import stateful
+    x = np.array([1.5, np.nan, np.inf, 4.0, 4.0, 4.0, np.nan, np.nan, np.nan, 7.25, -3.0])
+    want = {w: pd.Series(x).rolling(w, min_periods=1) for w in (3, 6)}
+    for w, r in want.items():
+        np.testing.assert_allclose(stateful._rolling_mean(x, w), r.mean().to_numpy())
+        np.testing.assert_allclose(stateful._rolling_std(x, w), r.std().fillna(0.0).to_numpy(), atol=1e-12)
+    np.testing.assert_array_equal(stateful._ffill(np.array([np.nan, 2.0, np.nan]), 9.0), [9.0, 2.0, 2.0])
+    np.testing.assert_array_equal(stateful._ffill(np.array([np.nan, 2.0, np.nan]), None), [np.nan, 2.0, 2.0])
