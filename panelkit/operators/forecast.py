@@ -81,10 +81,17 @@ def recursive_model_forecast(model, df: DataFrame, lags: list[str], steps: int =
     shuffle); the input should be cached by the caller when it is expensive.
     ``with_summary`` adds mean / population std / last-first of the window
     as the model's extra inputs, in that order after the lags.
+
+    Boosted trees are scored in blocks of rows, all passes of a block in one
+    go (``tree_scoring``): node by node, the passes cost more than the fit.
     """
     from pyspark.ml.feature import VectorAssembler
 
+    from panelkit.operators import tree_scoring
     from panelkit.operators.windows import window_summary
+    predict = tree_scoring.predictor(model, len(lags) + 3 * with_summary)
+    if predict is not None:
+        return _recursive_tree_passes(predict, df, lags, steps, with_summary, prefix)
     cur = df
     window = list(lags)
     for i in range(steps):
@@ -101,3 +108,33 @@ def recursive_model_forecast(model, df: DataFrame, lags: list[str], steps: int =
         cur = out.drop(*drop)
         window.append(f"{prefix}{i + 1}")
     return cur
+
+
+def _recursive_tree_passes(predict, df: DataFrame, lags: list[str], steps: int, with_summary: bool,
+                           prefix: str) -> DataFrame:
+    """The passes of ``recursive_model_forecast`` over Arrow batches."""
+    from pyspark.sql import types as T
+
+    names = [f"{prefix}{i + 1}" for i in range(steps)]
+    size, at = len(lags), [df.columns.index(c) for c in lags]
+    schema = T.StructType([*df.schema.fields, *[T.StructField(c, T.DoubleType()) for c in names]])
+
+    def passes(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            window = [batch.column(i).cast(pa.float64()).to_numpy(zero_copy_only=False) for i in at]
+            for _ in names:
+                inputs = window[-size:]
+                if with_summary:  # as windows.window_summary, term by term
+                    mean = sum(inputs, np.zeros(len(batch))) / float(size)
+                    var = sum(((c - mean) * (c - mean) for c in inputs), np.zeros(len(batch))) / float(size)
+                    inputs = [*inputs, mean, np.sqrt(var), inputs[-1] - inputs[0]]
+                if any(np.isnan(c).any() for c in inputs):  # as VectorAssembler
+                    raise ValueError("recursive_model_forecast: a window has a null or NaN value")
+                window.append(predict(inputs))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, window[size:])],
+                                             names=[*batch.schema.names, *names])
+
+    return df.mapInArrow(passes, schema)

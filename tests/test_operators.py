@@ -422,3 +422,32 @@ def test_registered_fits_use_the_published_settings(spark, monkeypatch):
         assert (got["maxIter"], got["maxDepth"], got["stepSize"]) == (100, 6, 0.3)
     monkeypatch.setattr("pyspark.ml.classification.LogisticRegression", settings)
     assert caught(q_models.q_assessment)["maxIter"] == 1000
+
+
+def test_recursive_tree_forecast_equals_the_models_own_passes(spark, monkeypatch):
+    """Passes over blocks of rows give the predictions that the model's transform gives, and call none of it."""
+    from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+    from panelkit.operators import tree_scoring, windows
+    rng = np.random.default_rng(3)
+    lags = forecast.lag_names()
+    raw = np.round(rng.normal(85, 12, (400, 7)), 1)
+    raw[::50, :6] = raw[::50, :1]  # constant windows
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(raw)],
+                               "id long, " + ", ".join(f"{c} double" for c in [*lags, "y"])).repartition(3)
+    for summary, depth in ((True, 6), (False, 2)):
+        inputs = lags + ["w_mean", "w_std", "w_trend"] * summary
+        rows = models.assemble(df.select("*", *windows.window_summary(lags)), inputs if summary else lags)
+        gbt = GBTRegressor(labelCol="y", maxIter=8, maxDepth=depth, stepSize=0.3, seed=1).fit(rows)
+        data = df.select("id", *lags)
+        with monkeypatch.context() as m:
+            m.setattr(tree_scoring, "predictor", lambda *_: None)
+            want = forecast.recursive_model_forecast(gbt, data, lags, 3, summary)
+        with monkeypatch.context() as m:
+            m.setattr(GBTRegressionModel, "transform", lambda *_: pytest.fail("a pass of its own"))
+            got = forecast.recursive_model_forecast(gbt, data, lags, 3, summary)
+        assert got.dtypes == want.dtypes
+        a, b = (np.array(sorted(map(tuple, d.collect()))) for d in (got, want))
+        assert a.shape == (400, 10) and np.allclose(a, b, rtol=0, atol=1e-9)
+    with pytest.raises(Exception, match="null or NaN"):
+        forecast.recursive_model_forecast(gbt, data.withColumn("lag1", F.lit(None).cast("double")), lags, 2,
+                                          False).collect()
